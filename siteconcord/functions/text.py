@@ -100,3 +100,11 @@ def xml_escape(c: Column) -> Column:
 
 def yes_no(c: Column) -> Column:
     return F.when(c, F.lit("Y")).when(~c, F.lit("N"))
+
+
+def json_numbers(**fields: Column) -> Column:
+    """A JSON object of numbers, each in its shortest form."""
+    parts = []
+    for i, (name, value) in enumerate(fields.items()):
+        parts += [F.lit(("," if i else "{") + f'"{name}":'), number_text(value)]
+    return F.concat(*parts, F.lit("}"))
