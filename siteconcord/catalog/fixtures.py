@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from siteconcord.functions.tags import tags_from
 from siteconcord.params import REF_KEY, TAG_KEY, TAG_VALUE
@@ -105,22 +104,15 @@ def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = _derive(spark, sf_dir, "customer", ELEMENTS_SQL)
-    return flat.select(
-        "elem_ord",
-        "type",
-        "id",
-        "lat",
-        "lon",
-        F.when(F.col("center_lat").isNotNull(), F.struct(F.col("center_lat").alias("lat"), F.col("center_lon").alias("lon"))).alias("center"),
-        "version",
-        tags_from(
-            [
-                (TAG_KEY, F.lit(TAG_VALUE)),
-                (REF_KEY, F.col("ref")),
-                *((key, F.col(key)) for key in ("name", "note", "fixme", "amenity", "opening_hours")),
-            ]
-        ).alias("tags"),
+    tags = tags_from(
+        [
+            (TAG_KEY, f"'{TAG_VALUE}'"),
+            (REF_KEY, "ref"),
+            *((key, key) for key in ("name", "note", "fixme", "amenity", "opening_hours")),
+        ]
     )
+    center = "CASE WHEN center_lat IS NOT NULL THEN named_struct('lat', center_lat, 'lon', center_lon) END AS center"
+    return flat.selectExpr("elem_ord", "type", "id", "lat", "lon", center, "version", f"{tags} AS tags")
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

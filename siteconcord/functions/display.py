@@ -2,99 +2,78 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from siteconcord.functions.text import let, literal
 
 
-def _js_round(c: Column) -> Column:
+def _rounded(c: str) -> str:
     """Halves go up, also for negative numbers."""
-    return F.floor(c + 0.5)
+    return f"floor({c} + 0.5D)"
 
 
-def _millis_between(start: Column, end: Column) -> Column:
-    def whole(ts):
-        return F.date_trunc("MILLISECOND", ts)
+def _millis_between(start: str, end: str) -> str:
+    return f"timestampdiff(MILLISECOND, date_trunc('MILLISECOND', {start}), date_trunc('MILLISECOND', {end}))"
 
-    return F.timestamp_diff("MILLISECOND", whole(start), whole(end))
 
+def duration_seconds(started: str, finished: str) -> str:
+    return let(_millis_between(started, finished), "ms", f"CASE WHEN ms >= 0 THEN {_rounded('ms / 1000.0D')} END")
 
-def duration_seconds(started: Column, finished: Column) -> Column:
-    millis = _millis_between(started, finished)
-    return F.when(millis >= 0, _js_round(millis / 1000.0))
 
-
-def duration_label(started: Column, finished: Column) -> Column:
+def duration_label(started: str, finished: str) -> str:
     """'12s', '3m 4s' or '2h 5m'; '-' when an end is missing or they are the wrong way round."""
-
-    def label(s):
-        minutes, hours = F.floor(s / 60), F.floor(s / 3600)
-        return (
-            F.when(s.isNull(), F.lit("-"))
-            .when(s < 60, F.format_string("%ds", s))
-            .when(minutes < 60, F.format_string("%dm %ds", minutes, s % 60))
-            .otherwise(F.format_string("%dh %dm", hours, minutes % 60))
-        )
-
-    return F.transform(F.array(duration_seconds(started, finished)), label)[0]
+    label = (
+        "CASE WHEN s IS NULL THEN '-' WHEN s < 60 THEN format_string('%ds', s) "
+        "WHEN s < 3600 THEN format_string('%dm %ds', s div 60, s % 60) "
+        "ELSE format_string('%dh %dm', s div 3600, s div 60 % 60) END"
+    )
+    return let(duration_seconds(started, finished), "s", label)
 
 
-def relative_time(at: Column, now: Column) -> Column:
+def relative_time(at: str, now: str) -> str:
     """'5 minutes ago', 'in 2 hours', 'tomorrow'; each unit is rounded from the smaller one."""
 
     def phrase(n, unit, special):
-        amount = F.concat(F.abs(n).cast("string"), F.lit(f" {unit}"), F.when(F.abs(n) != 1, F.lit("s")).otherwise(""))
-        worded = F.when(n < 0, F.concat(amount, F.lit(" ago"))).otherwise(F.concat(F.lit("in "), amount))
-        for value, text in special.items():
-            worded = F.when(n == value, F.lit(text)).otherwise(worded)
-        return worded
-
-    def word(minutes):
-        hours = _js_round(minutes / 60.0)
-        days = _js_round(hours / 24.0)
-        return (
-            F.when(minutes.isNull(), F.lit("unknown"))
-            .when(F.abs(minutes) < 60, phrase(minutes, "minute", {0: "this minute"}))
-            .when(F.abs(hours) < 24, phrase(hours, "hour", {0: "this hour"}))
-            .otherwise(phrase(days, "day", {0: "today", 1: "tomorrow", -1: "yesterday"}))
-        )
-
-    return F.transform(F.array(_js_round(_millis_between(now, at) / 60000.0)), word)[0]
-
-
-def format_datetime(ts: Column) -> Column:
+        amount = f"concat(abs({n}), ' {unit}', CASE WHEN abs({n}) = 1 THEN '' ELSE 's' END)"
+        cases = " ".join(f"WHEN {n} = {value} THEN '{text}'" for value, text in special.items())
+        return f"CASE {cases} WHEN {n} < 0 THEN concat({amount}, ' ago') ELSE concat('in ', {amount}) END"
+
+    words = (
+        "CASE WHEN mi IS NULL THEN 'unknown' "
+        f"WHEN abs(mi) < 60 THEN {phrase('mi', 'minute', {0: 'this minute'})} "
+        f"WHEN abs(h) < 24 THEN {phrase('h', 'hour', {0: 'this hour'})} "
+        f"ELSE {phrase('d', 'day', {0: 'today', 1: 'tomorrow', -1: 'yesterday'})} END"
+    )
+    words = let(_rounded("h / 24.0D"), "d", words)
+    words = let(_rounded("mi / 60.0D"), "h", words)
+    return let(_rounded(f"{_millis_between(now, at)} / 60000.0D"), "mi", words)
+
+
+def format_datetime(ts: str) -> str:
     """'Jan 02, 2024, 03:04 PM', '-' on null."""
-    return F.coalesce(F.date_format(ts, "MMM dd, yyyy, hh:mm a"), F.lit("-"))
+    return f"coalesce(date_format({ts}, 'MMM dd, yyyy, hh:mm a'), '-')"
 
 
-def format_count(n: Column) -> Column:
+def format_count(n: str) -> str:
     """'1,234', '-' on null."""
-    return F.coalesce(F.format_number(n, 0), F.lit("-"))
+    return f"coalesce(format_number({n}, 0), '-')"
 
 
-def change_comment(created: Column, modified: Column, deleted: Column, subject: str) -> Column:
+def change_comment(created: str, modified: str, deleted: str, subject: str) -> str:
     """'Added, Modified, and Deleted <subject>', naming only what happened; 'Updated' if nothing did."""
-    done = F.filter(
-        F.array(
-            F.when(created > 0, F.lit("Added")),
-            F.when(modified > 0, F.lit("Modified")),
-            F.when(deleted > 0, F.lit("Deleted")),
-        ),
-        lambda label: label.isNotNull(),
+    labels = ", ".join(
+        f"CASE WHEN {n} > 0 THEN '{label}' END"
+        for n, label in ((created, "Added"), (modified, "Modified"), (deleted, "Deleted"))
     )
-
-    def listed(labels):
-        return (
-            F.when(F.size(labels) == 0, F.lit("Updated"))
-            .when(F.size(labels) < 3, F.array_join(labels, " and "))
-            .otherwise(F.lit("Added, Modified, and Deleted"))
-        )
-
-    return F.concat(F.transform(F.array(done), listed)[0], F.lit(f" {subject}"))
+    listed = (
+        "CASE size(done) WHEN 0 THEN 'Updated' WHEN 3 THEN 'Added, Modified, and Deleted' "
+        "ELSE array_join(done, ' and ') END"
+    )
+    done = let(f"filter(array({labels}), label -> label IS NOT NULL)", "done", listed)
+    return f"concat({done}, {literal(' ' + subject)})"
 
 
-def element_url(kind: Column, element_id: Column) -> Column:
-    return F.concat(F.lit("https://www.openstreetmap.org/"), kind, F.lit("/"), element_id.cast("string"))
+def element_url(kind: str, element_id: str) -> str:
+    return f"concat('https://www.openstreetmap.org/', {kind}, '/', {element_id})"
 
 
-def element_label(kind: Column, element_id: Column) -> Column:
-    return F.concat(F.initcap(kind), F.lit(" "), element_id.cast("string"))
+def element_label(kind: str, element_id: str) -> str:
+    return f"concat(initcap({kind}), ' ', {element_id})"

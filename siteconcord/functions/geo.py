@@ -1,10 +1,10 @@
-"""Geometry on WGS84 coordinates as native column expressions."""
+"""Geometry on WGS84 coordinates."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6_371_000.0
@@ -13,16 +13,20 @@ EDGE_TOLERANCE = 1e-10
 BOX_MARGIN_DEG = 1e-4
 
 
-def haversine_m(lat1, lon1, lat2, lon2) -> Column:
+def number(value: float) -> str:
+    """A double literal."""
+    return f"{float(value)!r}D"
+
+
+def haversine_m(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     """Great-circle distance in metres."""
-    d_lat = F.radians(lat2 - lat1) / 2
-    d_lon = F.radians(lon2 - lon1) / 2
-    a = F.sin(d_lat) * F.sin(d_lat) + F.sin(d_lon) * F.sin(d_lon) * F.cos(F.radians(lat1)) * F.cos(F.radians(lat2))
-    return F.lit(EARTH_RADIUS_M) * 2 * F.atan2(F.sqrt(a), F.sqrt(1 - a))
+    half_lat, half_lon = f"sin(radians({lat2} - {lat1}) / 2)", f"sin(radians({lon2} - {lon1}) / 2)"
+    a = f"{half_lat} * {half_lat} + {half_lon} * {half_lon} * cos(radians({lat1})) * cos(radians({lat2}))"
+    return f"({number(EARTH_RADIUS_M)} * 2 * atan2(sqrt({a}), sqrt(1 - ({a}))))"
 
 
-def is_finite(c: Column) -> Column:
-    return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
+def is_finite(c: str) -> str:
+    return f"({c} IS NOT NULL AND NOT isnan({c}) AND abs({c}) < double('Infinity'))"
 
 
 def box_around(lat: float, lon: float, radius_m: float) -> tuple[float, float, float, float]:
@@ -52,59 +56,50 @@ def boundary_box(polygons) -> tuple[float, float, float, float]:
     )
 
 
-def in_box(lat: Column, lon: Column, box) -> Column:
-    south, north, west, east = box
-    return lat.between(south, north) & lon.between(west, east)
+def in_box(lat: str, lon: str, box) -> str:
+    south, north, west, east = (number(v) for v in box)
+    return f"({lat} BETWEEN {south} AND {north} AND {lon} BETWEEN {west} AND {east})"
 
 
-def on_edge(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    cross = (y - y1) * (x2 - x1) - (x - x1) * (y2 - y1)
-    dot = (x - x1) * (x - x2) + (y - y1) * (y - y2)
-    return (F.abs(cross) <= EDGE_TOLERANCE) & (dot <= EDGE_TOLERANCE)
+def on_edge(x: str, y: str, x1: str, y1: str, x2: str, y2: str) -> str:
+    cross = f"({y} - {y1}) * ({x2} - {x1}) - ({x} - {x1}) * ({y2} - {y1})"
+    dot = f"({x} - {x1}) * ({x} - {x2}) + ({y} - {y1}) * ({y} - {y2})"
+    return f"(abs({cross}) <= {number(EDGE_TOLERANCE)} AND {dot} <= {number(EDGE_TOLERANCE)})"
 
 
-def crosses_edge(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+def crosses_edge(x: str, y: str, x1: str, y1: str, x2: str, y2: str) -> str:
     """Whether a ray from (x, y) to the east crosses the edge."""
-    spans = (y1 > y) != (y2 > y)
-    at = F.try_divide((x2 - x1) * (y - y1), (y2 - y1) + EDGE_TOLERANCE) + x1
-    return spans & F.coalesce(x < at, F.lit(False))
+    at = f"try_divide(({x2} - {x1}) * ({y} - {y1}), {y2} - {y1} + {number(EDGE_TOLERANCE)}) + {x1}"
+    return f"((({y1} > {y}) <> ({y2} > {y})) AND coalesce({x} < {at}, false))"
 
 
-def _ring_edges(ring) -> Column:
-    """The ring's edges as a constant array, incl. the closing edge from the last point to the first."""
-    edges = [(*ring[i - 1], *ring[i]) for i in range(len(ring))]
-    values = ",".join(
-        "named_struct(" + ",".join(f"'{n}',{float(v)!r}D" for n, v in zip(("x1", "y1", "x2", "y2"), e, strict=True)) + ")"
-        for e in edges
+def _in_ring(lat: str, lon: str, ring) -> str:
+    """One pass over the ring's edges, the closing edge from the last point to the first included."""
+    edges = ",".join(
+        "array(" + ",".join(number(v) for v in (*ring[i - 1], *ring[i])) + ")" for i in range(len(ring))
     )
-    return F.expr(f"array({values})")
-
-
-def _in_ring(lat: Column, lon: Column, ring) -> Column:
-    edges = _ring_edges(ring)
-    touched = F.exists(edges, lambda e: on_edge(lon, lat, e.x1, e.y1, e.x2, e.y2))
-    odd = F.aggregate(
-        edges, F.lit(False), lambda acc, e: acc != crosses_edge(lon, lat, e.x1, e.y1, e.x2, e.y2)
+    ends = ("e[0]", "e[1]", "e[2]", "e[3]")
+    return (
+        f"aggregate(array({edges}), named_struct('touched', false, 'odd', false), (s, e) -> named_struct("
+        f"'touched', s.touched OR {on_edge(lon, lat, *ends)}, 'odd', s.odd <> {crosses_edge(lon, lat, *ends)}), "
+        "s -> s.touched OR s.odd)"
     )
-    return touched | odd
 
 
-def in_polygons(lat: Column, lon: Column, polygons, outer_only: bool = False) -> Column:
+def in_polygons(lat: str, lon: str, polygons) -> str:
     """Point in any polygon: inside its outer ring and in none of its holes; edges count as inside.
 
-    Meant for a boundary of fixed size: the rings travel as constants inside the plan. A box test of each
-    polygon comes first, so the edge scan only runs for points that may lie inside.
+    Meant for a boundary of fixed size: the rings travel as constants inside the plan. A box test of each polygon
+    comes first, so the edge scan only runs for points that may lie inside.
     """
-    found = F.lit(False)
+    tests = []
     for rings in polygons:
         if not rings:
             continue
-        inside = in_box(lat, lon, boundary_box([rings])) & _in_ring(lat, lon, rings[0])
-        if not outer_only:
-            for hole in rings[1:]:
-                inside = inside & ~_in_ring(lat, lon, hole)
-        found = found | inside
-    return is_finite(lat) & is_finite(lon) & F.coalesce(found, F.lit(False))
+        parts = [_in_ring(lat, lon, rings[0])] + [f"NOT {_in_ring(lat, lon, hole)}" for hole in rings[1:]]
+        tests.append(f"CASE WHEN {in_box(lat, lon, boundary_box([rings]))} THEN {' AND '.join(parts)} ELSE false END")
+    found = " OR ".join(f"({t})" for t in tests) or "false"
+    return f"({is_finite(lat)} AND ({found}))"
 
 
 class RadiusGrid:
@@ -119,78 +114,78 @@ class RadiusGrid:
         self.reach_deg = math.degrees(radius_m / EARTH_RADIUS_M) * (1 + 1e-9)
         self.band_deg = self.reach_deg + 1e-9
 
-    def band(self, lat: Column) -> Column:
-        return F.floor((lat + 90) / self.band_deg).cast("long")
+    def _band(self, lat: str) -> str:
+        return f"floor(({lat} + 90) / {number(self.band_deg)})"
 
-    def _edge_lats(self, band: Column) -> tuple[Column, Column]:
-        return band * self.band_deg - 90, (band + 1) * self.band_deg - 90
+    def _edges(self, band: str) -> tuple[str, str]:
+        return f"({band} * {number(self.band_deg)} - 90)", f"(({band} + 1) * {number(self.band_deg)} - 90)"
 
-    def columns(self, band: Column) -> Column:
+    def _columns(self, band: str) -> str:
         """Number of longitude cells of a band."""
-        low, high = self._edge_lats(band)
-        farthest = F.greatest(F.abs(low), F.abs(high))
-        ratio = math.sin(math.radians(self.reach_deg)) / F.cos(F.radians(farthest))
-        width = F.degrees(F.asin(F.least(F.lit(1.0), ratio))) * (1 + 1e-9)
-        count = F.floor(360.0 / width).cast("long")
-        polar = farthest + self.reach_deg >= 90
-        return F.when(polar, F.lit(1).cast("long")).otherwise(F.greatest(F.lit(1).cast("long"), count))
-
-    def _column_position(self, lon: Column, count: Column) -> Column:
-        return F.pmod(lon + 180, F.lit(360.0)) / 360.0 * count
-
-    def column(self, lon: Column, count: Column) -> Column:
-        index = F.floor(self._column_position(lon, count)).cast("long")
-        return F.least(index, count - 1)
+        low, high = self._edges(band)
+        farthest = f"greatest(abs({low}), abs({high}))"
+        ratio = f"{number(math.sin(math.radians(self.reach_deg)))} / cos(radians({farthest}))"
+        width = f"(degrees(asin(least(1.0D, {ratio}))) * {number(1 + 1e-9)})"
+        return (
+            f"CASE WHEN {farthest} + {number(self.reach_deg)} >= 90 THEN 1L "
+            f"ELSE greatest(1L, floor(360.0D / {width})) END"
+        )
 
     @staticmethod
-    def _id(band: Column, column: Column) -> Column:
-        return band * F.lit(1 << 32) + column
-
-    def cell(self, lat: Column, lon: Column) -> Column:
-        band = self.band(lat)
-        return self._id(band, self.column(lon, self.columns(band)))
-
-    def neighbourhood(self, lat: Column, lon: Column) -> Column:
-        """Distinct ids of the at most nine cells that can hold a point within the radius."""
-        own = self.band(lat)
-        cells = []
-        for step in (-1, 0, 1):
-            band = own + step
-            count = self.columns(band)
-            at = self.column(lon, count)
-            cells += [self._id(band, F.pmod(at + side, count)) for side in (-1, 0, 1)]
-        return F.array_distinct(F.array(*cells))
-
-    def subcell(self, lat: Column, lon: Column, splits: int) -> Column:
-        """Index of the point's part when its cell is cut into splits x splits parts."""
-        band = self.band(lat)
-        count = self.columns(band)
-        v = (lat + 90) / self.band_deg - band
-        u = self._column_position(lon, count) - self.column(lon, count)
-
-        def part(fraction):
-            return F.greatest(F.lit(0), F.least(F.floor(fraction * splits), F.lit(splits - 1))).cast("long")
-
-        return part(v) * splits + part(u)
-
-    def subcell_span_m(self, cell: Column, splits: int) -> Column:
+    def _turn(lon: str) -> str:
+        return f"(pmod({lon} + 180, 360.0D) / 360.0D)"
+
+    def _column(self, lon: str, columns: str) -> str:
+        return f"least(floor({self._turn(lon)} * {columns}), {columns} - 1)"
+
+    def with_cell(self, df: DataFrame, lat: str, lon: str, name: str = "cell") -> DataFrame:
+        """Add the point's cell."""
+        return (
+            df.withColumn("_band", F.expr(self._band(lat)))
+            .withColumn("_columns", F.expr(self._columns("_band")))
+            .withColumn(name, F.expr(f"_band * 4294967296 + {self._column(lon, '_columns')}"))
+            .drop("_band", "_columns")
+        )
+
+    def with_neighbourhood(self, df: DataFrame, lat: str, lon: str, name: str = "cell") -> DataFrame:
+        """Repeat each row for the at most nine distinct cells that can hold a point within the radius."""
+        around = f"transform(array(-1, 0, 1), side -> _band * 4294967296 + pmod({self._column(lon, '_columns')} + side, _columns))"
+        return (
+            df.withColumn("_band", F.expr(f"explode(transform(array(-1, 0, 1), step -> {self._band(lat)} + step))"))
+            .withColumn("_columns", F.expr(self._columns("_band")))
+            .withColumn(name, F.expr(f"explode(array_distinct({around}))"))
+            .drop("_band", "_columns")
+        )
+
+    def with_parts(self, df: DataFrame, lat: str, lon: str, splits: dict[str, int]) -> DataFrame:
+        """Add, under each name, the index of the point's part when its cell is cut into n x n parts."""
+        df = (
+            df.withColumn("_band", F.expr(self._band(lat)))
+            .withColumn("_columns", F.expr(self._columns("_band")))
+            .withColumn("_up", F.expr(f"({lat} + 90) / {number(self.band_deg)} - _band"))
+            .withColumn("_right", F.expr(f"{self._turn(lon)} * _columns - {self._column(lon, '_columns')}"))
+        )
+
+        def part(fraction, n):
+            return f"greatest(0L, least(floor({fraction} * {n}), {n - 1}L))"
+
+        parts = {name: F.expr(f"{part('_up', n)} * {n} + {part('_right', n)}") for name, n in splits.items()}
+        return df.withColumns(parts).drop("_band", "_columns", "_up", "_right")
+
+    def part_span_m(self, cell: str, splits: int) -> str:
         """Upper bound for the distance between two points of one part of the cell."""
-        band = F.floor(cell / F.lit(float(1 << 32))).cast("long")
-        low, high = self._edge_lats(band)
-        nearest = F.when((low <= 0) & (high >= 0), F.lit(0.0)).otherwise(F.least(F.abs(low), F.abs(high)))
-        metres_per_degree = math.radians(1) * EARTH_RADIUS_M
-        tall = self.band_deg / splits
-        wide = 360.0 / self.columns(band) / splits * F.cos(F.radians(nearest))
-        return (tall + wide) * metres_per_degree * (1 + 1e-6) + 1e-3
+        band = f"floor({cell} / 4294967296.0D)"
+        low, high = self._edges(band)
+        nearest = f"CASE WHEN {low} <= 0 AND {high} >= 0 THEN 0.0D ELSE least(abs({low}), abs({high})) END"
+        wide = f"360.0D / ({self._columns(band)}) / {splits} * cos(radians({nearest}))"
+        metres_per_degree = math.radians(1) * EARTH_RADIUS_M * (1 + 1e-6)
+        return f"(({number(self.band_deg / splits)} + {wide}) * {number(metres_per_degree)} + 1e-3D)"
 
 
-def mercator_cell(lat: Column, lon: Column, zoom: Column, cell_px: int = 40, tile_px: int = 512):
+def mercator_cell(lat: str, lon: str, zoom: int, cell_px: int = 40, tile_px: int = 512) -> tuple[str, str]:
     """(column, row) of the web-mercator grid cell at a zoom level, in a world tile_px * 2^zoom pixels wide."""
-    world = F.lit(float(tile_px)) * F.pow(F.lit(2.0), zoom)
-    x = (lon + 180) / 360
-    s = F.sin(F.radians(lat))
-    y = F.lit(0.5) - F.ln((1 + s) / (1 - s)) / (4 * math.pi)
-    return (
-        F.floor(x * world / cell_px).cast("long"),
-        F.floor(y * world / cell_px).cast("long"),
-    )
+    cells = number(tile_px * 2.0**zoom / cell_px)
+    s = f"sin(radians({lat}))"
+    x = f"(({lon} + 180) / 360)"
+    y = f"(0.5D - ln((1 + {s}) / (1 - {s})) / {number(4 * math.pi)})"
+    return f"floor({x} * {cells})", f"floor({y} * {cells})"

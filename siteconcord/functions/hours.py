@@ -2,164 +2,125 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from siteconcord.functions.text import trimmed
+from siteconcord.functions.text import let, literal, trimmed
 
 # Day codes of the opening_hours tag, and of the registry's column names.
 DAYS = ("Mo", "Tu", "We", "Th", "Fr", "Sa", "Su")
 REGISTRY_DAYS = ("MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN")
 
 
-def format_hhmm(c: Column) -> Column:
+def format_hhmm(c: str) -> str:
     """1630 -> '16:30'; null unless it is a time of day up to 24:00."""
-    value = c.cast("double")
-    whole = F.when((value > -1) & (value < 2401), value.cast("int"))
-    hour, minute = F.floor(whole / 100).cast("int"), whole % 100
-    valid = whole.between(0, 2400) & (minute < 60)
-    return F.when(valid, F.format_string("%02d:%02d", hour, minute))
+    whole = f"CASE WHEN double({c}) > -1 AND double({c}) < 2401 THEN int({c}) END"
+    shown = "CASE WHEN t BETWEEN 0 AND 2400 AND t % 100 < 60 THEN format_string('%02d:%02d', t div 100, t % 100) END"
+    return let(whole, "t", shown)
 
 
-def day_intervals() -> Column:
+def day_intervals() -> str:
     """The seven '08:00-16:00' texts of an asset, null where an end is missing or no time of day."""
-    return F.array(
-        *[
-            F.concat(start, F.lit("-"), end)
-            for start, end in (
-                (
-                    format_hhmm(F.col(f"OPENING_HOURS_{day}_FROM")),
-                    format_hhmm(F.col(f"OPENING_HOURS_{day}_TO")),
-                )
-                for day in REGISTRY_DAYS
-            )
-        ]
-    )
+    ends = ((f"OPENING_HOURS_{day}_FROM", f"OPENING_HOURS_{day}_TO") for day in REGISTRY_DAYS)
+    return f"array({', '.join(f'concat({format_hhmm(a)}, {literal("-")}, {format_hhmm(b)})' for a, b in ends)})"
 
 
-def merge_day_runs(intervals: Column) -> Column:
+def merge_day_runs(intervals: str) -> str:
     """'Mo-Fr 08:00-16:00' for each run of adjacent days with one interval; a day without one ends the run."""
     parts = []
     for i, day in enumerate(DAYS):
-        begins = intervals[i].isNotNull()
+        begins = f"{intervals}[{i}] IS NOT NULL"
         if i:
-            begins = begins & ~intervals[i - 1].eqNullSafe(intervals[i])
-        stops = [F.when(~intervals[j].eqNullSafe(intervals[i]), F.lit(DAYS[j - 1])) for j in range(i + 1, 7)]
-        last = F.coalesce(*stops, F.lit(DAYS[6]))
-        days = F.when(last == day, F.lit(day)).otherwise(F.concat(F.lit(f"{day}-"), last))
-        parts.append(F.when(begins, F.concat(days, F.lit(" "), intervals[i])))
-    return F.filter(F.array(*parts), lambda part: part.isNotNull())
+            begins += f" AND NOT {intervals}[{i - 1}] <=> {intervals}[{i}]"
+        stops = [
+            f"CASE WHEN NOT {intervals}[{j}] <=> {intervals}[{i}] THEN '-{DAYS[j - 1]}' END" for j in range(i + 1, 7)
+        ]
+        last = f"coalesce({', '.join([*stops, literal('-Su')])})"
+        shown = f"concat('{day}', replace({last}, '-{day}', ''), ' ', {intervals}[{i}])"
+        parts.append(f"CASE WHEN {begins} THEN {shown} END")
+    return f"filter(array({', '.join(parts)}), part -> part IS NOT NULL)"
 
 
-def opening_hours() -> Column:
-    """The opening_hours tag of a registry asset; null without any valid day."""
-    closed = F.col("OPENING_HOURS_CLOSED_HOLIDAYS")
+def opening_hours() -> str:
+    """The opening_hours tag of a registry asset, from its columns; null without any valid day."""
     holidays = (
-        F.when(closed == "Y", F.array(F.lit("PH off")))
-        .when(closed == "N", F.array(F.lit("PH open")))
-        .otherwise(F.array().cast("array<string>"))
+        "CASE OPENING_HOURS_CLOSED_HOLIDAYS WHEN 'Y' THEN array('PH off') WHEN 'N' THEN array('PH open') "
+        "ELSE cast(array() AS array<string>) END"
     )
-    runs = F.transform(F.array(day_intervals()), merge_day_runs)
-    return F.transform(
-        runs, lambda parts: F.when(F.size(parts) > 0, F.array_join(F.concat(parts, holidays), "; "))
-    )[0]
+    joined = f"CASE WHEN size(runs) > 0 THEN array_join(concat(runs, {holidays}), '; ') END"
+    return let(day_intervals(), "week", let(merge_day_runs("week"), "runs", joined))
 
 
-def easter_sunday(year: Column) -> Column:
+def easter_sunday(year: str) -> str:
     """Date of Easter in the Gregorian calendar."""
+    golden, century = f"({year} % 19)", f"({year} div 100)"
+    moon = f"(({century} - {century} div 4 - ({century} * 8 + 13) div 25 + {golden} * 19 + 15) % 30)"
+    full = f"(m - m div 28 * (1 - 29 div (m + 1) * ((21 - {golden}) div 11)))"
+    weekday = f"(({year} + {year} div 4 + f + 2 - {century} + {century} div 4) % 7)"
+    # Days after the last day of February, less 28.
+    date = f"date_add(make_date(int({year}), 3, 1), int(f - {weekday} + 27))"
+    return let(moon, "m", let(full, "f", date))
 
-    def div(a, b):
-        return F.floor(a / b).cast("int")
-
-    golden = year % 19
-    century = div(year, 100)
-    moon = (century - div(century, 4) - div(century * 8 + 13, 25) + golden * 19 + 15) % 30
-    full = moon - div(moon, 28) * (1 - div(F.lit(29), moon + 1) * div(21 - golden, 11))
-    weekday = (year + div(year, 4) + full + 2 - century + div(century, 4)) % 7
-    offset = full - weekday
-    month = 3 + div(offset + 40, 44)
-    day = offset + 28 - div(month, 4) * 31
-    return F.make_date(year, month.cast("int"), day.cast("int"))
 
-
-def is_norwegian_holiday(day: Column) -> Column:
+def is_norwegian_holiday(day: str) -> str:
     # Holidays on a date, and days from Easter Sunday of the movable ones.
-    dated = ("01-01", "05-01", "05-17", "12-25", "12-26")
-    from_easter = (-3, -2, 0, 1, 39, 49, 50)
-    since = F.datediff(day, easter_sunday(F.year(day)))
-    return F.date_format(day, "MM-dd").isin(*dated) | since.isin(*from_easter)
+    dated = "'01-01', '05-01', '05-17', '12-25', '12-26'"
+    from_easter = "-3, -2, 0, 1, 39, 49, 50"
+    return (
+        f"(date_format({day}, 'MM-dd') IN ({dated}) OR "
+        f"datediff({day}, {easter_sunday(f'year({day})')}) IN ({from_easter}))"
+    )
 
 
-_TIME = r"(?:[01][0-9]|2[0-4]):[0-5][0-9]"
+_TIME = "(?:[01][0-9]|2[0-4]):[0-5][0-9]"
 _DAY = "(?:Mo|Tu|We|Th|Fr|Sa|Su)"
-_RULE = rf"^(?:24/7|off|closed|open|PH (?:off|closed|open)|(?:{_DAY}(?:-{_DAY})? )?{_TIME}-{_TIME}|{_DAY}(?:-{_DAY})? (?:off|closed))$"
-
-
-def _minute(text: Column) -> Column:
-    return F.substring(text, 1, 2).cast("int") * 60 + F.substring(text, 4, 2).cast("int")
-
-
-def _rules(value: Column) -> Column:
-    """Rules as struct(first, last, on_holidays, start, stop); minutes of the day, start = stop = null when closed."""
-    week = F.array(*[F.lit(d) for d in DAYS])
-
-    def rule(text):
-        days = F.regexp_extract(text, rf"^({_DAY}(?:-{_DAY})?)", 1)
-        times = F.regexp_extract(text, rf"({_TIME}-{_TIME})$", 1)
-        has_days = days != ""
-        is_open = text.rlike("(24/7|open)$")
-        return F.struct(
-            F.when(has_days, F.array_position(week, F.substring(days, 1, 2)) - 1).otherwise(F.lit(0)).alias("first"),
-            F.when(has_days, F.array_position(week, F.right(days, F.lit(2))) - 1)
-            .otherwise(F.lit(6))
-            .alias("last"),
-            text.startswith("PH").alias("on_holidays"),
-            F.when(is_open, F.lit(0)).when(times != "", _minute(F.substring(times, 1, 5))).alias("start"),
-            F.when(is_open, F.lit(1440)).when(times != "", _minute(F.substring(times, 7, 5))).alias("stop"),
-        )
-
-    return F.transform(F.transform(F.split(value, ";"), trimmed), rule)
+_RULE = (
+    f"^(?:24/7|off|closed|open|PH (?:off|closed|open)|(?:{_DAY}(?:-{_DAY})? )?{_TIME}-{_TIME}"
+    f"|{_DAY}(?:-{_DAY})? (?:off|closed))$"
+)
+
+
+def _rules(value: str) -> str:
+    """Rules as struct(first, last, on_holidays, start, stop); minutes of the day, both null when closed."""
+    week = f"array({', '.join(literal(d) for d in DAYS)})"
+
+    def minute(at):
+        return f"int(substr(times, {at}, 2)) * 60 + int(substr(times, {at + 3}, 2))"
+
+    is_open = "rule RLIKE '(24/7|open)$'"
+    fields = (
+        f"'first', CASE WHEN days <> '' THEN int(array_position({week}, left(days, 2))) - 1 ELSE 0 END, "
+        f"'last', CASE WHEN days <> '' THEN int(array_position({week}, right(days, 2))) - 1 ELSE 6 END, "
+        "'on_holidays', startswith(rule, 'PH'), "
+        f"'start', CASE WHEN {is_open} THEN 0 WHEN times <> '' THEN {minute(1)} END, "
+        f"'stop', CASE WHEN {is_open} THEN 1440 WHEN times <> '' THEN {minute(7)} END"
+    )
+    days = f"regexp_extract(rule, {literal(f'^({_DAY}(?:-{_DAY})?)')}, 1)"
+    times = f"regexp_extract(rule, {literal(f'({_TIME}-{_TIME})$')}, 1)"
+    parsed = let(days, "days", let(times, "times", f"named_struct({fields})"))
+    return f"transform(split({value}, ';'), r -> {let(trimmed('r'), 'rule', parsed)})"
 
 
-def _deciding(rules: Column, weekday: Column, holiday: Column) -> Column:
+def _deciding(rules: str, day: str) -> str:
     """The last rule that speaks about a day; null if none does."""
-
-    def applies(r):
-        wraps = r["first"] > r["last"]
-        in_days = F.when(wraps, (weekday >= r["first"]) | (weekday <= r["last"])).otherwise(
-            weekday.between(r["first"], r["last"])
-        )
-        return F.when(r["on_holidays"], holiday).otherwise(in_days)
-
-    return F.try_element_at(F.filter(rules, applies), F.lit(-1))
+    in_days = (
+        "CASE WHEN r.first > r.last THEN wd >= r.first OR wd <= r.last ELSE wd BETWEEN r.first AND r.last END"
+    )
+    holiday = is_norwegian_holiday(day)
+    chosen = f"try_element_at(filter({rules}, r -> CASE WHEN r.on_holidays THEN {holiday} ELSE {in_days} END), -1)"
+    return let(f"weekday({day})", "wd", chosen)
 
 
-def opening_state(value: Column, at_utc: Column, zone: str = "Europe/Oslo") -> Column:
+def opening_state(value: str, at_utc: str, zone: str = "Europe/Oslo") -> str:
     """unspecified, unknown, open or closed at an instant, judged on the wall clock of the zone.
 
     Understands the texts `opening_hours` writes plus '24/7' and 'off'; anything else is unknown.
     """
-    wall = F.from_utc_timestamp(at_utc, zone)
-    today = F.to_date(wall)
-    minute = F.hour(wall) * 60 + F.minute(wall)
-
-    def judge(rules):
-        def on(day):
-            return _deciding(rules, F.weekday(day), is_norwegian_holiday(day))
-
-        now, before = on(today), on(F.date_sub(today, 1))
-        over = now["stop"] <= now["start"]
-        today_open = (minute >= now["start"]) & (over | (minute < now["stop"]))
-        spill = (before["stop"] <= before["start"]) & (minute < before["stop"])
-        is_open = F.coalesce(today_open, F.lit(False)) | F.coalesce(spill, F.lit(False))
-        return F.when(is_open, F.lit("open")).otherwise(F.lit("closed"))
-
-    def state(text):
-        known = F.forall(F.split(text, ";"), lambda part: trimmed(part).rlike(_RULE))
-        return (
-            F.when(text.isNull() | (text == ""), F.lit("unspecified"))
-            .when(~known, F.lit("unknown"))
-            .otherwise(F.transform(F.array(_rules(text)), judge)[0])
-        )
-
-    return F.transform(F.array(trimmed(value)), state)[0]
+    minute = "(hour(wall) * 60 + minute(wall))"
+    today = f"coalesce({minute} >= now.start AND (now.stop <= now.start OR {minute} < now.stop), false)"
+    spill = f"coalesce(before.stop <= before.start AND {minute} < before.stop, false)"
+    judged = f"CASE WHEN {today} OR {spill} THEN 'open' ELSE 'closed' END"
+    judged = let(_deciding("rules", "date_sub(date(wall), 1)"), "before", judged)
+    judged = let(_deciding("rules", "date(wall)"), "now", judged)
+    judged = let(_rules("text"), "rules", judged)
+    judged = let(f"from_utc_timestamp({at_utc}, {literal(zone)})", "wall", judged)
+    known = f"forall(split(text, ';'), r -> {trimmed('r')} RLIKE {literal(_RULE)})"
+    state = f"CASE WHEN text IS NULL OR text = '' THEN 'unspecified' WHEN NOT {known} THEN 'unknown' ELSE {judged} END"
+    return let(trimmed(value), "text", state)

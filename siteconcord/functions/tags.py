@@ -2,132 +2,135 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from siteconcord.functions.geo import is_finite
 from siteconcord.functions.hours import opening_hours
 from siteconcord.functions.text import (
+    cabinet_colour,
+    cabinet_kind,
+    cabinet_manufacturer,
     clean_tag_value,
-    detect_cabinet,
     extract_emails,
     extract_phones,
+    let,
+    literal,
     number_text,
     trimmed,
 )
 from siteconcord.params import MatchParams
 
-TAGS_TYPE = "map<string,string>"
+NO_TAGS = "cast(map() AS map<string,string>)"
+
+
+def or_empty(tags: str) -> str:
+    return f"coalesce({tags}, {NO_TAGS})"
+
+
+def tag(tags: str, key: str) -> str:
+    return f"{tags}[{literal(key)}]"
 
 
-def no_tags() -> Column:
-    return F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+def has_key(tags: str, key: str) -> str:
+    """Whether the key is there, whatever its value."""
+    return f"coalesce(map_contains_key({tags}, {literal(key)}), false)"
 
 
-def or_empty(tags: Column) -> Column:
-    return F.coalesce(tags, no_tags())
+def _filled(value: str) -> str:
+    return f"coalesce({value} <> '', false)"
 
 
-def has_key(tags: Column, key) -> Column:
-    return F.coalesce(F.map_contains_key(tags, key), F.lit(False))
+def _any(tests) -> str:
+    return "(" + (" OR ".join(tests) or "false") + ")"
 
 
-def _filled(value: Column) -> Column:
-    return F.coalesce(value != "", F.lit(False))
+def _listed(values) -> str:
+    return ", ".join(literal(v) for v in values)
 
 
-def managed_ref(tags: Column, p: MatchParams) -> Column:
+def managed_ref(tags: str, p: MatchParams) -> str:
     """The trimmed reference, null when the element is not managed."""
-    ref = trimmed(tags[p.ref_key])
-    return F.when(_filled(ref), ref)
+    return f"nullif({trimmed(tag(tags, p.ref_key))}, '')"
 
 
-def is_linked(tags: Column, p: MatchParams) -> Column:
+def is_linked(tags: str, p: MatchParams) -> str:
     """A reference is present, even one of blanks only."""
-    return _filled(tags[p.ref_key])
+    return _filled(tag(tags, p.ref_key))
 
 
-def is_opted_out(tags: Column, p: MatchParams) -> Column:
-    out = F.lit(False)
-    for key in p.opt_out_keys:
-        out = out | _filled(tags[key])
-    return out
+def is_opted_out(tags: str, p: MatchParams) -> str:
+    return _any(_filled(tag(tags, key)) for key in p.opt_out_keys)
 
 
-def has_conflict_tags(tags: Column, p: MatchParams) -> Column:
+def has_conflict_tags(tags: str, p: MatchParams) -> str:
     """Any key of another primary feature, whatever its value."""
-    found = F.lit(False)
-    for key in p.conflict_keys:
-        found = found | has_key(tags, key)
-    return found
+    return _any(has_key(tags, key) for key in p.conflict_keys)
 
 
-def is_aed_only(tags: Column, p: MatchParams) -> Column:
-    kind = F.coalesce(tags[p.tag_key].isin(*p.standalone_values), F.lit(False))
-    return kind & ~has_conflict_tags(tags, p)
+def is_aed_only(tags: str, p: MatchParams) -> str:
+    kind = f"coalesce({tag(tags, p.tag_key)} IN ({_listed(p.standalone_values)}), false)"
+    return f"({kind} AND NOT {has_conflict_tags(tags, p)})"
 
 
-def tag_updates(current: Column, wanted: Column) -> Column:
+def tag_updates(current: str, wanted: str) -> str:
     """Entries of wanted that current lacks or holds with another value."""
-    return F.map_filter(wanted, lambda k, v: ~v.eqNullSafe(or_empty(current)[k]))
+    return f"map_filter({wanted}, (k, v) -> NOT v <=> {or_empty(current)}[k])"
 
 
-def merge_tags(current: Column, updates: Column) -> Column:
+def merge_tags(current: str, updates: str) -> str:
     """Both maps together; the second wins on a shared key."""
-    kept = F.map_filter(or_empty(current), lambda k, _: ~F.map_contains_key(updates, k))
-    return F.map_concat(kept, updates)
+    return f"map_concat(map_filter({or_empty(current)}, (k, v) -> NOT map_contains_key({updates}, k)), {updates})"
 
 
-def without_keys(tags: Column, keys) -> Column:
-    return F.map_filter(or_empty(tags), lambda k, _: ~k.isin(*keys))
+def without_keys(tags: str, keys) -> str:
+    return f"map_filter({or_empty(tags)}, (k, v) -> k NOT IN ({_listed(keys)}))"
 
 
-def only_keys(tags: Column, keys) -> Column:
-    return F.map_filter(or_empty(tags), lambda k, _: k.isin(*keys))
+def only_keys(tags: str, keys) -> str:
+    return f"map_filter({or_empty(tags)}, (k, v) -> k IN ({_listed(keys)}))"
 
 
-def apply_tag_updates(current: Column, updates: Column) -> Column:
-    """Merge, where a null value removes its key."""
-    return drop_undefined(merge_tags(current, updates))
+def drop_undefined(tags: str) -> str:
+    return f"map_filter({or_empty(tags)}, (k, v) -> v IS NOT NULL)"
 
 
-def drop_undefined(tags: Column) -> Column:
-    return F.map_filter(or_empty(tags), lambda _, v: v.isNotNull())
+def apply_tag_updates(current: str, updates: str) -> str:
+    """Merge, where a null value removes its key."""
+    return drop_undefined(merge_tags(current, updates))
 
 
-def tags_from(entries: list[tuple[str, Column]]) -> Column:
-    """Map of the entries whose value is not null."""
-    pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in entries])
-    return F.map_from_entries(F.filter(pairs, lambda e: e["value"].isNotNull()))
+def tags_from(entries: list[tuple[str, str]]) -> str:
+    """Map of the entries (key, value expression) whose value is not null."""
+    pairs = ", ".join(f"named_struct('key', {literal(k)}, 'value', string({v}))" for k, v in entries)
+    return f"map_from_entries(filter(array({pairs}), e -> e.value IS NOT NULL))"
 
 
-def tags_text(tags: Column) -> Column:
+def tags_text(tags: str) -> str:
     """The map as 'key=value' lines in binary order, joined by '|'."""
-    lines = F.transform(F.map_entries(tags), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    return F.array_join(F.array_sort(lines), "|")
+    return f"array_join(array_sort(transform(map_entries({tags}), e -> concat(e.key, '=', e.value))), '|')"
 
 
-def level(floor: Column) -> Column:
-    return F.when(is_finite(floor), number_text(floor))
+def level(floor: str) -> str:
+    return f"CASE WHEN {is_finite(floor)} THEN {number_text(floor)} END"
 
 
-def map_asset_to_tags(p: MatchParams) -> Column:
+def map_asset_to_tags(p: MatchParams) -> str:
     """Target tags of a registry asset, from its columns."""
-    text = F.coalesce(F.col("SITE_DESCRIPTION"), F.lit(""))
-    cabinet = detect_cabinet(text)
-    return tags_from(
-        [
-            (p.tag_key, F.lit(p.tag_value)),
-            ("emergency:phone", F.lit(p.emergency_phone)),
-            (p.ref_key, F.col("ASSET_GUID")),
-            ("name", clean_tag_value(F.col("SITE_NAME"))),
-            ("level", level(F.col("SITE_FLOOR_NUMBER"))),
-            ("defibrillator:location", clean_tag_value(F.col("SITE_DESCRIPTION"))),
-            ("email", F.array_join(extract_emails(text), "; ")),
-            ("phone", F.array_join(extract_phones(text), "; ")),
-            ("opening_hours", opening_hours()),
-            ("defibrillator:cabinet", cabinet["cabinet"]),
-            ("defibrillator:cabinet:colour", cabinet["colour"]),
-            ("defibrillator:cabinet:manufacturer", cabinet["manufacturer"]),
-        ]
+    return let(
+        "coalesce(SITE_DESCRIPTION, '')",
+        "d",
+        tags_from(
+            [
+                (p.tag_key, literal(p.tag_value)),
+                ("emergency:phone", literal(p.emergency_phone)),
+                (p.ref_key, "ASSET_GUID"),
+                ("name", clean_tag_value("SITE_NAME")),
+                ("level", level("SITE_FLOOR_NUMBER")),
+                ("defibrillator:location", clean_tag_value("d")),
+                ("email", f"array_join({extract_emails('d')}, '; ')"),
+                ("phone", f"array_join({extract_phones('d')}, '; ')"),
+                ("opening_hours", opening_hours()),
+                ("defibrillator:cabinet", cabinet_kind("d")),
+                ("defibrillator:cabinet:colour", cabinet_colour("d")),
+                ("defibrillator:cabinet:manufacturer", cabinet_manufacturer("d")),
+            ]
+        ),
     )

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # White space in the sense of ECMAScript (all Unicode space separators, line ends and the BOM).
 SPACE = r"[\t-\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
-# What counts as an e-mail address and as an eight-digit phone number.
+# What counts as an e-mail address, as an eight-digit phone number, and as a green cabinet.
 EMAIL_CHARS = "[a-zA-Z0-9._-]"
 # The look-behind and the possessive run keep long texts without an at sign linear; the matches are the same.
 EMAIL = rf"(?<!{EMAIL_CHARS}){EMAIL_CHARS}++@{EMAIL_CHARS}+\.{EMAIL_CHARS}+"
@@ -22,89 +19,87 @@ GREEN_CABINET = (
 TAG_VALUE_LIMIT = 255
 
 
-def trimmed(c: Column) -> Column:
+def literal(value: str) -> str:
+    """A string literal; backslashes and quotes are kept as they are."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def let(value: str, name: str, body: str) -> str:
+    """`body` with `name` bound to `value`, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def replaced(c: str, pattern: str, by: str) -> str:
+    return f"regexp_replace({c}, {literal(pattern)}, {literal(by)})"
+
+
+def trimmed(c: str) -> str:
     """Strip every kind of Unicode white space from both ends."""
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return replaced(c, f"^{SPACE}+|{SPACE}+$", "")
 
 
-def utf16_length(c: Column) -> Column:
-    return (F.octet_length(F.encode(c, "UTF-16BE")) / 2).cast("long")
+def utf16_length(c: str) -> str:
+    return f"(octet_length(encode({c}, 'UTF-16BE')) div 2)"
 
 
-def number_text(c: Column) -> Column:
+def number_text(c: str) -> str:
     """Shortest decimal form without exponent, whole numbers without a fraction (10.0 -> 10, 1.0E-5 -> 0.00001)."""
-    value = c.cast("double")
-    magnitude = F.abs(value)
-    whole = (value == F.floor(value)) & (magnitude < 1e15)
-    plain = value.cast("string")
-    small = F.regexp_replace(plain.try_cast("decimal(38,25)").cast("string"), r"0+$", "")
-    return (
-        F.when(whole, value.cast("long").cast("string"))
-        .when((magnitude >= 1e-3) & (magnitude < 1e7), plain)
-        .otherwise(F.coalesce(small, plain))
+    body = (
+        "CASE WHEN n = floor(n) AND abs(n) < 1e15D THEN string(bigint(n)) "
+        "WHEN abs(n) >= 1e-3D AND abs(n) < 1e7D THEN string(n) "
+        f"ELSE coalesce({replaced('string(try_cast(string(n) AS decimal(38,25)))', '0+$', '')}, string(n)) END"
     )
+    return let(f"double({c})", "n", body)
 
 
-def clean_tag_value(c: Column) -> Column:
+def clean_tag_value(c: str) -> str:
     """Normalise a text for use as a tag value; null when nothing is left or it is too long."""
-    cleaned = F.regexp_replace(c, r"[\r\n]+", ". ")
-    cleaned = F.regexp_replace(cleaned, f"{SPACE}+", " ")
-    cleaned = F.regexp_replace(cleaned, r" \.", ".")
-    cleaned = F.regexp_replace(cleaned, r"\.+", ".")
-    cleaned = trimmed(cleaned)
-    return F.transform(
-        F.array(cleaned),
-        lambda v: F.when((F.length(v) > 0) & (utf16_length(v) < TAG_VALUE_LIMIT), v),
-    )[0]
+    cleaned = c
+    for pattern, by in (("[\r\n]+", ". "), (f"{SPACE}+", " "), (r" \.", "."), (r"\.+", ".")):
+        cleaned = replaced(cleaned, pattern, by)
+    body = f"CASE WHEN length(v) > 0 AND {utf16_length('v')} < {TAG_VALUE_LIMIT} THEN v END"
+    return let(trimmed(cleaned), "v", body)
 
 
-def _distinct_or_null(values: Column) -> Column:
-    return F.transform(
-        F.array(F.array_distinct(F.filter(values, lambda v: v.isNotNull()))),
-        lambda found: F.when(F.size(found) > 0, found),
-    )[0]
+def _distinct_or_null(values: str) -> str:
+    return let(f"array_distinct(filter({values}, x -> x IS NOT NULL))", "found", "CASE WHEN size(found) > 0 THEN found END")
 
 
-def extract_emails(c: Column) -> Column:
+def extract_emails(c: str) -> str:
     """Distinct addresses in order of appearance, null if none."""
-    return _distinct_or_null(F.transform(F.regexp_extract_all(c, F.lit(EMAIL), F.lit(0)), clean_tag_value))
+    return _distinct_or_null(f"transform(regexp_extract_all({c}, {literal(EMAIL)}, 0), m -> {clean_tag_value('m')})")
 
 
-def extract_phones(c: Column) -> Column:
+def extract_phones(c: str) -> str:
     """Distinct eight-digit numbers as '+47 12 34 56 78', null if none. Numbers written with the prefix are left out."""
-    digits = F.transform(
-        F.regexp_extract_all(c, F.lit(PHONE), F.lit(0)), lambda p: F.regexp_replace(p, SPACE, "")
-    )
-    eight = F.filter(digits, lambda p: F.length(p) == 8)
-    return _distinct_or_null(
-        F.transform(eight, lambda p: F.concat(F.lit("+47 "), F.regexp_replace(p, "(..)(..)(..)(..)", "$1 $2 $3 $4")))
-    )
+    digits = f"transform(regexp_extract_all({c}, {literal(PHONE)}, 0), m -> {replaced('m', SPACE, '')})"
+    grouped = replaced("m", "(..)(..)(..)(..)", "+47 $1 $2 $3 $4")
+    return _distinct_or_null(f"transform(filter({digits}, m -> length(m) = 8), m -> {grouped})")
 
 
-def detect_cabinet(c: Column) -> Column:
-    """struct(cabinet, colour, manufacturer) of the cabinet a description mentions; fields null when not mentioned."""
-    rotaid = F.coalesce(c.rlike("(?i)rotaid"), F.lit(False))
-    green = F.coalesce(c.rlike(GREEN_CABINET), F.lit(False))
-    return F.struct(
-        F.when(rotaid, F.lit("twist")).alias("cabinet"),
-        F.when(green, F.lit("green")).alias("colour"),
-        F.when(rotaid, F.lit("Rotaid")).alias("manufacturer"),
-    )
+def cabinet_kind(c: str) -> str:
+    return f"CASE WHEN {c} RLIKE '(?i)rotaid' THEN 'twist' END"
+
+
+def cabinet_manufacturer(c: str) -> str:
+    return f"CASE WHEN {c} RLIKE '(?i)rotaid' THEN 'Rotaid' END"
+
+
+def cabinet_colour(c: str) -> str:
+    return f"CASE WHEN {c} RLIKE {literal(GREEN_CABINET)} THEN 'green' END"
 
 
-def xml_escape(c: Column) -> Column:
+def xml_escape(c: str) -> str:
     for mark, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&apos;")):
-        c = F.replace(c, F.lit(mark), F.lit(entity))
+        c = f"replace({c}, {literal(mark)}, {literal(entity)})"
     return c
 
 
-def yes_no(c: Column) -> Column:
-    return F.when(c, F.lit("Y")).when(~c, F.lit("N"))
+def yes_no(c: str) -> str:
+    return f"CASE WHEN {c} THEN 'Y' WHEN NOT {c} THEN 'N' END"
 
 
-def json_numbers(**fields: Column) -> Column:
+def json_numbers(**fields: str) -> str:
     """A JSON object of numbers, each in its shortest form."""
-    parts = []
-    for i, (name, value) in enumerate(fields.items()):
-        parts += [F.lit(("," if i else "{") + f'"{name}":'), number_text(value)]
-    return F.concat(*parts, F.lit("}"))
+    parts = [f"""'{"," if i else "{"}"{name}":', {number_text(value)}""" for i, (name, value) in enumerate(fields.items())]
+    return f"concat({', '.join(parts)}, '}}')"

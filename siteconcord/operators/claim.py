@@ -20,6 +20,7 @@ from siteconcord.session import materialized
 # More copies than this at one position are handled as one site with as many places.
 COPIES = 8
 _OPEN = 1 << 62
+_FACTS = ("places", "refuser", "crowded")
 
 
 def _sites(nodes: DataFrame, copies: int) -> tuple[DataFrame, DataFrame | None]:
@@ -27,47 +28,44 @@ def _sites(nodes: DataFrame, copies: int) -> tuple[DataFrame, DataFrame | None]:
 
     Nodes behind an opted-out copy cannot be reached: whoever gets that far stops at it.
     """
-    single = [
-        F.col("elem_ord").alias("sid"),
-        F.col("lat").alias("slat"),
-        F.col("lon").alias("slon"),
-        F.lit(1).cast("long").alias("places"),
-        F.when(F.col("opted_out"), F.col("elem_ord")).alias("refuser"),
-        F.lit(False).alias("crowded"),
-    ]
-    placed = nodes.withColumn("spot", F.concat_ws("/", "lat", "lon"))
+    single = (
+        "elem_ord AS sid",
+        "lat AS slat",
+        "lon AS slon",
+        "1L AS places",
+        "CASE WHEN opted_out THEN elem_ord END AS refuser",
+        "false AS crowded",
+    )
+    placed = nodes.withColumn("spot", F.expr("concat(lat, '/', lon)"))
     spots = placed.groupBy("spot").agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.min("elem_ord").alias("sid"),
-        F.min(F.when(F.col("opted_out"), F.col("elem_ord"))).alias("refuser"),
+        F.expr("count(*) AS copies"),
+        F.expr("min(elem_ord) AS sid"),
+        F.expr("min(elem_ord) FILTER (WHERE opted_out) AS refuser"),
+        F.expr("min(lat) AS slat"),
+        F.expr("min(lon) AS slon"),
     )
-    spots = spots.filter(F.col("copies") > copies).drop("copies")
+    spots = spots.filter(f"copies > {copies}").drop("copies")
     if spots.isEmpty():
-        return nodes.select(*single), None
+        return nodes.selectExpr(*single), None
     spots = materialized(spots, "spots")
     hot = hot_keys(placed, "spot")
-    crowd = skew_join(placed, spots, "spot", "inner", hot)
-    reachable = materialized(crowd.filter(F.col("refuser").isNull() | (F.col("elem_ord") < F.col("refuser"))), "places")
-    places = reachable.groupBy("spot").agg(F.count(F.lit(1)).alias("places"))
-    where = crowd.groupBy("spot").agg(F.first("lat").alias("slat"), F.first("lon").alias("slon"))
-    joint = (
-        spots.join(where, "spot")
-        .join(places, "spot", "left")
-        .select(
-            "sid", "slat", "slon", F.coalesce("places", F.lit(0)).cast("long").alias("places"), "refuser", F.lit(True).alias("crowded")
-        )
+    crowd = skew_join(placed, spots.select("spot", "sid", "refuser"), "spot", "inner", hot)
+    reachable = materialized(crowd.filter("refuser IS NULL OR elem_ord < refuser").select("spot", "sid", "elem_ord"), "seats")
+    places = reachable.groupBy("spot").agg(F.expr("count(*) AS places"))
+    joint = spots.join(places, "spot", "left").selectExpr(
+        "sid", "slat", "slon", "coalesce(places, 0L) AS places", "refuser", "true AS crowded"
     )
-    alone = skew_join(placed, spots, "spot", "left_anti", hot).select(*single)
+    alone = skew_join(placed, spots, "spot", "left_anti", hot).selectExpr(*single)
     return materialized(alone.unionByName(joint), "sites"), reachable.select("sid", "elem_ord")
 
 
 def _bars(proposals: DataFrame, any_crowd: bool) -> DataFrame:
     """(sid, bar): the highest ordinal a full site still admits."""
-    taken = proposals.filter(F.col("refuser").isNull())
-    bars = taken.filter(~F.col("crowded")).groupBy("sid").agg(F.min("asset_ord").alias("bar"))
+    taken = proposals.filter("refuser IS NULL")
+    bars = taken.filter("NOT crowded").groupBy("sid").agg(F.expr("min(asset_ord) AS bar"))
     if any_crowd:
         queue = dense_ordinals(taken.filter("crowded").select("sid", "places", "asset_ord"), "at", ["asset_ord"], ["sid"])
-        bars = bars.unionByName(queue.filter(F.col("at") == F.col("places")).select("sid", F.col("asset_ord").alias("bar")))
+        bars = bars.unionByName(queue.filter("at = places").selectExpr("sid", "asset_ord AS bar"))
     return bars
 
 
@@ -84,13 +82,11 @@ def greedy_claim(
     `assets` has asset_ord, lat, lon; `nodes` has elem_ord, lat, lon, opted_out. Ties in distance go to the lower
     elem_ord.
     """
-    points = assets.filter(is_finite(F.col("lat")) & is_finite(F.col("lon"))).select(
-        F.col("asset_ord").alias("pid"), F.col("lat").alias("plat"), F.col("lon").alias("plon")
-    )
-    sites, crowd = _sites(nodes.filter(is_finite(F.col("lat")) & is_finite(F.col("lon"))), copies)
+    placed = f"{is_finite('lat')} AND {is_finite('lon')}"
+    points = assets.filter(placed).selectExpr("asset_ord AS pid", "lat AS plat", "lon AS plon")
+    sites, crowd = _sites(nodes.filter(placed), copies)
     index = SiteIndex(sites.withColumn("top", F.lit(_OPEN)), radius_m, dense_cell)
-    site_facts = ("places", "refuser", "crowded")
-    edges = index.sparse_pairs(points).select(F.col("pid").alias("asset_ord"), "sid", "distance_m", *site_facts)
+    edges = index.sparse_pairs(points).selectExpr("pid AS asset_ord", "sid", "distance_m", *_FACTS)
     edges = materialized(edges, "edges")
     hot_sites = hot_keys(edges, "sid")
     left = edges.count()
@@ -98,9 +94,9 @@ def greedy_claim(
     dense_points = materialized(index.dense_points(points), "points") if index.has_dense else None
 
     while True:
-        best = edges.groupBy("asset_ord").agg(F.min(F.struct("distance_m", "sid", *site_facts)).alias("best"))
+        best = edges.groupBy("asset_ord").agg(F.expr(f"min(struct(distance_m, sid, {', '.join(_FACTS)})) AS best"))
         if dense is not None:
-            best = _with_dense(best, index, dense_points, dense, radius_m, site_facts)
+            best = _with_dense(best, index, dense_points, dense, radius_m)
         proposals = best.select("asset_ord", "best.*")
         if crowd is not None or dense is not None:
             proposals = materialized(proposals, "proposals")
@@ -108,14 +104,13 @@ def greedy_claim(
         if crowd is not None or dense is not None:
             bars = materialized(bars, "bars")
         kept = skew_join(edges, bars, "sid", "left", hot_sites)
-        kept = kept.filter(F.col("bar").isNull() | (F.col("asset_ord") <= F.col("bar"))).drop("bar")
-        kept = materialized(kept, "edges")
+        kept = materialized(kept.filter("bar IS NULL OR asset_ord <= bar").drop("bar"), "edges")
         remaining, closed = kept.count(), 0
         if dense is not None:
             limited = dense.join(bars, "sid", "left").withColumn("was", F.col("top"))
-            limited = limited.withColumn("top", F.least("top", F.col("bar") + 1)).drop("bar")
+            limited = limited.withColumn("top", F.expr("least(top, bar + 1)")).drop("bar")
             limited = materialized(limited, "dense")
-            closed = limited.filter(F.col("top") < F.col("was")).count()
+            closed = limited.filter("top < was").count()
             dense = limited.drop("was")
         edges = kept
         if remaining == left and not closed:
@@ -124,33 +119,32 @@ def greedy_claim(
     return _seats(proposals, crowd)
 
 
-def _with_dense(best, index, points, dense, radius_m, site_facts):
+def _with_dense(best: DataFrame, index: SiteIndex, points: DataFrame, dense: DataFrame, radius_m: float) -> DataFrame:
     """Each asset's best over sparse edges and dense cells; the sparse distance limits the dense search."""
-    so_far = best.select(F.col("asset_ord").alias("pid"), F.col("best.distance_m").alias("limit_m"))
-    crowd = points.join(so_far, "pid", "left").select(
-        "pid", "plat", "plon", F.col("pid").alias("floor"), F.coalesce("limit_m", F.lit(float(radius_m))).alias("limit_m")
-    )
-    found = index.dense_nearest(crowd, dense).select(F.col("pid").alias("asset_ord"), "best.distance_m", "best.sid")
-    found = found.join(dense.select("sid", *site_facts), "sid").select(
-        "asset_ord", F.struct("distance_m", "sid", *site_facts).alias("best")
+    so_far = best.selectExpr("asset_ord AS pid", "best.distance_m AS limit_m")
+    crowd = points.join(so_far, "pid", "left").selectExpr(
+        "pid", "plat", "plon", "pid AS floor", f"coalesce(limit_m, {float(radius_m)!r}D) AS limit_m"
     )
-    return best.unionByName(found).groupBy("asset_ord").agg(F.min("best").alias("best"))
+    found = index.dense_nearest(crowd, dense).selectExpr("pid AS asset_ord", "best.distance_m", "best.sid")
+    # A site may be the best of very many assets.
+    facts = skew_join(found, dense.select("sid", *_FACTS), "sid", "inner", hot_keys(found, "sid"))
+    found = facts.selectExpr("asset_ord", f"struct(distance_m, sid, {', '.join(_FACTS)}) AS best")
+    return best.unionByName(found).groupBy("asset_ord").agg(F.expr("min(best) AS best"))
 
 
 def _seats(proposals: DataFrame, crowd: DataFrame | None) -> DataFrame:
     """From sites to nodes: in a crowded position the n-th asset gets the n-th node, those behind meet the opt-out."""
-    outcome = F.when(F.col("refuser").isNull(), F.lit("claimed")).otherwise(F.lit("opted_out"))
-    singles = proposals.filter(~F.col("crowded")).select(
-        "asset_ord", F.col("sid").alias("elem_ord"), "distance_m", outcome.alias("outcome")
+    singles = proposals.filter("NOT crowded").selectExpr(
+        "asset_ord", "sid AS elem_ord", "distance_m", "CASE WHEN refuser IS NULL THEN 'claimed' ELSE 'opted_out' END AS outcome"
     )
     if crowd is None:
         return singles
     queue = dense_ordinals(proposals.filter("crowded"), "at", ["asset_ord"], ["sid"])
     seats = dense_ordinals(crowd, "at", ["elem_ord"], ["sid"])
-    seated = queue.join(seats, ["sid", "at"], "left").select(
+    seated = queue.join(seats, ["sid", "at"], "left").selectExpr(
         "asset_ord",
-        F.coalesce("elem_ord", "refuser").alias("elem_ord"),
+        "coalesce(elem_ord, refuser) AS elem_ord",
         "distance_m",
-        F.when(F.col("elem_ord").isNotNull(), F.lit("claimed")).otherwise(F.lit("opted_out")).alias("outcome"),
+        "CASE WHEN elem_ord IS NOT NULL THEN 'claimed' ELSE 'opted_out' END AS outcome",
     )
     return singles.unionByName(seated)

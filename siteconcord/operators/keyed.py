@@ -15,28 +15,28 @@ from siteconcord.operators.skew import hot_keys, skew_join
 
 
 def managed(nodes: DataFrame) -> DataFrame:
-    return nodes.filter(F.col("ref").isNotNull())
+    return nodes.filter("ref IS NOT NULL")
 
 
-def _per_guid(assets: DataFrame, pick) -> DataFrame:
-    row = F.struct(*assets.columns)
-    return assets.groupBy("ASSET_GUID").agg(pick(row, "asset_ord").alias("row")).select("row.*")
+def _per_guid(assets: DataFrame, pick: str) -> DataFrame:
+    row = f"struct({', '.join(assets.columns)})"
+    return assets.groupBy("ASSET_GUID").agg(F.expr(f"{pick}({row}, asset_ord) AS row")).select("row.*")
 
 
 def last_per_guid(assets: DataFrame) -> DataFrame:
     """One asset per key, the last in snapshot order."""
-    return _per_guid(assets, F.max_by)
+    return _per_guid(assets, "max_by")
 
 
 def first_per_guid(assets: DataFrame) -> DataFrame:
     """One asset per key, the first in snapshot order."""
-    return _per_guid(assets, F.min_by)
+    return _per_guid(assets, "min_by")
 
 
 def stale_managed(nodes: DataFrame, assets: DataFrame, hot: list | None = None) -> DataFrame:
     """Managed nodes whose reference the registry lacks."""
     left = managed(nodes)
-    known = assets.select(F.col("ASSET_GUID").alias("ref"))
+    known = assets.selectExpr("ASSET_GUID AS ref")
     return skew_join(left, known, "ref", "left_anti", hot_keys(left, "ref") if hot is None else hot)
 
 
@@ -58,22 +58,19 @@ def managed_with_first_asset(nodes: DataFrame, assets: DataFrame) -> DataFrame:
 
 def unlinked_assets(assets: DataFrame, nodes: DataFrame) -> DataFrame:
     """Assets whose key no managed node carries."""
-    refs = managed(nodes).select(F.col("ref").alias("ASSET_GUID"))
+    refs = managed(nodes).selectExpr("ref AS ASSET_GUID")
     return skew_join(assets, refs, "ASSET_GUID", "left_anti", hot_keys(assets, "ASSET_GUID"))
 
 
 def ref_counts(nodes: DataFrame) -> DataFrame:
     """(ref, members, first_id, last_id) of managed nodes."""
-    return (
-        managed(nodes)
-        .groupBy("ref")
-        .agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
-    )
+    facts = ("count(*) AS members", "min(id) AS first_id", "max(id) AS last_id")
+    return managed(nodes).groupBy("ref").agg(*[F.expr(f) for f in facts])
 
 
 def duplicate_groups(nodes: DataFrame) -> DataFrame:
     """References held by several nodes, one row each; ordered by the caller if wanted."""
-    return ref_counts(nodes).filter(F.col("members") > 1)
+    return ref_counts(nodes).filter("members > 1")
 
 
 def duplicate_members(nodes: DataFrame, hot: list | None = None) -> DataFrame:
@@ -86,15 +83,14 @@ def duplicate_members(nodes: DataFrame, hot: list | None = None) -> DataFrame:
 def not_duplicated(nodes: DataFrame, hot: list | None = None) -> DataFrame:
     """Managed nodes whose reference no other node holds."""
     left = managed(nodes)
-    alone = ref_counts(nodes).filter(F.col("members") == 1).select("ref")
+    alone = ref_counts(nodes).filter("members = 1").select("ref")
     return skew_join(left, alone, "ref", "left_semi", hot_keys(left, "ref") if hot is None else hot)
 
 
 def duplicate_group_asset(nodes: DataFrame, assets: DataFrame) -> DataFrame:
     """Duplicate groups with the position of their asset; null where the registry lacks the key."""
-    where = last_per_guid(assets).select(
-        F.col("ASSET_GUID").alias("ref"), F.col("SITE_LATITUDE").alias("asset_lat"), F.col("SITE_LONGITUDE").alias("asset_lon")
-    )
+    where = last_per_guid(assets.select("asset_ord", "ASSET_GUID", "SITE_LATITUDE", "SITE_LONGITUDE"))
+    where = where.selectExpr("ASSET_GUID AS ref", "SITE_LATITUDE AS asset_lat", "SITE_LONGITUDE AS asset_lon")
     return duplicate_groups(nodes).join(where, "ref", "left")
 
 
@@ -103,18 +99,10 @@ def keep_first(members: DataFrame, hot: list) -> DataFrame:
 
     A minimum per reference, pre-aggregated before the shuffle, instead of a window over the group.
     """
-    distance = F.when(
-        F.col("asset_lat").isNotNull() & F.col("asset_lon").isNotNull(),
-        haversine_m(F.col("lat"), F.col("lon"), F.col("asset_lat"), F.col("asset_lon")),
-    )
-    ranked = members.withColumn("asset_distance_m", distance)
-    order = F.struct(F.coalesce("asset_distance_m", F.lit(float("inf"))).alias("d"), F.col("id"), F.col("elem_ord"))
-    kept = ranked.groupBy("ref").agg(F.min(order).alias("keep")).select("ref", F.col("keep.elem_ord").alias("keep_ord"))
-    return (
-        skew_join(ranked, kept, "ref", "inner", hot)
-        .withColumn("kept", F.col("elem_ord") == F.col("keep_ord"))
-        .drop("keep_ord")
-    )
+    ranked = members.withColumn("asset_distance_m", F.expr(haversine_m("lat", "lon", "asset_lat", "asset_lon")))
+    order = "struct(coalesce(asset_distance_m, double('Infinity')), id, elem_ord AS keep_ord)"
+    kept = ranked.groupBy("ref").agg(F.expr(f"min({order}) AS keep")).select("ref", "keep.keep_ord")
+    return skew_join(ranked, kept, "ref", "inner", hot).withColumn("kept", F.expr("elem_ord = keep_ord")).drop("keep_ord")
 
 
 def rank_duplicates(nodes: DataFrame, assets: DataFrame) -> DataFrame:
@@ -125,23 +113,23 @@ def rank_duplicates(nodes: DataFrame, assets: DataFrame) -> DataFrame:
     return keep_first(skew_join(left, groups, "ref", "inner", hot), hot)
 
 
-def linked_nodes(nodes: DataFrame, assets: DataFrame, mapped_tags) -> tuple[DataFrame, list]:
+def linked_nodes(nodes: DataFrame, assets: DataFrame, mapped_tags: str) -> tuple[DataFrame, list]:
     """(managed nodes with all the tasks need about their reference, hot references) from one join.
 
     Adds members (nodes sharing the reference), asset_lat / asset_lon / mapped of the last asset of the key (null =
     not in the registry) and first_lat / first_lon of its first one. Target tags are built once per key, not per node.
     """
     facts = assets.groupBy("ASSET_GUID").agg(
-        F.max_by(F.struct(*assets.columns), "asset_ord").alias("last"),
-        F.min_by(F.struct("SITE_LATITUDE", "SITE_LONGITUDE"), "asset_ord").alias("first"),
+        F.expr(f"max_by(struct({', '.join(assets.columns)}), asset_ord) AS last"),
+        F.expr("min_by(struct(SITE_LATITUDE, SITE_LONGITUDE), asset_ord) AS first"),
     )
-    facts = facts.select("last.*", "first").select(
-        F.col("ASSET_GUID").alias("ref"),
-        F.col("SITE_LATITUDE").alias("asset_lat"),
-        F.col("SITE_LONGITUDE").alias("asset_lon"),
-        F.col("first.SITE_LATITUDE").alias("first_lat"),
-        F.col("first.SITE_LONGITUDE").alias("first_lon"),
-        mapped_tags.alias("mapped"),
+    facts = facts.select("last.*", "first").selectExpr(
+        "ASSET_GUID AS ref",
+        "SITE_LATITUDE AS asset_lat",
+        "SITE_LONGITUDE AS asset_lon",
+        "first.SITE_LATITUDE AS first_lat",
+        "first.SITE_LONGITUDE AS first_lon",
+        f"{mapped_tags} AS mapped",
     )
     counts = ref_counts(nodes).select("ref", "members")
     left = managed(nodes)

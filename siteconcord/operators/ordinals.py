@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siteconcord.session import materialized
@@ -18,22 +18,18 @@ def dense_ordinals(df: DataFrame, name: str, order: Sequence[str], by: Sequence[
     size is spread over many tasks.
     """
     by, order = list(by), list(order)
-    spread = df.repartitionByRange(*by, *order) if by else df.repartitionByRange(*order)
-    spread = materialized(spread.withColumn("_part", F.spark_partition_id()), "ordinals")
-    inside = Window.partitionBy("_part", *by).orderBy(*order)
-    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    spread = df.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id())
+    spread = materialized(spread, "ordinals")
+    inside = f"row_number() OVER (PARTITION BY {', '.join(['_part', *by])} ORDER BY {', '.join(order)}) AS _at"
     # One row per partition and group.
-    counts = spread.groupBy("_part", *by).agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = counts.select("_part", *by, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    numbered = spread.withColumn("_at", F.row_number().over(inside))
+    counts = spread.groupBy("_part", *by).count()
+    groups = f"PARTITION BY {', '.join(by)} " if by else ""
+    earlier = f"sum(count) OVER ({groups}ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = counts.selectExpr(*[f"{c} AS _{c}" for c in ["_part", *by]], f"coalesce({earlier}, 0) AS _before")
     if not by:
         # As many rows as partitions, a bound set by the session.
         offsets = F.broadcast(offsets)
-        joined = numbered.join(offsets, "_part")
-    else:
-        same = [numbered["_part"] == offsets["_part"], *(numbered[c].eqNullSafe(offsets[c]) for c in by)]
-        condition = same[0]
-        for part in same[1:]:
-            condition = condition & part
-        joined = numbered.join(offsets, condition).select(numbered["*"], offsets["_before"])
-    return joined.withColumn(name, (F.col("_before") + F.col("_at")).cast("long")).drop("_part", "_at", "_before")
+    same = " AND ".join(f"{c} <=> _{c}" for c in ["_part", *by])
+    joined = spread.selectExpr("*", inside).join(offsets, F.expr(same))
+    kept = [c for c in df.columns if c != name]
+    return joined.select(*kept, F.expr(f"bigint(_before + _at) AS {name}"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siteconcord.functions.display import (
@@ -13,6 +13,7 @@ from siteconcord.functions.display import (
     format_count,
     format_datetime,
 )
+from siteconcord.functions.text import literal
 from siteconcord.operators.skew import hot_keys, skew_join
 from siteconcord.params import ISSUE_LABELS, STUCK_MESSAGE
 
@@ -36,45 +37,38 @@ def clamped_limit(limit: float | None, fallback: int, most: int) -> int:
     return min(max(1, value), most)
 
 
-def run_counters(deltas: DataFrame) -> DataFrame:
-    """Sums of the increments per run; a missing one counts as 0, a negative one is refused."""
+def _checked_sum(name: str, condition: str = "true") -> str:
+    refused = f"int(raise_error(concat('{name} must not be negative: ', {name})))"
+    return f"int(coalesce(sum(CASE WHEN {name} < 0 THEN {refused} ELSE {name} END) FILTER (WHERE {condition}), 0)) AS {name}"
 
-    def total(name):
-        value = F.coalesce(name, F.lit(0))
-        checked = F.when(value >= 0, value).otherwise(
-            F.raise_error(F.concat(F.lit(f"{name} must not be negative: "), value.cast("string"))).cast("int")
-        )
-        return F.sum(checked).cast("int").alias(name)
 
-    return deltas.groupBy("run_id").agg(*[total(c) for c in COUNTERS])
+def run_counters(deltas: DataFrame) -> DataFrame:
+    """Sums of the increments per run; a missing one counts as 0, a negative one is refused."""
+    return deltas.groupBy("run_id").agg(*[F.expr(_checked_sum(c)) for c in COUNTERS])
 
 
 def run_state(events: DataFrame) -> DataFrame:
     """One row per started run from its events: start, any number of counter increments, completion."""
-    kind = F.col("kind")
-
-    def at_last(name, what):
-        return F.max_by(F.when(kind == what, F.col(name)), F.when(kind == what, F.col("at")))
-
-    folded = events.groupBy("run_id").agg(
-        F.min(F.when(kind == "start", F.col("at"))).alias("started_at"),
-        F.max(F.when(kind == "complete", F.col("at"))).alias("finished_at"),
-        F.coalesce(at_last("status", "complete"), F.lit("running")).alias("status"),
-        at_last("mode", "start").alias("mode"),
-        at_last("error_message", "complete").alias("error_message"),
-        *[F.coalesce(F.sum(F.when(kind == "metrics", F.col(c))), F.lit(0)).cast("int").alias(c) for c in COUNTERS],
-    )
-    return folded.filter(F.col("started_at").isNotNull()).withColumnRenamed("run_id", "id")
+    facts = [
+        "min(at) FILTER (WHERE kind = 'start') AS started_at",
+        "max(at) FILTER (WHERE kind = 'complete') AS finished_at",
+        "coalesce(max_by(status, at) FILTER (WHERE kind = 'complete'), 'running') AS status",
+        "min_by(mode, at) FILTER (WHERE kind = 'start') AS mode",
+        "max_by(error_message, at) FILTER (WHERE kind = 'complete') AS error_message",
+        *[_checked_sum(c, "kind = 'metrics'") for c in COUNTERS],
+    ]
+    folded = events.groupBy("run_id").agg(*[F.expr(f) for f in facts])
+    return folded.filter("started_at IS NOT NULL").withColumnRenamed("run_id", "id")
 
 
 def orphan_events(events: DataFrame) -> DataFrame:
-    """Runs with a completion or increments but no start; each is an error of the writer."""
-    started = F.count_if(F.col("kind") == "start")
-    return events.groupBy("run_id").agg(started.alias("starts"), F.count(F.lit(1)).alias("events")).filter("starts = 0").drop("starts")
+    """(run_id, events): runs with a completion or increments but no start; each is an error of the writer."""
+    counted = events.groupBy("run_id").agg(F.expr("count_if(kind = 'start') AS starts"), F.expr("count(*) AS events"))
+    return counted.filter("starts = 0").drop("starts")
 
 
 def run_by_id(runs: DataFrame, run_id: str) -> DataFrame:
-    return runs.filter(F.col("id") == run_id).select(
+    return runs.filter(f"id = {literal(run_id)}").select(
         "id",
         "started_at",
         "finished_at",
@@ -91,42 +85,42 @@ def run_by_id(runs: DataFrame, run_id: str) -> DataFrame:
 def recent_runs(runs: DataFrame, limit: float | None = None) -> DataFrame:
     """The latest runs; ties by id."""
     columns = ("id", "started_at", "finished_at", "status", "mode", "updated_count", "created_count", "deleted_count")
-    newest = runs.select(*columns).orderBy(F.col("started_at").desc(), "id")
+    newest = runs.select(*columns).orderBy(F.desc("started_at"), "id")
     return newest.limit(clamped_limit(limit, 30, 200))
 
 
 def latest_run(runs: DataFrame) -> DataFrame:
     """The run that started last, ties to the least id; no row without runs."""
-    return runs.orderBy(F.col("started_at").desc(), "id").limit(1)
+    return runs.orderBy(F.desc("started_at"), "id").limit(1)
 
 
 def latest_success(runs: DataFrame) -> DataFrame:
-    done = runs.filter(F.col("status") == "success")
-    return done.orderBy(F.col("finished_at").desc_nulls_last(), "id").limit(1)
+    return runs.filter("status = 'success'").orderBy(F.desc_nulls_last("finished_at"), "id").limit(1)
 
 
-def issue_element_type() -> Column:
-    """Kind of the map element an issue is about, null if unknown."""
-    named = F.get_json_object("details", "$.osmElementType")
-    return (
-        F.when(F.col("osm_node_id").isNull(), F.lit(None).cast("string"))
-        .when(F.col("issue_type") != "osm_not_a_node", F.lit("node"))
-        .when(named.isin("node", "way", "relation"), named)
-    )
+# Kind of the map element an issue is about, null if unknown.
+ISSUE_ELEMENT_TYPE = (
+    "CASE WHEN osm_node_id IS NULL THEN NULL WHEN issue_type <> 'osm_not_a_node' THEN 'node' "
+    "WHEN get_json_object(details, '$.osmElementType') IN ('node', 'way', 'relation') "
+    "THEN get_json_object(details, '$.osmElementType') END"
+)
 
 
 def issues_of_run(issues: DataFrame, runs: DataFrame) -> DataFrame:
     """All issues of the latest run."""
-    newest = latest_run(runs).select(F.col("id").alias("run_id"))
+    newest = latest_run(runs.select("id", "started_at")).selectExpr("id AS run_id")
     # One row.
     return issues.join(F.broadcast(newest), "run_id", "left_semi")
 
 
+def of_run(issues: DataFrame, run_id: str | None) -> DataFrame:
+    return issues if run_id is None else issues.filter(f"run_id = {literal(run_id)}")
+
+
 def run_issues(issues: DataFrame, run_id: str | None = None, limit: float | None = None) -> DataFrame:
     """The latest issues, of one run or of all; ties by id."""
-    found = issues if run_id is None else issues.filter(F.col("run_id") == run_id)
-    newest = found.orderBy(F.col("created_at").desc(), "id").limit(clamped_limit(limit, 400, 1000))
-    return newest.select(
+    newest = of_run(issues, run_id).orderBy(F.desc("created_at"), "id").limit(clamped_limit(limit, 400, 1000))
+    return newest.selectExpr(
         "id",
         "run_id",
         "issue_type",
@@ -134,120 +128,114 @@ def run_issues(issues: DataFrame, run_id: str | None = None, limit: float | None
         "message",
         "register_ref",
         "osm_node_id",
-        issue_element_type().alias("osm_element_type"),
+        f"{ISSUE_ELEMENT_TYPE} AS osm_element_type",
         "created_at",
     )
 
 
 def issue_type_counts(issues: DataFrame, run_id: str | None = None) -> DataFrame:
-    found = issues if run_id is None else issues.filter(F.col("run_id") == run_id)
-    return found.groupBy("issue_type").agg(F.count(F.lit(1)).cast("int").alias("count")).orderBy(F.col("count").desc(), "issue_type")
+    counted = of_run(issues, run_id).groupBy("issue_type").agg(F.expr("int(count(*)) AS count"))
+    return counted.orderBy(F.desc("count"), "issue_type")
 
 
 def issue_count(issues: DataFrame, runs: DataFrame) -> DataFrame:
     """One row: issues of the latest run, 0 without runs."""
-    return issues_of_run(issues, runs).agg(F.count(F.lit(1)).cast("int").alias("issue_count"))
+    return issues_of_run(issues, runs).selectExpr("int(count(*)) AS issue_count")
 
 
-def mark_stuck(runs: DataFrame, now: Column, after: str = "3 hours") -> DataFrame:
+def mark_stuck(runs: DataFrame, now: str, after: str = "3 hours") -> DataFrame:
     """Runs with those that run for too long turned into failed ones."""
-    stuck = (F.col("status") == "running") & (F.col("started_at") < now - F.expr(f"INTERVAL {after}"))
-    return runs.select(
-        *[
-            {
-                "status": F.when(stuck, F.lit("failed")).otherwise(F.col("status")),
-                "finished_at": F.when(stuck, now).otherwise(F.col("finished_at")),
-                "error_message": F.when(stuck, F.lit(STUCK_MESSAGE)).otherwise(F.col("error_message")),
-            }
-            .get(c, F.col(c))
-            .alias(c)
-            for c in runs.columns
-        ]
+    stuck = f"(status = 'running' AND started_at < {now} - INTERVAL {after})"
+    changed = {"status": "'failed'", "finished_at": now, "error_message": literal(STUCK_MESSAGE)}
+    return runs.selectExpr(
+        *[f"CASE WHEN {stuck} THEN {changed[c]} ELSE {c} END AS {c}" if c in changed else c for c in runs.columns]
     )
 
 
-def expired(now: Column, after: str = "30 days") -> Column:
-    return F.coalesce(F.col("finished_at") < now - F.expr(f"INTERVAL {after}"), F.lit(False))
+def expired(now: str, after: str = "30 days") -> str:
+    return f"coalesce(finished_at < {now} - INTERVAL {after}, false)"
 
 
-def prune(runs: DataFrame, now: Column, after: str = "30 days") -> DataFrame:
+def prune(runs: DataFrame, now: str, after: str = "30 days") -> DataFrame:
     """Runs without those finished long ago; unfinished ones stay."""
-    return runs.filter(~expired(now, after))
+    return runs.filter(f"NOT {expired(now, after)}")
 
 
-def prune_cascade(issues: DataFrame, runs: DataFrame, now: Column, after: str = "30 days") -> DataFrame:
+def prune_cascade(issues: DataFrame, runs: DataFrame, now: str, after: str = "30 days") -> DataFrame:
     """Issues without those of pruned runs."""
-    removed = runs.filter(expired(now, after)).select(F.col("id").alias("run_id"))
+    removed = runs.filter(expired(now, after)).selectExpr("id AS run_id")
     return skew_join(issues, removed, "run_id", "left_anti", hot_keys(issues, "run_id"))
 
 
-_OVERVIEW = ("finished_at", "status", "registry_aeds_count", "osm_aeds_count", "linked_aeds_count")
+_OVERVIEW = "struct(finished_at, status, registry_aeds_count, osm_aeds_count, linked_aeds_count)"
 
 
 def overview_stats(runs: DataFrame, issues: DataFrame) -> DataFrame:
     """One row: the latest run, the latest success, and the issue counts of the latest run."""
-    latest = latest_run(runs).select(F.struct(*_OVERVIEW).alias("latest_run"))
-    success = latest_success(runs).select(F.struct(*_OVERVIEW).alias("latest_success"))
-    counts = issue_count(issues, runs).select(
-        F.col("issue_count").alias("open_issue_count"), F.col("issue_count").alias("total_issue_count")
-    )
+    latest = latest_run(runs).selectExpr(f"{_OVERVIEW} AS latest_run")
+    success = latest_success(runs).selectExpr(f"{_OVERVIEW} AS latest_success")
+    counts = issue_count(issues, runs).selectExpr("issue_count AS open_issue_count", "issue_count AS total_issue_count")
     # All three have at most one row.
     return counts.join(F.broadcast(latest), F.lit(True), "left").join(F.broadcast(success), F.lit(True), "left")
 
 
 def overview_baseline(stats: DataFrame) -> DataFrame:
     """The run the overview compares with: the latest success, else the latest run."""
-    return stats.select(F.coalesce("latest_success", "latest_run").alias("baseline")).select("baseline.*")
+    return stats.selectExpr("coalesce(latest_success, latest_run) AS baseline").select("baseline.*")
 
 
 def run_list_view(runs: DataFrame, limit: float | None = None) -> DataFrame:
-    listed = recent_runs(runs, limit)
-    return listed.select(
+    return recent_runs(runs, limit).selectExpr(
         "id",
-        format_datetime(F.col("started_at")).alias("started"),
+        f"{format_datetime('started_at')} AS started",
         "status",
         "mode",
-        duration_seconds(F.col("started_at"), F.col("finished_at")).alias("duration_s"),
-        duration_label(F.col("started_at"), F.col("finished_at")).alias("duration"),
-        format_count(F.col("updated_count")).alias("updated"),
-        format_count(F.col("created_count")).alias("created"),
-        format_count(F.col("deleted_count")).alias("deleted"),
+        f"{duration_seconds('started_at', 'finished_at')} AS duration_s",
+        f"{duration_label('started_at', 'finished_at')} AS duration",
+        f"{format_count('updated_count')} AS updated",
+        f"{format_count('created_count')} AS created",
+        f"{format_count('deleted_count')} AS deleted",
     )
 
 
-def issue_labels() -> Column:
+def issue_label(kind: str = "issue_type") -> str:
     """The dashboard's label of an issue type, the type itself if it has none."""
-    known = F.create_map(*[F.lit(x) for pair in ISSUE_LABELS.items() for x in pair])
-    return F.coalesce(F.try_element_at(known, F.col("issue_type")), F.col("issue_type"))
+    cases = " ".join(f"WHEN '{value}' THEN {literal(label)}" for value, label in ISSUE_LABELS.items())
+    return f"CASE {kind} {cases} ELSE {kind} END"
 
 
 def with_links(listed: DataFrame) -> DataFrame:
     """Issues with url and label of their element; null without element or kind."""
-    kind, node = F.col("osm_element_type"), F.col("osm_node_id")
-    return listed.withColumn("osm_url", element_url(kind, node)).withColumn("osm_label", element_label(kind, node))
+    return listed.selectExpr(
+        "*",
+        f"{element_url('osm_element_type', 'osm_node_id')} AS osm_url",
+        f"{element_label('osm_element_type', 'osm_node_id')} AS osm_label",
+    )
 
 
 def issue_view(issues: DataFrame, run_id: str | None = None, limit: float | None = None) -> DataFrame:
-    listed = with_links(run_issues(issues, run_id, limit)).withColumn("label", issue_labels())
-    return listed.withColumn("created", format_datetime(F.col("created_at"))).withColumn(
-        "run_short", F.concat(F.substring("run_id", 1, 8), F.lit("..."))
+    return with_links(run_issues(issues, run_id, limit)).selectExpr(
+        "*",
+        f"{issue_label()} AS label",
+        f"{format_datetime('created_at')} AS created",
+        "concat(left(run_id, 8), '...') AS run_short",
     )
 
 
 def run_detail_view(runs: DataFrame, issues: DataFrame, run_id: str) -> DataFrame:
     """The run's facts beside each of its issues (one row with null issue fields if it has none)."""
-    run = run_by_id(runs, run_id).select(
-        F.col("id").alias("run_id"),
+    run = run_by_id(runs, run_id).selectExpr(
+        "id AS run_id",
         "status",
         "mode",
-        duration_label(F.col("started_at"), F.col("finished_at")).alias("duration"),
+        f"{duration_label('started_at', 'finished_at')} AS duration",
         "error_message",
-        format_count(F.col("updated_count")).alias("updated"),
-        format_count(F.col("created_count")).alias("created"),
-        format_count(F.col("deleted_count")).alias("deleted"),
+        f"{format_count('updated_count')} AS updated",
+        f"{format_count('created_count')} AS created",
+        f"{format_count('deleted_count')} AS deleted",
     )
-    listed = with_links(run_issues(issues, run_id)).select(
-        "run_id", F.col("id").alias("issue_id"), issue_labels().alias("label"), "severity", "message", "osm_label"
+    listed = with_links(run_issues(issues, run_id)).selectExpr(
+        "run_id", "id AS issue_id", f"{issue_label()} AS label", "severity", "message", "osm_label"
     )
     # One run and at most the listed issues.
     return run.join(listed, "run_id", "left")

@@ -9,14 +9,14 @@ HOT_ROWS = 1_000_000
 MOST_HOT_KEYS = 10_000
 
 
-def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS, most: int = MOST_HOT_KEYS) -> list:
+def hot_keys(df: DataFrame, key: str, rows: int | None = None, most: int = MOST_HOT_KEYS) -> list:
     """The most frequent keys with more than `rows` rows, at most `most` of them.
 
     Counted with map-side pre-aggregation; only the bounded list reaches the driver. A key beyond the list holds
     less than 1 / most of all rows, so an ordinary shuffle can carry it.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    hot = counts.filter(F.col("rows") > rows).orderBy(F.col("rows").desc(), key).limit(most)
+    counts = df.filter(f"{key} IS NOT NULL").groupBy(key).count()
+    hot = counts.filter(f"count > {HOT_ROWS if rows is None else rows}").orderBy(F.desc("count"), key).limit(most)
     return [row[0] for row in hot.collect()]
 
 

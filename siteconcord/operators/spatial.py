@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siteconcord.functions.geo import RadiusGrid, haversine_m, is_finite
-from siteconcord.operators import skew
 from siteconcord.operators.skew import hot_keys, skew_join
 from siteconcord.session import materialized
 
@@ -18,41 +17,38 @@ REFINEMENTS = 3
 # Hot cells meet up to DENSE_CELL rows each, so fewer of them are broadcast.
 MOST_HOT_CELLS = 1_000
 
-
-def _hot(df: DataFrame, key: str) -> list:
-    return hot_keys(df, key, skew.HOT_ROWS, MOST_HOT_CELLS)
+_TO_SITE = haversine_m("plat", "plon", "slat", "slon")
 
 
 class SiteIndex:
     """Sites (sid, slat, slon, top, ...) by grid cell, split into sparse cells and dense ones.
 
-    `top` limits who may take a site: a probe with floor < top. Both are optional in meaning: with top = 1 and
-    floor = 0 every site is open to every probe.
+    `top` limits who may take a site: a probe with floor < top. With top = 1 and floor = 0 every site is open to
+    every probe.
     """
 
     def __init__(self, sites: DataFrame, radius_m: float, dense_cell: int | None = None):
         self.grid = RadiusGrid(radius_m)
         self.radius_m = radius_m
+        placed = self.grid.with_cell(sites, "slat", "slon")
         limit = DENSE_CELL if dense_cell is None else dense_cell
-        placed = sites.withColumn("cell", self.grid.cell(F.col("slat"), F.col("slon")))
-        crowded = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("cell")
+        crowded = placed.groupBy("cell").count().filter(f"count > {limit}").select("cell")
         self.has_dense = not crowded.isEmpty()
+        self.sparse, self.dense, self.dense_cells = placed, None, None
         if self.has_dense:
-            hot = _hot(placed, "cell")
-            self.sparse = skew_join(placed, crowded, "cell", "left_anti", hot)
-            self.dense = skew_join(placed, crowded, "cell", "left_semi", hot)
-            self.dense_cells = crowded
-        else:
-            self.sparse, self.dense, self.dense_cells = placed, None, None
+            hot = hot_keys(placed, "cell", most=MOST_HOT_CELLS)
+            self.dense_cells = materialized(crowded, "dense-cells")
+            self.sparse = skew_join(placed, self.dense_cells, "cell", "left_anti", hot)
+            self.dense = skew_join(placed, self.dense_cells, "cell", "left_semi", hot)
 
     def probes(self, points: DataFrame) -> DataFrame:
         """Points (pid, plat, plon, ...) once per cell they can see."""
-        return points.withColumn("cell", F.explode(self.grid.neighbourhood(F.col("plat"), F.col("plon"))))
+        return self.grid.with_neighbourhood(points, "plat", "plon")
 
     def hot_probe_cells(self, points: DataFrame) -> list:
         """Cells seen by very many points; found from one row per point, not nine."""
-        own = points.withColumn("own", self.grid.cell(F.col("plat"), F.col("plon")))
-        crowded = _hot(own, "own")
+        own = self.grid.with_cell(points, "plat", "plon", "own")
+        crowded = hot_keys(own, "own", most=MOST_HOT_CELLS)
         if not crowded:
             return []
         seen = self.probes(own.filter(F.col("own").isin(crowded))).select("cell").distinct()
@@ -61,13 +57,14 @@ class SiteIndex:
     def sparse_pairs(self, points: DataFrame) -> DataFrame:
         """Pairs within the radius between points and sites of sparse cells, with distance_m; few per point."""
         pairs = skew_join(self.probes(points), self.sparse, "cell", "inner", self.hot_probe_cells(points))
-        distance = haversine_m(F.col("plat"), F.col("plon"), F.col("slat"), F.col("slon"))
-        return pairs.withColumn("distance_m", distance).filter(F.col("distance_m") <= self.radius_m)
+        return pairs.withColumn("distance_m", F.expr(_TO_SITE)).filter(f"distance_m <= {self.radius_m!r}D")
+
+    def dense_probes(self, points: DataFrame) -> DataFrame:
+        """Points once per dense cell they can see."""
+        return skew_join(self.probes(points), self.dense_cells, "cell", "left_semi", self.hot_probe_cells(points))
 
     def dense_points(self, points: DataFrame) -> DataFrame:
-        """The points that see a dense cell."""
-        seen = self.probes(points)
-        return skew_join(seen, self.dense_cells, "cell", "left_semi", self.hot_probe_cells(points)).drop("cell").distinct()
+        return self.dense_probes(points).drop("cell").distinct()
 
     def dense_nearest(self, points: DataFrame, sites: DataFrame | None = None) -> DataFrame:
         """(pid, best struct(distance_m, sid)) among dense sites with top > floor and distance <= limit_m.
@@ -78,43 +75,30 @@ class SiteIndex:
         a cell holds.
         """
         sites = self.dense if sites is None else sites
-        at, on = F.col("slat"), F.col("slon")
-        levels = [F.lit(0).cast("long")]
-        levels += [self.grid.subcell(at, on, SPLITS**k) for k in range(1, REFINEMENTS + 1)]
-
-        def key(part):
-            return F.concat_ws("/", F.col("cell"), part)
-
-        frontier = skew_join(self.probes(points), self.dense_cells, "cell", "left_semi", self.hot_probe_cells(points))
-        # Each level is written out: it is used for its hot keys and for the join.
-        frontier = materialized(frontier.withColumn("key", key(levels[0])), "frontier")
-        to_rep = haversine_m(F.col("plat"), F.col("plon"), F.col("rep.slat"), F.col("rep.slon"))
+        splits = {f"part_{k}": SPLITS**k for k in range(1, REFINEMENTS + 1)}
+        sites = self.grid.with_parts(sites, "slat", "slon", splits).withColumn("part_0", F.lit(0))
+        # Each level of the search is written out: it is used for its hot keys and for the join.
+        frontier = self.dense_probes(points).withColumn("key", F.expr("concat(cell, '/0')"))
+        frontier = materialized(frontier, "frontier")
         for k in range(1, REFINEMENTS + 1):
-            parts = (
-                sites.groupBy(key(levels[k - 1]).alias("key"), key(levels[k]).alias("next"))
-                .agg(F.max("top").alias("top"), F.max_by(F.struct("slat", "slon"), "top").alias("rep"))
-            )
-            seen = skew_join(frontier, parts, "key", "inner", _hot(frontier, "key")).filter(F.col("top") > F.col("floor"))
-            seen = seen.withColumn("to_rep", to_rep)
+            parts = sites.groupBy(
+                F.expr(f"concat(cell, '/', part_{k - 1}) AS key"), F.expr(f"concat(cell, '/', part_{k}) AS next")
+            ).agg(F.expr("max(top) AS top"), F.expr("max_by(struct(slat, slon), top) AS rep"))
+            hot = hot_keys(frontier, "key", most=MOST_HOT_CELLS)
+            seen = skew_join(frontier, parts, "key", "inner", hot).filter("top > floor")
+            to_rep = haversine_m("plat", "plon", "rep.slat", "rep.slon")
             # At most 9 * SPLITS^2 rows per point and level.
-            closest = F.min("to_rep").over(Window.partitionBy("pid"))
-            span = self.grid.subcell_span_m(F.col("cell"), SPLITS**k)
-            frontier = (
-                seen.withColumn("bound", F.least("limit_m", closest))
-                .filter(F.col("to_rep") - span <= F.col("bound"))
-                .drop("key", "top", "rep", "to_rep", "bound")
-                .withColumnRenamed("next", "key")
+            bounded = seen.withColumn("to_rep", F.expr(to_rep)).withColumn(
+                "bound", F.expr("least(limit_m, min(to_rep) OVER (PARTITION BY pid))")
             )
-            frontier = materialized(frontier, "frontier")
-        leaves = sites.select("sid", "slat", "slon", "top", key(levels[-1]).alias("key"))
-        pairs = skew_join(frontier, leaves, "key", "inner", _hot(frontier, "key")).filter(F.col("top") > F.col("floor"))
-        distance = haversine_m(F.col("plat"), F.col("plon"), F.col("slat"), F.col("slon"))
-        return (
-            pairs.withColumn("distance_m", distance)
-            .filter(F.col("distance_m") <= F.col("limit_m"))
-            .groupBy("pid")
-            .agg(F.min(F.struct("distance_m", "sid")).alias("best"))
-        )
+            span = self.grid.part_span_m("cell", SPLITS**k)
+            kept = bounded.filter(f"to_rep - {span} <= bound").drop("key", "top", "rep", "to_rep", "bound")
+            frontier = materialized(kept.withColumnRenamed("next", "key"), "frontier")
+        leaves = sites.selectExpr("sid", "slat", "slon", "top", f"concat(cell, '/', part_{REFINEMENTS}) AS key")
+        hot = hot_keys(frontier, "key", most=MOST_HOT_CELLS)
+        pairs = skew_join(frontier, leaves, "key", "inner", hot).filter("top > floor")
+        pairs = pairs.withColumn("distance_m", F.expr(_TO_SITE)).filter("distance_m <= limit_m")
+        return pairs.groupBy("pid").agg(F.expr("min(struct(distance_m, sid)) AS best"))
 
 
 def nearest_within(
@@ -133,22 +117,19 @@ def nearest_within(
     Left rows without one are absent. Right rows at one position are first reduced to the one with the least id,
     which is the only one a nearest search can return.
     """
-    finite = is_finite(F.col(right_at[0])) & is_finite(F.col(right_at[1]))
     sites = (
-        right.filter(finite)
-        .groupBy(F.col(right_at[0]).alias("slat"), F.col(right_at[1]).alias("slon"))
-        .agg(F.min(right_id).alias("sid"))
+        right.filter(f"{is_finite(right_at[0])} AND {is_finite(right_at[1])}")
+        .groupBy(F.expr(f"{right_at[0]} AS slat"), F.expr(f"{right_at[1]} AS slon"))
+        .agg(F.expr(f"min({right_id}) AS sid"))
         .withColumn("top", F.lit(1))
     )
-    points = left.filter(is_finite(F.col(left_at[0])) & is_finite(F.col(left_at[1]))).select(
-        F.col(left_id).alias("pid"), F.col(left_at[0]).alias("plat"), F.col(left_at[1]).alias("plon")
+    points = left.filter(f"{is_finite(left_at[0])} AND {is_finite(left_at[1])}").selectExpr(
+        f"{left_id} AS pid", f"{left_at[0]} AS plat", f"{left_at[1]} AS plon"
     )
     index = SiteIndex(sites, radius_m, dense_cell)
-    best = index.sparse_pairs(points).groupBy("pid").agg(F.min(F.struct("distance_m", "sid")).alias("best"))
+    best = index.sparse_pairs(points).groupBy("pid").agg(F.expr("min(struct(distance_m, sid)) AS best"))
     if index.has_dense:
-        crowd = points.withColumn("floor", F.lit(0)).withColumn("limit_m", F.lit(float(radius_m)))
+        crowd = points.selectExpr("*", "0 AS floor", f"{float(radius_m)!r}D AS limit_m")
         both = best.unionByName(index.dense_nearest(crowd))
-        best = both.groupBy("pid").agg(F.min("best").alias("best"))
-    return best.select(
-        F.col("pid").alias(left_id), F.col("best.sid").alias(right_id), F.col("best.distance_m").alias("distance_m")
-    )
+        best = both.groupBy("pid").agg(F.expr("min(best) AS best"))
+    return best.selectExpr(f"pid AS {left_id}", f"best.sid AS {right_id}", "best.distance_m")

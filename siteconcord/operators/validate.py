@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siteconcord import params
@@ -19,117 +19,104 @@ def issue_rows(
     *,
     rank: int,
     sort_id: str,
-    kind,
-    message: Column,
+    kind: str,
+    message: str,
     severity: str = "warning",
-    ref: Column | None = None,
-    node: Column | None = None,
-    details: Column | None = None,
+    ref: str = "NULL",
+    node: str = "NULL",
+    details: str = "'{}'",
 ) -> DataFrame:
-    """One issue per row, in the shape all issues share; details are a JSON text."""
-    return rows.select(
-        F.lit(rank).alias("task_rank"),
-        F.col(sort_id).cast("long").alias("sort_id"),
-        (F.lit(kind) if isinstance(kind, str) else kind).alias("issue_type"),
-        F.lit(severity).alias("severity"),
-        message.alias("message"),
-        (F.lit(None) if ref is None else ref).cast("string").alias("register_ref"),
-        (F.lit(None) if node is None else node).cast("long").alias("osm_node_id"),
-        F.coalesce(F.lit(None).cast("string") if details is None else details, F.lit("{}")).alias("details"),
+    """One issue per row, in the shape all issues share; details are a JSON text. Arguments are SQL expressions."""
+    return rows.selectExpr(
+        f"{rank} AS task_rank",
+        f"bigint({sort_id}) AS sort_id",
+        f"{kind} AS issue_type",
+        f"'{severity}' AS severity",
+        f"{message} AS message",
+        f"string({ref}) AS register_ref",
+        f"bigint({node}) AS osm_node_id",
+        f"coalesce({details}, '{{}}') AS details",
     )
 
 
-def _present(c: Column) -> Column:
+def _present(c: str) -> str:
     """A number that is neither null, NaN nor zero."""
-    return F.coalesce((c != 0) & ~F.isnan(c), F.lit(False))
+    return f"coalesce({c} <> 0 AND NOT isnan({c}), false)"
 
 
-def _text(c: Column) -> Column:
-    return F.coalesce(c != "", F.lit(False))
+def _text(c: str) -> str:
+    return f"coalesce({c} <> '', false)"
 
 
-def registry_fault(p: MatchParams) -> Column:
+def registry_fault(p: MatchParams) -> str:
     """The first rule an asset breaks: guid, location, name or outside; null when it is valid."""
-    lat, lon = F.col("SITE_LATITUDE"), F.col("SITE_LONGITUDE")
     return (
-        F.when(~_text(F.col("ASSET_GUID")), F.lit("guid"))
-        .when(~(_present(lat) & _present(lon)), F.lit("location"))
-        .when(~_text(F.col("SITE_NAME")), F.lit("name"))
-        .when(~in_polygons(lat, lon, p.boundary), F.lit("outside"))
+        f"CASE WHEN NOT {_text('ASSET_GUID')} THEN 'guid' "
+        f"WHEN NOT ({_present('SITE_LATITUDE')} AND {_present('SITE_LONGITUDE')}) THEN 'location' "
+        f"WHEN NOT {_text('SITE_NAME')} THEN 'name' "
+        f"WHEN NOT {in_polygons('SITE_LATITUDE', 'SITE_LONGITUDE', p.boundary)} THEN 'outside' END"
     )
 
 
 def validate_registry(assets: DataFrame, p: MatchParams) -> tuple[DataFrame, DataFrame]:
     """(valid assets, issues)."""
-    checked = assets.withColumn("fault", registry_fault(p))
-    valid = checked.filter(F.col("fault").isNull()).drop("fault")
-    fault, guid = F.col("fault"), F.col("ASSET_GUID")
-    named = F.concat(F.lit("Register AED "), guid)
+    checked = assets.withColumn("fault", F.expr(registry_fault(p)))
     issues = issue_rows(
-        checked.filter(fault.isNotNull()),
+        checked.filter("fault IS NOT NULL"),
         rank=0,
         sort_id="asset_ord",
-        kind=F.when(fault == "outside", F.lit(params.OUTSIDE)).otherwise(F.lit(params.MISSING)),
-        message=F.when(fault == "guid", F.lit("Register AED with missing ASSET_GUID is missing required data."))
-        .when(fault == "location", F.concat(named, F.lit(" is missing location data.")))
-        .when(fault == "name", F.concat(named, F.lit(" is missing SITE_NAME.")))
-        .otherwise(F.concat(named, F.lit(" is located outside Norway polygon."))),
-        ref=F.when(fault != "guid", guid),
-        details=F.when(
-            fault == "outside",
-            json_numbers(lat=F.col("SITE_LATITUDE"), lon=F.col("SITE_LONGITUDE")),
-        ),
+        kind=f"CASE fault WHEN 'outside' THEN '{params.OUTSIDE}' ELSE '{params.MISSING}' END",
+        message="CASE fault WHEN 'guid' THEN 'Register AED with missing ASSET_GUID is missing required data.' "
+        "WHEN 'location' THEN concat('Register AED ', ASSET_GUID, ' is missing location data.') "
+        "WHEN 'name' THEN concat('Register AED ', ASSET_GUID, ' is missing SITE_NAME.') "
+        "ELSE concat('Register AED ', ASSET_GUID, ' is located outside Norway polygon.') END",
+        ref="CASE WHEN fault <> 'guid' THEN ASSET_GUID END",
+        details=f"CASE fault WHEN 'outside' THEN {json_numbers(lat='SITE_LATITUDE', lon='SITE_LONGITUDE')} END",
     )
-    return valid, issues
+    return checked.filter("fault IS NULL").drop("fault"), issues
 
 
 def to_register_aed(assets: DataFrame) -> DataFrame:
     """Assets with a key and a numeric position."""
-    return assets.filter(
-        _text(F.col("ASSET_GUID")) & is_finite(F.col("SITE_LATITUDE")) & is_finite(F.col("SITE_LONGITUDE"))
-    )
+    return assets.filter(f"{_text('ASSET_GUID')} AND {is_finite('SITE_LATITUDE')} AND {is_finite('SITE_LONGITUDE')}")
 
 
-def is_node() -> Column:
-    return (F.col("type") == "node") & is_finite(F.col("lat")) & is_finite(F.col("lon"))
+IS_NODE = f"coalesce(type = 'node' AND {is_finite('lat')} AND {is_finite('lon')}, false)"
 
 
 def only_nodes(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes with a position, issues for all other elements)."""
-    fits = F.coalesce(is_node(), F.lit(False))
     issues = issue_rows(
-        elements.filter(~fits),
+        elements.filter(f"NOT {IS_NODE}"),
         rank=0,
         sort_id="elem_ord",
-        kind=params.NOT_A_NODE,
+        kind=f"'{params.NOT_A_NODE}'",
         severity="error",
-        message=F.format_string("OSM element with id %d is of type %s and will be skipped.", "id", "type"),
-        node=F.col("id"),
-        details=F.to_json(F.struct(F.col("type").alias("osmElementType"))),
+        message="concat('OSM element with id ', id, ' is of type ', type, ' and will be skipped.')",
+        node="id",
+        details="to_json(named_struct('osmElementType', type))",
     )
-    return elements.filter(fits), issues
+    return elements.filter(IS_NODE), issues
 
 
 def with_flags(nodes: DataFrame, p: MatchParams) -> DataFrame:
     """Nodes with what the tasks ask of their tags: ref (null = unmanaged), opted_out, aed_only."""
-    tags = F.col("tags")
-    return nodes.select(
+    return nodes.selectExpr(
         "elem_ord",
         "id",
         "lat",
         "lon",
         "version",
         "tags",
-        managed_ref(tags, p).alias("ref"),
-        is_opted_out(tags, p).alias("opted_out"),
-        F.coalesce(is_aed_only(tags, p), F.lit(False)).alias("aed_only"),
+        f"{managed_ref('tags', p)} AS ref",
+        f"{is_opted_out('tags', p)} AS opted_out",
+        f"{is_aed_only('tags', p)} AS aed_only",
     )
 
 
 def element_metrics(elements: DataFrame, p: MatchParams) -> DataFrame:
     """One row: all elements, and nodes with a reference (blanks count)."""
-    linked = F.coalesce(is_node(), F.lit(False)) & is_linked(F.col("tags"), p)
-    return elements.agg(F.count(F.lit(1)).alias("osm_aeds"), F.count_if(linked).alias("linked_aeds"))
+    return elements.selectExpr("count(*) AS osm_aeds", f"count_if({IS_NODE} AND {is_linked('tags', p)}) AS linked_aeds")
 
 
 class RunAborted(Exception):
@@ -143,25 +130,18 @@ def require_rows(nodes: DataFrame) -> None:
 
 def delete_guard(metrics: DataFrame, nodes: DataFrame, p: MatchParams) -> DataFrame:
     """One row (deleted, total, fraction, ok, message): more deletes than the allowed share of nodes is not ok."""
-    total = nodes.agg(F.count(F.lit(1)).alias("total"))
-    share = F.try_divide(F.col("deleted").cast("double"), F.col("total"))
-    ok = F.coalesce(share <= p.max_delete_fraction, F.lit(True))
+    total = nodes.selectExpr("count(*) AS total")
+    message = (
+        "concat(format_string('Delete fraction %.1f%% (%d/%d)', fraction * 100, deleted, total), "
+        f"' exceeds max allowed {p.max_delete_fraction * 100:.1f}%. Aborting run to prevent bad changes.')"
+    )
     # Both sides are one-row aggregates.
-    return metrics.select("deleted").join(F.broadcast(total), how="cross").select(
-        "deleted",
-        "total",
-        F.coalesce(share, F.lit(0.0)).alias("fraction"),
-        ok.alias("ok"),
-        F.when(
-            ~ok,
-            F.format_string(
-                f"Delete fraction %.1f%% (%d/%d) exceeds max allowed {p.max_delete_fraction * 100:.1f}%%. "
-                "Aborting run to prevent bad changes.",
-                share * 100,
-                F.col("deleted"),
-                F.col("total"),
-            ),
-        ).alias("message"),
+    return (
+        metrics.select("deleted")
+        .join(F.broadcast(total), how="cross")
+        .withColumn("fraction", F.expr("coalesce(try_divide(double(deleted), total), 0D)"))
+        .withColumn("ok", F.expr(f"fraction <= {p.max_delete_fraction!r}D"))
+        .withColumn("message", F.expr(f"CASE WHEN NOT ok THEN {message} END"))
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siteconcord.operators.runlog import COUNTERS, EVENT_COLUMNS
@@ -56,7 +55,7 @@ def run_reconciliation(
             osm_aeds_count=inputs["osm_aeds"],
             linked_aeds_count=inputs["linked_aeds"],
         )
-        append_issues(result.issues, f"{out}/issues", run_id, F.lit(_utc_now()).cast("timestamp_ntz"))
+        append_issues(result.issues, f"{out}/issues", run_id, f"TIMESTAMP_NTZ'{_utc_now()}'")
         counts = result.metrics.first()
         append_event(
             spark,

@@ -10,7 +10,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siteconcord import params
@@ -18,7 +18,6 @@ from siteconcord.functions.geo import haversine_m
 from siteconcord.functions.tags import (
     map_asset_to_tags,
     merge_tags,
-    no_tags,
     only_keys,
     or_empty,
     tag_updates,
@@ -40,46 +39,33 @@ from siteconcord.operators.validate import (
     with_flags,
 )
 from siteconcord.params import MatchParams
+from siteconcord.session import materialized
 
 EXTRACT, DELETE, DEDUPE, UPDATE, ADD = 1, 2, 3, 4, 5
 PLAN_ORDER = ("task_rank", "sort_text", "sort_dist", "sort_id")
 NODE = "struct<id:bigint,lat:double,lon:double,version:int,tags:map<string,string>>"
 
 
-def _node(node_id, lat, lon, version, tags: Column) -> Column:
-    return F.struct(
-        F.lit(node_id).alias("id") if isinstance(node_id, int) else F.col(node_id).alias("id"),
-        F.col(lat).alias("lat"),
-        F.col(lon).alias("lon"),
-        F.lit(version).alias("version") if isinstance(version, int) else F.col(version).alias("version"),
-        tags.alias("tags"),
-    ).cast(NODE)
+def _node(node_id: str, lat: str, lon: str, version: str, tags: str) -> str:
+    fields = f"'id', {node_id}, 'lat', {lat}, 'lon', {lon}, 'version', {version}, 'tags', {tags}"
+    return f"cast(named_struct({fields}) AS {NODE})"
 
 
-def _current() -> Column:
-    return _node("id", "lat", "lon", "version", or_empty(F.col("tags")))
+CURRENT = _node("id", "lat", "lon", "version", or_empty("tags"))
 
 
 def plan_rows(
-    rows: DataFrame,
-    rank: int,
-    op: str,
-    *,
-    sort_id: str,
-    before: Column | None = None,
-    after: Column | None = None,
-    sort_text: Column | None = None,
-    sort_dist: Column | None = None,
+    rows: DataFrame, rank: int, changes: dict[str, tuple[str, str]], *, sort_id: str, sort_text: str = "''", sort_dist: str = "0D"
 ) -> DataFrame:
-    none = F.lit(None).cast(NODE)
-    return rows.select(
-        F.lit(rank).alias("task_rank"),
-        F.lit(op).alias("op"),
-        (F.lit("") if sort_text is None else sort_text).alias("sort_text"),
-        (F.lit(0.0) if sort_dist is None else sort_dist).alias("sort_dist"),
-        F.col(sort_id).cast("long").alias("sort_id"),
-        (none if before is None else before).alias("before"),
-        (none if after is None else after).alias("after"),
+    """Plan rows of a task: for each op of `changes` one row per input row, with its (before, after) expressions."""
+    none = f"cast(NULL AS {NODE})"
+    structs = ", ".join(
+        f"named_struct('op', '{op}', 'before', {before or none}, 'after', {after or none})"
+        for op, (before, after) in changes.items()
+    )
+    keys = (f"{rank} AS task_rank", f"{sort_text} AS sort_text", f"{sort_dist} AS sort_dist", f"bigint({sort_id}) AS sort_id")
+    return rows.selectExpr(*keys, f"inline(array({structs}))").select(
+        "task_rank", "op", "sort_text", "sort_dist", "sort_id", "before", "after"
     )
 
 
@@ -91,27 +77,21 @@ def union(frames: Iterable[DataFrame]) -> DataFrame:
 merge_plans = union
 
 
-def _text(template: str, *columns) -> Column:
-    return F.format_string(template, *columns)
-
-
 def plan_extract_mixed(nodes: DataFrame, assets: DataFrame, linked: DataFrame, p: MatchParams):
     """Move the device off nodes that are something else too, to a node of its own at the asset's position."""
-    opted_out = nodes.filter(~F.col("aed_only") & F.col("opted_out"))
     issues = issue_rows(
-        opted_out,
+        nodes.filter("NOT aed_only AND opted_out"),
         rank=EXTRACT,
         sort_id="elem_ord",
-        kind=params.OPTED_OUT,
-        message=_text("Node %d has a note/fixme tag and is excluded from AED extraction.", "id"),
-        node=F.col("id"),
+        kind=f"'{params.OPTED_OUT}'",
+        message="concat('Node ', id, ' has a note/fixme tag and is excluded from AED extraction.')",
+        node="id",
     )
-    mixed = ~F.col("aed_only") & ~F.col("opted_out")
-    columns = ["elem_ord", "id", "lat", "lon", "version", "tags"]
-    by_key = linked.filter(mixed & F.col("first_lat").isNotNull()).select(
-        *columns, F.col("first_lat").alias("to_lat"), F.col("first_lon").alias("to_lon")
+    columns = ("elem_ord", "id", "lat", "lon", "version", "tags")
+    by_key = linked.filter("NOT aed_only AND NOT opted_out AND first_lat IS NOT NULL").selectExpr(
+        *columns, "first_lat AS to_lat", "first_lon AS to_lon"
     )
-    unmanaged = nodes.filter(mixed & F.col("ref").isNull()).select(columns)
+    unmanaged = nodes.filter("NOT aed_only AND NOT opted_out AND ref IS NULL").select(*columns)
     near = nearest_within(
         unmanaged,
         assets,
@@ -120,93 +100,89 @@ def plan_extract_mixed(nodes: DataFrame, assets: DataFrame, linked: DataFrame, p
         right_id="asset_ord",
         right_at=("SITE_LATITUDE", "SITE_LONGITUDE"),
     )
-    places = assets.select("asset_ord", F.col("SITE_LATITUDE").alias("to_lat"), F.col("SITE_LONGITUDE").alias("to_lon"))
-    # Many nodes may share one nearest asset: place the few matched assets first, then bring them to the nodes.
-    by_place = unmanaged.join(near.join(places, "asset_ord").select("elem_ord", "to_lat", "to_lon"), "elem_ord")
-    matched = by_key.unionByName(by_place)
-    stripped = _node("id", "lat", "lon", "version", without_keys(F.col("tags"), p.moved_keys))
-    moved = _node(-1, "to_lat", "to_lon", 0, only_keys(F.col("tags"), p.moved_keys))
-    plan = plan_rows(matched, EXTRACT, "modify", sort_id="elem_ord", before=_current(), after=stripped).unionByName(
-        plan_rows(matched, EXTRACT, "create", sort_id="elem_ord", after=moved)
-    )
-    return plan, issues
+    # Written out: many nodes may share one nearest asset, so the join with the places looks for hot ones first.
+    near = materialized(near, "near")
+    places = assets.selectExpr("asset_ord", "SITE_LATITUDE AS to_lat", "SITE_LONGITUDE AS to_lon")
+    placed = skew_join(near, places, "asset_ord", "inner", hot_keys(near, "asset_ord"))
+    by_place = unmanaged.join(placed.select("elem_ord", "to_lat", "to_lon"), "elem_ord")
+    stripped = _node("id", "lat", "lon", "version", without_keys("tags", p.moved_keys))
+    moved = _node("-1", "to_lat", "to_lon", "0", only_keys("tags", p.moved_keys))
+    changes = {"modify": (CURRENT, stripped), "create": ("", moved)}
+    return plan_rows(by_key.unionByName(by_place), EXTRACT, changes, sort_id="elem_ord"), issues
 
 
 def plan_delete_removed(linked: DataFrame, p: MatchParams):
     """Delete managed nodes whose reference left the registry, unless they are something else too."""
-    stale = linked.filter(F.col("asset_lat").isNull())
-    plan = plan_rows(stale.filter("aed_only"), DELETE, "delete", sort_id="elem_ord", before=_current())
+    stale = linked.filter("asset_lat IS NULL")
+    plan = plan_rows(stale.filter("aed_only"), DELETE, {"delete": (CURRENT, "")}, sort_id="elem_ord")
     issues = issue_rows(
-        stale.filter(~F.col("aed_only")),
+        stale.filter("NOT aed_only"),
         rank=DELETE,
         sort_id="elem_ord",
-        kind=params.KEPT_MIXED,
-        message=_text("Skipped delete of node %d (%s): node has non-AED tags.", "id", "ref"),
-        ref=F.col("ref"),
-        node=F.col("id"),
+        kind=f"'{params.KEPT_MIXED}'",
+        message="concat('Skipped delete of node ', id, ' (', ref, '): node has non-AED tags.')",
+        ref="ref",
+        node="id",
     )
     return plan, issues
 
 
 def plan_resolve_duplicates(linked: DataFrame, hot: list, p: MatchParams):
     """Of nodes sharing a reference keep the one closest to the asset and delete the others."""
-    extra = keep_first(linked.filter(F.col("members") > 1), hot).filter(~F.col("kept"))
+    extra = keep_first(linked.filter("members > 1"), hot).filter("NOT kept")
     plan = plan_rows(
         extra.filter("aed_only"),
         DEDUPE,
-        "delete",
+        {"delete": (CURRENT, "")},
         sort_id="id",
-        before=_current(),
-        sort_text=F.col("ref"),
-        sort_dist=F.coalesce("asset_distance_m", F.lit(0.0)),
+        sort_text="ref",
+        sort_dist="coalesce(asset_distance_m, 0D)",
     )
     issues = issue_rows(
-        extra.filter(~F.col("aed_only")),
+        extra.filter("NOT aed_only"),
         rank=DEDUPE,
         sort_id="id",
-        kind=params.KEPT_MIXED,
-        message=_text("Skipped duplicate delete of node %d (%s): node has non-AED tags.", "id", "ref"),
-        ref=F.col("ref"),
-        node=F.col("id"),
+        kind=f"'{params.KEPT_MIXED}'",
+        message="concat('Skipped duplicate delete of node ', id, ' (', ref, '): node has non-AED tags.')",
+        ref="ref",
+        node="id",
     )
     return plan, issues
 
 
 def plan_update_existing(linked: DataFrame, p: MatchParams):
     """Bring tags up to date, and the position when it is too far off."""
-    single = linked.filter(F.col("members") == 1)
+    single = linked.filter("members = 1")
     opted_out = issue_rows(
         single.filter("opted_out"),
         rank=UPDATE,
         sort_id="elem_ord",
-        kind=params.OPTED_OUT,
-        message=_text("Node %d (%s) has a note/fixme tag and is excluded from updates.", "id", "ref"),
-        ref=F.col("ref"),
-        node=F.col("id"),
+        kind=f"'{params.OPTED_OUT}'",
+        message="concat('Node ', id, ' (', ref, ') has a note/fixme tag and is excluded from updates.')",
+        ref="ref",
+        node="id",
+    )
+    found = single.filter("NOT opted_out AND asset_lat IS NOT NULL").withColumn(
+        "off_m", F.expr(haversine_m("lat", "lon", "asset_lat", "asset_lon"))
     )
-    off = haversine_m(F.col("lat"), F.col("lon"), F.col("asset_lat"), F.col("asset_lon"))
-    found = single.filter(~F.col("opted_out") & F.col("asset_lat").isNotNull()).withColumn("off_m", off)
-    found = found.withColumn("move", F.col("off_m") > p.changed_location_m)
     tolerated = issue_rows(
-        found.filter((F.col("off_m") > p.quiet_location_m) & ~F.col("move")),
+        found.filter(f"off_m > {p.quiet_location_m!r}D AND off_m <= {p.changed_location_m!r}D"),
         rank=UPDATE,
         sort_id="elem_ord",
-        kind=params.TOLERATED,
-        message=_text("Node %d (%s) is %.1fm from register location; keeping OSM location.", "id", "ref", "off_m"),
-        ref=F.col("ref"),
-        node=F.col("id"),
-        details=json_numbers(
-            distanceMeters=F.round("off_m", 2), maxNoMoveDistanceMeters=F.lit(float(p.changed_location_m))
-        ),
+        kind=f"'{params.TOLERATED}'",
+        message="concat('Node ', id, ' (', ref, ') is ', format_string('%.1f', off_m), "
+        "'m from register location; keeping OSM location.')",
+        ref="ref",
+        node="id",
+        details=json_numbers(distanceMeters="round(off_m, 2)", maxNoMoveDistanceMeters=f"{p.changed_location_m!r}D"),
     )
-    changed = found.withColumn("updates", tag_updates(F.col("tags"), F.col("mapped")))
-    changed = changed.filter(F.col("move") | (F.size("updates") > 0)).select(
-        "*",
-        F.when(F.col("move"), F.col("asset_lat")).otherwise(F.col("lat")).alias("to_lat"),
-        F.when(F.col("move"), F.col("asset_lon")).otherwise(F.col("lon")).alias("to_lon"),
+    changed = found.withColumn("updates", F.expr(tag_updates("tags", "mapped"))).withColumn(
+        "move", F.expr(f"off_m > {p.changed_location_m!r}D")
     )
-    after = _node("id", "to_lat", "to_lon", "version", merge_tags(F.col("tags"), F.col("updates")))
-    plan = plan_rows(changed, UPDATE, "modify", sort_id="elem_ord", before=_current(), after=after)
+    at = [f"CASE WHEN move THEN asset_{c} ELSE {c} END" for c in ("lat", "lon")]
+    after = _node("id", *at, "version", merge_tags("tags", "updates"))
+    rows = changed.filter("move OR size(updates) > 0")
+    plan = plan_rows(rows, UPDATE, {"modify": (CURRENT, after)}, sort_id="elem_ord")
     return plan, opted_out.unionByName(tolerated)
 
 
@@ -215,80 +191,71 @@ def asset_outcomes(nodes: DataFrame, assets: DataFrame, p: MatchParams) -> DataF
 
     Outcomes: 'claimed' (merge into the node), 'opted_out', 'near_mixed' (wait for the extraction), 'create'.
     """
-    open_assets = unlinked_assets(to_register_aed(assets), nodes).select(
-        "asset_ord", F.col("SITE_LATITUDE").alias("lat"), F.col("SITE_LONGITUDE").alias("lon")
+    open_assets = unlinked_assets(to_register_aed(assets), nodes).selectExpr(
+        "asset_ord", "SITE_LATITUDE AS lat", "SITE_LONGITUDE AS lon"
     )
-    unmanaged = nodes.filter(F.col("ref").isNull()).select("elem_ord", "lat", "lon", "opted_out", "aed_only")
-    claims = greedy_claim(open_assets, unmanaged.filter("aed_only"), p.merge_radius_m)
+    # Written out: the rounds of the claim and the look for mixed nodes both start from them.
+    open_assets = materialized(open_assets, "open-assets")
+    unmanaged = nodes.filter("ref IS NULL").select("elem_ord", "lat", "lon", "opted_out", "aed_only")
+    claims = materialized(greedy_claim(open_assets, unmanaged.filter("aed_only"), p.merge_radius_m), "claims")
     rest = open_assets.join(claims.select("asset_ord"), "asset_ord", "left_anti")
-    waiting = near_mixed(rest, unmanaged, p)
+    waiting = near_mixed(rest, unmanaged, p).withColumn("outcome", F.lit("near_mixed"))
     return (
         open_assets.select("asset_ord")
-        .join(claims.unionByName(waiting.withColumn("outcome", F.lit("near_mixed"))), "asset_ord", "left")
-        .withColumn("outcome", F.coalesce("outcome", F.lit("create")))
+        .join(claims.unionByName(waiting), "asset_ord", "left")
+        .withColumn("outcome", F.expr("coalesce(outcome, 'create')"))
     )
 
 
 def near_mixed(open_assets: DataFrame, unmanaged: DataFrame, p: MatchParams) -> DataFrame:
     """(asset_ord, elem_ord, distance_m): assets with an unmanaged node that is something else too in range."""
-    mixed = unmanaged.filter(~F.col("aed_only"))
+    mixed = unmanaged.filter("NOT aed_only")
     return nearest_within(open_assets, mixed, p.merge_radius_m, left_id="asset_ord", right_id="elem_ord")
 
 
 def plan_add_new(nodes: DataFrame, assets: DataFrame, p: MatchParams, outcomes: DataFrame | None = None):
     """Give each unlinked asset a node: merge it into an unmanaged one near it, else create one."""
-    outcomes = asset_outcomes(nodes, assets, p) if outcomes is None else outcomes
-    mapped = assets.withColumn("mapped", map_asset_to_tags(p)).select(
-        "asset_ord", "ASSET_GUID", "SITE_LATITUDE", "SITE_LONGITUDE", "mapped"
+    outcomes = materialized(asset_outcomes(nodes, assets, p), "outcomes") if outcomes is None else outcomes
+    planned = outcomes.filter("outcome IN ('claimed', 'create')").join(assets, "asset_ord")
+    mapped = planned.selectExpr(
+        "asset_ord", "elem_ord", "outcome", "SITE_LATITUDE AS to_lat", "SITE_LONGITUDE AS to_lon", f"{map_asset_to_tags(p)} AS mapped"
     )
-    taken = outcomes.filter(F.col("outcome").isin("claimed", "opted_out"))
-    merges = taken.filter(F.col("outcome") == "claimed").join(mapped, "asset_ord").join(nodes, "elem_ord")
-    after = _node("id", "lat", "lon", "version", merge_tags(F.col("tags"), F.col("mapped")))
-    creates = mapped.join(outcomes.filter(F.col("outcome") == "create").select("asset_ord"), "asset_ord", "left_semi")
-    plan = plan_rows(merges, ADD, "modify", sort_id="asset_ord", before=_current(), after=after).unionByName(
-        plan_rows(
-            creates,
-            ADD,
-            "create",
-            sort_id="asset_ord",
-            after=_node(-1, "SITE_LATITUDE", "SITE_LONGITUDE", 0, F.coalesce("mapped", no_tags())),
-        )
+    # A claimed node belongs to one asset, so this join has unique keys on both sides.
+    merges = mapped.filter("outcome = 'claimed'").join(nodes, "elem_ord")
+    after = _node("id", "lat", "lon", "version", merge_tags("tags", "mapped"))
+    created = _node("-1", "to_lat", "to_lon", "0", "mapped")
+    plan = plan_rows(merges, ADD, {"modify": (CURRENT, after)}, sort_id="asset_ord").unionByName(
+        plan_rows(mapped.filter("outcome = 'create'"), ADD, {"create": ("", created)}, sort_id="asset_ord")
     )
-    # A node that opted out is never taken, so any number of assets may end at it; its id is what they need of it.
-    blocked = taken.filter(F.col("outcome") == "opted_out").join(mapped.select("asset_ord", "ASSET_GUID"), "asset_ord")
+    # A node that opted out is never taken, so any number of assets may end at it.
+    blocked = outcomes.filter("outcome = 'opted_out'")
     refusers = nodes.filter("opted_out").select("elem_ord", "id")
     blocked = skew_join(blocked, refusers, "elem_ord", "inner", hot_keys(blocked, "elem_ord"))
     issues = issue_rows(
-        blocked,
+        blocked.join(assets.select("asset_ord", "ASSET_GUID"), "asset_ord"),
         rank=ADD,
         sort_id="asset_ord",
-        kind=params.OPTED_OUT,
-        message=_text(
-            "Skipped merge of register AED %s with node %d (%.1fm): node is opted out.", "ASSET_GUID", "id", "distance_m"
-        ),
-        ref=F.col("ASSET_GUID"),
-        node=F.col("id"),
+        kind=f"'{params.OPTED_OUT}'",
+        message="concat('Skipped merge of register AED ', ASSET_GUID, ' with node ', id, ' (', "
+        "format_string('%.1f', distance_m), 'm): node is opted out.')",
+        ref="ASSET_GUID",
+        node="id",
     )
     return plan, issues
 
 
 def plan_metrics(plan: DataFrame) -> DataFrame:
     """One row: creates, modifies and deletes of all tasks, nothing de-duplicated."""
-    return plan.agg(
-        F.count_if(F.col("op") == "create").alias("created"),
-        F.count_if(F.col("op") == "modify").alias("updated"),
-        F.count_if(F.col("op") == "delete").alias("deleted"),
+    return plan.selectExpr(
+        "count_if(op = 'create') AS created", "count_if(op = 'modify') AS updated", "count_if(op = 'delete') AS deleted"
     )
 
 
 def plan_conflicts(plan: DataFrame) -> DataFrame:
     """Existing nodes the plan touches more than once, with what it does to them. A report; the plan stays as it is."""
-    touched = plan.filter(F.col("before").isNotNull()).groupBy(F.col("before.id").alias("id"))
-    return touched.agg(
-        F.count(F.lit(1)).alias("changes"),
-        F.count_if(F.col("op") == "modify").alias("modifies"),
-        F.count_if(F.col("op") == "delete").alias("deletes"),
-    ).filter(F.col("changes") > 1)
+    counts = ("count(*) AS changes", "count_if(op = 'modify') AS modifies", "count_if(op = 'delete') AS deletes")
+    touched = plan.filter("before IS NOT NULL").groupBy(F.expr("before.id AS id"))
+    return touched.agg(*[F.expr(c) for c in counts]).filter("changes > 1")
 
 
 @dataclass
@@ -312,7 +279,7 @@ def reconcile(assets: DataFrame, elements: DataFrame, p: MatchParams | None = No
     require_rows(nodes)
     linked, hot = linked_nodes(nodes, valid, map_asset_to_tags(p))
     linked = linked.persist()
-    outcomes = asset_outcomes(nodes, valid, p).persist()
+    outcomes = materialized(asset_outcomes(nodes, valid, p), "outcomes")
     tasks = (
         plan_extract_mixed(nodes, valid, linked, p),
         plan_delete_removed(linked, p),
@@ -323,7 +290,6 @@ def reconcile(assets: DataFrame, elements: DataFrame, p: MatchParams | None = No
     plan = merge_plans(t[0] for t in tasks)
     issues = union([asset_issues, element_issues, *(t[1] for t in tasks)])
     metrics = plan_metrics(plan)
-    counts = element_metrics(elements, p).join(
-        F.broadcast(assets.agg(F.count(F.lit(1)).alias("registry_aeds"))), how="cross"
-    )
+    # Two one-row aggregates.
+    counts = element_metrics(elements, p).join(F.broadcast(assets.selectExpr("count(*) AS registry_aeds")), how="cross")
     return Reconciliation(nodes, valid, plan, issues, counts, metrics, delete_guard(metrics, nodes, p))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siteconcord.functions.geo import boundary_box, in_box, in_polygons
-from siteconcord.functions.tags import has_key
+from siteconcord.functions.tags import has_key, tag
+from siteconcord.functions.text import literal
 from siteconcord.params import MatchParams
 
 _POINT = T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())])
@@ -83,13 +84,12 @@ def extract_elements(osm: DataFrame, p: MatchParams) -> DataFrame:
 
     The box on lat / lon reaches the parquet scan. Ways and relations are placed by their centre.
     """
-    lat, lon = F.coalesce("lat", "center.lat"), F.coalesce("lon", "center.lon")
     polygons = [rings[:1] for rings in p.boundary if rings and len(rings[0]) > 2]
-    box = boundary_box(polygons)
-    near = in_box(F.col("lat"), F.col("lon"), box) | F.col("lat").isNull()
-    return osm.filter((F.col("tags")[p.tag_key] == p.tag_value) & near).filter(in_polygons(lat, lon, polygons))
+    near = f"({in_box('lat', 'lon', boundary_box(polygons))} OR lat IS NULL)"
+    tagged = osm.filter(f"{near} AND {tag('tags', p.tag_key)} = {literal(p.tag_value)}")
+    return tagged.filter(in_polygons("coalesce(lat, center.lat)", "coalesce(lon, center.lon)", polygons))
 
 
 def map_layer_scan(osm: DataFrame, p: MatchParams) -> DataFrame:
     """Elements of any kind and place with the tag and the reference key, whatever its value."""
-    return osm.filter((F.col("tags")[p.tag_key] == p.tag_value) & has_key(F.col("tags"), p.ref_key))
+    return osm.filter(f"{tag('tags', p.tag_key)} = {literal(p.tag_value)} AND {has_key('tags', p.ref_key)}")

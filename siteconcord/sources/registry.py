@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siteconcord.functions.geo import box_around, haversine_m, in_box
+from siteconcord.functions.geo import box_around, haversine_m, in_box, number
 from siteconcord.functions.hours import REGISTRY_DAYS
 
 # Field names of the registry's public data format.
@@ -73,10 +73,10 @@ def registry_search(
     if updated_since is not None:
         found = found.filter(F.col("MODIFIED_DATE") >= updated_since)
     if lat is not None and lon is not None and distance_m is not None:
-        at, on = F.col("SITE_LATITUDE"), F.col("SITE_LONGITUDE")
+        at = ("SITE_LATITUDE", "SITE_LONGITUDE")
         # The box reaches the parquet scan; the exact distance is only computed inside it.
-        found = found.filter(in_box(at, on, box_around(lat, lon, distance_m))).filter(
-            haversine_m(F.lit(lat), F.lit(lon), at, on) <= distance_m
+        found = found.filter(in_box(*at, box_around(lat, lon, distance_m))).filter(
+            f"{haversine_m(number(lat), number(lon), *at)} <= {number(distance_m)}"
         )
     if date is not None:
         found = found.filter(active_on(date))

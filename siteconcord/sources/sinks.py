@@ -2,78 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteconcord.functions.tags import drop_undefined
-from siteconcord.functions.text import number_text, xml_escape
+from siteconcord.functions.tags import drop_undefined, has_key
+from siteconcord.functions.text import literal, number_text, xml_escape
 from siteconcord.operators.ordinals import dense_ordinals
-from siteconcord.plans.reconcile import PLAN_ORDER
-
-_SECTIONS = {"create": 1, "modify": 3, "delete": 5}
+from siteconcord.plans.reconcile import NODE, PLAN_ORDER
 
 
 def in_order(plan: DataFrame) -> DataFrame:
-    """The plan with a section number and references in dictionary order, ready to sort by `DOCUMENT_ORDER`."""
-    section = F.coalesce(*[F.when(F.col("op") == op, F.lit(n)) for op, n in _SECTIONS.items()])
-    return plan.withColumn("section", section)
+    """The plan with a section number, references in dictionary order, and `node`: the new state, or the deleted one."""
+    return plan.selectExpr(
+        "CASE op WHEN 'create' THEN 1 WHEN 'modify' THEN 3 ELSE 5 END AS section",
+        "task_rank",
+        "collate(sort_text, 'UNICODE') AS sort_text",
+        "sort_dist",
+        "sort_id",
+        "op",
+        "before",
+        "CASE WHEN op = 'delete' THEN before ELSE after END AS node",
+    )
 
 
 DOCUMENT_ORDER = ("section", *PLAN_ORDER)
+_COLLATED = "collate(sort_text, 'UNICODE')"
 
 
 def assign_create_ids(plan: DataFrame) -> DataFrame:
     """Number the creates with the placeholder id -1 as -1, -2, ... in plan order; other rows stay as they are."""
-    waiting = F.coalesce((F.col("op") == "create") & (F.col("after.id") == -1), F.lit(False))
+    waiting = "coalesce(op = 'create' AND after.id = -1, false)"
     numbered = dense_ordinals(plan.filter(waiting), "n", PLAN_ORDER)
-    numbered = numbered.withColumn("after", F.col("after").withField("id", -F.col("n"))).drop("n")
-    return plan.filter(~waiting).unionByName(numbered)
-
-
-def _target() -> Column:
-    """The node a change is about: the new state, or the deleted one."""
-    return F.when(F.col("op") == "delete", F.col("before")).otherwise(F.col("after"))
+    renumbered = (
+        "cast(named_struct('id', -n, 'lat', after.lat, 'lon', after.lon, 'version', after.version, 'tags', after.tags) "
+        f"AS {NODE})"
+    )
+    numbered = numbered.withColumn("after", F.expr(renumbered)).drop("n")
+    return plan.filter(f"NOT {waiting}").unionByName(numbered)
 
 
 def osc_lines(plan: DataFrame, generator: str = "planned-changes") -> DataFrame:
     """Lines of the OsmChange document: (section, sort keys, line_no, line)."""
-    node = F.col("node")
-    fallback = F.when(F.col("op") == "create", F.lit(0)).otherwise(F.lit(1))
-    version = F.coalesce(node["version"], F.when(F.col("op") == "modify", F.col("before.version")), fallback)
-    head = F.concat(
-        F.lit('    <node id="'),
-        node["id"].cast("string"),
-        F.lit('" lat="'),
-        number_text(node["lat"]),
-        F.lit('" lon="'),
-        number_text(node["lon"]),
-        F.lit('" version="'),
-        version.cast("string"),
-        F.lit('">'),
+    version = (
+        "coalesce(node.version, CASE op WHEN 'create' THEN 0 WHEN 'modify' THEN coalesce(before.version, 1) ELSE 1 END)"
     )
-    # Keys in dictionary order of the Unicode collation.
-    entries = F.array_sort(
-        F.transform(
-            F.map_entries(drop_undefined(node["tags"])),
-            lambda e: F.struct(F.collate(e["key"], "UNICODE").alias("k"), e["value"].alias("v")),
-        )
+    head = (
+        f"concat('    <node id=\"', node.id, '\" lat=\"', {number_text('node.lat')}, '\" lon=\"', "
+        f"{number_text('node.lon')}, '\" version=\"', {version}, '\">')"
     )
-    tag_lines = F.transform(
-        entries,
-        lambda e: F.concat(
-            F.lit('      <tag k="'),
-            xml_escape(F.collate(e["k"], "UTF8_BINARY")),
-            F.lit('" v="'),
-            xml_escape(e["v"]),
-            F.lit('" />'),
-        ),
+    # Keys in dictionary order of the Unicode collation.
+    entries = (
+        f"array_sort(transform(map_entries({drop_undefined('node.tags')}), "
+        "e -> named_struct('k', collate(e.key, 'UNICODE'), 'v', e.value)))"
     )
-    lines = F.concat(F.array(head), tag_lines, F.array(F.lit("    </node>")))
-    body = (
-        in_order(plan)
-        .withColumn("node", _target())
-        .select(*DOCUMENT_ORDER, F.posexplode(lines).alias("line_no", "line"))
+    tag_line = (
+        f"concat('      <tag k=\"', {xml_escape("collate(e.k, 'UTF8_BINARY')")}, '\" v=\"', {xml_escape('e.v')}, '\" />')"
     )
+    lines = f"concat(array({head}), transform({entries}, e -> {tag_line}), array('    </node>'))"
+    body = in_order(plan).selectExpr(*DOCUMENT_ORDER, f"posexplode({lines}) AS (line_no, line)")
     frame = [
         (0, '<?xml version="1.0" encoding="UTF-8"?>'),
         (0, f'<osmChange version="0.6" generator="{generator}">'),
@@ -87,7 +73,8 @@ def osc_lines(plan: DataFrame, generator: str = "planned-changes") -> DataFrame:
     ]
     rows = [(section, 0, "", 0.0, 0, no, line) for no, (section, line) in enumerate(frame)]
     schema = "section int, task_rank int, sort_text string, sort_dist double, sort_id long, line_no int, line string"
-    return body.unionByName(plan.sparkSession.createDataFrame(rows, schema))
+    ends = plan.sparkSession.createDataFrame(rows, schema).withColumn("sort_text", F.expr(_COLLATED))
+    return body.unionByName(ends)
 
 
 def write_osc(plan: DataFrame, path: str, generator: str = "planned-changes") -> None:
@@ -98,31 +85,23 @@ def write_osc(plan: DataFrame, path: str, generator: str = "planned-changes") ->
 
 def geojson_features(plan: DataFrame) -> DataFrame:
     """One GeoJSON Feature text per change; a tag replaces a property of the same name."""
-    node = F.col("node")
-    tags = drop_undefined(node["tags"])
-    moved_from = F.col("op") == "modify"
+    tags = drop_undefined("node.tags")
+    moved_from = "CASE WHEN op = 'modify' THEN {} END"
     meta = {
-        "_operation": F.concat(F.lit('"'), F.col("op"), F.lit('"')),
-        "_osm_id": node["id"].cast("string"),
-        "_from_lat": F.when(moved_from, number_text(F.col("before.lat"))),
-        "_from_lon": F.when(moved_from, number_text(F.col("before.lon"))),
+        "_operation": "concat('\"', op, '\"')",
+        "_osm_id": "string(node.id)",
+        "_from_lat": moved_from.format(number_text("before.lat")),
+        "_from_lon": moved_from.format(number_text("before.lon")),
     }
-    entries = [
-        F.when(v.isNotNull() & ~F.map_contains_key(tags, k), F.concat(F.lit(f'"{k}":'), v)) for k, v in meta.items()
-    ]
-    tag_json = F.to_json(tags)
-    inner = F.when(F.size(tags) > 0, F.substring(tag_json, F.lit(2), F.length(tag_json) - 2))
-    properties = F.concat_ws(",", *entries, inner)
-    feature = F.concat(
-        F.lit('{"type":"Feature","geometry":{"type":"Point","coordinates":['),
-        number_text(node["lon"]),
-        F.lit(","),
-        number_text(node["lat"]),
-        F.lit(']},"properties":{'),
-        properties,
-        F.lit("}}"),
+    entries = [f"CASE WHEN NOT {has_key(tags, k)} THEN concat('\"{k}\":', {v}) END" for k, v in meta.items()]
+    # The tags' JSON object without its braces.
+    inner = f"nullif(substr(to_json({tags}), 2, length(to_json({tags})) - 2), '')"
+    feature = (
+        "concat('{\"type\":\"Feature\",\"geometry\":{\"type\":\"Point\",\"coordinates\":[', "
+        f"{number_text('node.lon')}, ',', {number_text('node.lat')}, ']}},\"properties\":{{', "
+        f"concat_ws(',', {', '.join(entries)}, {inner}), '}}}}')"
     )
-    return in_order(plan).withColumn("node", _target()).select(*DOCUMENT_ORDER, feature.alias("feature"))
+    return in_order(plan).selectExpr(*DOCUMENT_ORDER, f"{feature} AS feature")
 
 
 def write_geojson(plan: DataFrame, path: str, collection: bool = False) -> None:
@@ -131,26 +110,25 @@ def write_geojson(plan: DataFrame, path: str, collection: bool = False) -> None:
     if not collection:
         features.orderBy(*DOCUMENT_ORDER).select("feature").write.text(path)
         return
-    first = features.agg(F.min(F.struct(*DOCUMENT_ORDER)).alias("first"))
-    # The feature without a comma before it; one row.
-    marked = features.join(F.broadcast(first), how="cross")
-    is_first = F.struct(*DOCUMENT_ORDER) == F.col("first")
-    lines = marked.withColumn("feature", F.concat(F.when(is_first, F.lit("")).otherwise(F.lit(",")), F.col("feature")))
+    first = features.selectExpr(f"min(struct({', '.join(DOCUMENT_ORDER)})) AS first")
+    # All but the first feature begin with a comma; the first is one row.
+    comma = f"concat(CASE WHEN struct({', '.join(DOCUMENT_ORDER)}) = first THEN '' ELSE ',' END, feature) AS feature"
+    lines = features.join(F.broadcast(first), how="cross").selectExpr(*DOCUMENT_ORDER, comma)
     ends = [(0, 0, "", 0.0, 0, '{"type":"FeatureCollection","features":['), (9, 0, "", 0.0, 0, "]}")]
     schema = "section int, task_rank int, sort_text string, sort_dist double, sort_id long, feature string"
-    lines = lines.drop("first").unionByName(plan.sparkSession.createDataFrame(ends, schema))
-    lines.orderBy(*DOCUMENT_ORDER).select("feature").write.text(path)
+    ends = plan.sparkSession.createDataFrame(ends, schema).withColumn("sort_text", F.expr(_COLLATED))
+    lines.unionByName(ends).orderBy(*DOCUMENT_ORDER).select("feature").write.text(path)
 
 
-def numbered_issues(issues: DataFrame, run_id: str, created_at: Column) -> DataFrame:
+def numbered_issues(issues: DataFrame, run_id: str, created_at: str) -> DataFrame:
     """Issues as rows of the run log: an id each, the run, and `issue_seq` in task order."""
-    order = ("task_rank", "sort_id", "issue_type", "message")
-    rows = issues.groupBy(*issues.columns).agg(F.count(F.lit(1)).alias("copies"))
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
-    numbered = dense_ordinals(rows, "issue_seq", (*order, "register_ref", "osm_node_id", "copy"))
-    return numbered.select(
-        F.uuid().alias("id"),
-        F.lit(run_id).alias("run_id"),
+    # Equal issues are counted and numbered, so that the order below is unique.
+    counted = issues.groupBy(*issues.columns).count()
+    rows = counted.withColumn("copy", F.expr("explode(sequence(1L, count))")).drop("count")
+    order = ("task_rank", "sort_id", "issue_type", "message", "register_ref", "osm_node_id", "details", "copy")
+    return dense_ordinals(rows, "issue_seq", order).selectExpr(
+        "uuid() AS id",
+        f"{literal(run_id)} AS run_id",
         "issue_seq",
         "issue_type",
         "severity",
@@ -158,11 +136,11 @@ def numbered_issues(issues: DataFrame, run_id: str, created_at: Column) -> DataF
         "register_ref",
         "osm_node_id",
         "details",
-        created_at.alias("created_at"),
-        F.to_date(created_at).alias("created_on"),
+        f"{created_at} AS created_at",
+        f"date({created_at}) AS created_on",
     )
 
 
-def append_issues(issues: DataFrame, path: str, run_id: str, created_at: Column) -> None:
+def append_issues(issues: DataFrame, path: str, run_id: str, created_at: str) -> None:
     rows = numbered_issues(issues, run_id, created_at)
     rows.write.mode("append").partitionBy("created_on").parquet(path)
