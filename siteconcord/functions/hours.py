@@ -12,7 +12,10 @@ REGISTRY_DAYS = ("MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN")
 def format_hhmm(c: str) -> str:
     """1630 -> '16:30'; null unless it is a time of day up to 24:00."""
     whole = f"CASE WHEN double({c}) > -1 AND double({c}) < 2401 THEN int({c}) END"
-    shown = "CASE WHEN t BETWEEN 0 AND 2400 AND t % 100 < 60 THEN format_string('%02d:%02d', t div 100, t % 100) END"
+    shown = (
+        "CASE WHEN t BETWEEN 0 AND 2400 AND t % 100 < 60 "
+        "THEN concat(lpad(t div 100, 2, '0'), ':', lpad(t % 100, 2, '0')) END"
+    )
     return let(whole, "t", shown)
 
 

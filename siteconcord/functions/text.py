@@ -57,7 +57,9 @@ def clean_tag_value(c: str) -> str:
     cleaned = c
     for pattern, by in (("[\r\n]+", ". "), (f"{SPACE}+", " "), (r" \.", "."), (r"\.+", ".")):
         cleaned = replaced(cleaned, pattern, by)
-    body = f"CASE WHEN length(v) > 0 AND {utf16_length('v')} < {TAG_VALUE_LIMIT} THEN v END"
+    # Up to half the limit in code points fits whatever the characters are.
+    short = f"length(v) <= {(TAG_VALUE_LIMIT - 1) // 2} OR {utf16_length('v')} < {TAG_VALUE_LIMIT}"
+    body = f"CASE WHEN length(v) > 0 AND ({short}) THEN v END"
     return let(trimmed(cleaned), "v", body)
 
 

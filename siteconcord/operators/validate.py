@@ -58,10 +58,13 @@ def registry_fault(p: MatchParams) -> str:
     )
 
 
-def validate_registry(assets: DataFrame, p: MatchParams) -> tuple[DataFrame, DataFrame]:
-    """(valid assets, issues)."""
-    checked = assets.withColumn("fault", F.expr(registry_fault(p)))
-    issues = issue_rows(
+def with_fault(assets: DataFrame, p: MatchParams) -> DataFrame:
+    return assets.withColumn("fault", F.expr(registry_fault(p)))
+
+
+def registry_issues(checked: DataFrame) -> DataFrame:
+    """One issue per asset with a fault."""
+    return issue_rows(
         checked.filter("fault IS NOT NULL"),
         rank=0,
         sort_id="asset_ord",
@@ -73,7 +76,16 @@ def validate_registry(assets: DataFrame, p: MatchParams) -> tuple[DataFrame, Dat
         ref="CASE WHEN fault <> 'guid' THEN ASSET_GUID END",
         details=f"CASE fault WHEN 'outside' THEN {json_numbers(lat='SITE_LATITUDE', lon='SITE_LONGITUDE')} END",
     )
-    return checked.filter("fault IS NULL").drop("fault"), issues
+
+
+def without_fault(checked: DataFrame) -> DataFrame:
+    return checked.filter("fault IS NULL").drop("fault")
+
+
+def validate_registry(assets: DataFrame, p: MatchParams) -> tuple[DataFrame, DataFrame]:
+    """(valid assets, issues)."""
+    checked = with_fault(assets, p)
+    return without_fault(checked), registry_issues(checked)
 
 
 def to_register_aed(assets: DataFrame) -> DataFrame:

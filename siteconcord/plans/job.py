@@ -11,7 +11,6 @@ from siteconcord.operators.runlog import COUNTERS, EVENT_COLUMNS
 from siteconcord.operators.validate import enforce
 from siteconcord.params import MatchParams
 from siteconcord.plans.reconcile import reconcile
-from siteconcord.session import materialized
 from siteconcord.sources.runlog import MODES
 from siteconcord.sources.sinks import append_issues, write_geojson, write_osc
 
@@ -67,7 +66,7 @@ def run_reconciliation(
             deleted_count=counts["deleted"],
         )
         enforce(result.guard)
-        plan = materialized(result.plan, "plan")
+        plan = result.plan
         plan.write.parquet(f"{out}/plans/{run_id}")
         write_osc(plan, f"{out}/changes/{run_id}.osc")
         write_geojson(plan, f"{out}/changes/{run_id}.geojson")

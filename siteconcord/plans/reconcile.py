@@ -33,10 +33,12 @@ from siteconcord.operators.validate import (
     element_metrics,
     issue_rows,
     only_nodes,
+    registry_issues,
     require_rows,
     to_register_aed,
-    validate_registry,
+    with_fault,
     with_flags,
+    without_fault,
 )
 from siteconcord.params import MatchParams
 from siteconcord.session import materialized
@@ -270,15 +272,15 @@ class Reconciliation:
 
 
 def reconcile(assets: DataFrame, elements: DataFrame, p: MatchParams | None = None) -> Reconciliation:
-    """Validate both snapshots and plan all changes. Nothing is written; `guard` tells whether the plan may be used."""
+    """Validate both snapshots and plan all changes; `guard` tells whether the plan may be used."""
     p = p or MatchParams()
-    valid, asset_issues = validate_registry(assets, p)
     kept, element_issues = only_nodes(elements)
-    # Both are read by every task.
-    valid, nodes = valid.persist(), with_flags(kept, p).persist()
+    # Written out, since every task reads them: short plans, pruned columns, and nothing to recompute on a lost executor.
+    checked = materialized(with_fault(assets, p), "assets")
+    valid, nodes = without_fault(checked), materialized(with_flags(kept, p), "nodes")
     require_rows(nodes)
     linked, hot = linked_nodes(nodes, valid, map_asset_to_tags(p))
-    linked = linked.persist()
+    linked = materialized(linked, "linked")
     outcomes = materialized(asset_outcomes(nodes, valid, p), "outcomes")
     tasks = (
         plan_extract_mixed(nodes, valid, linked, p),
@@ -287,8 +289,9 @@ def reconcile(assets: DataFrame, elements: DataFrame, p: MatchParams | None = No
         plan_update_existing(linked, p),
         plan_add_new(nodes, valid, p, outcomes),
     )
-    plan = merge_plans(t[0] for t in tasks)
-    issues = union([asset_issues, element_issues, *(t[1] for t in tasks)])
+    # Written once: metrics, guard and files are all made from them.
+    plan = materialized(merge_plans(t[0] for t in tasks), "plan")
+    issues = materialized(union([registry_issues(checked), element_issues, *(t[1] for t in tasks)]), "issues")
     metrics = plan_metrics(plan)
     # Two one-row aggregates.
     counts = element_metrics(elements, p).join(F.broadcast(assets.selectExpr("count(*) AS registry_aeds")), how="cross")
