@@ -1,0 +1,10 @@
+"""All registered queries."""
+
+import importlib
+
+from siteconcord.catalog.book import ORACLES, QUERIES
+
+for _module in ("inputs",):
+    importlib.import_module(f"siteconcord.catalog.{_module}")
+
+__all__ = ["ORACLES", "QUERIES"]
