@@ -10,6 +10,7 @@ from siteconcord.catalog import fixtures
 from siteconcord.catalog.fixtures import ASSETS_SQL, ELEMENTS_SQL, ISSUES_SQL, RUNS_SQL
 from siteconcord.operators import validate
 from siteconcord.params import MatchParams
+from siteconcord.session import materialized
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +54,11 @@ class Inputs:
     def issues(self) -> DataFrame:
         return fixtures.issues(self.spark, self.sf_dir)
 
+    @property
+    def staged(self) -> tuple[DataFrame, DataFrame]:
+        """(valid assets, nodes) written out, for operators that read them many times."""
+        return materialized(self.valid, "assets"), materialized(self.nodes, "nodes")
+
     @property
     def valid(self) -> DataFrame:
         return validate.validate_registry(self.assets, PARAMS)[0]
@@ -108,11 +114,9 @@ def ctes(*names: str, recursive: bool = False) -> str:
 
 
 def distance(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    a = (
-        f"power(sin(radians({lat2} - {lat1}) / 2), 2) + "
-        f"power(sin(radians({lon2} - {lon1}) / 2), 2) * cos(radians({lat1})) * cos(radians({lat2}))"
-    )
-    return f"(2 * 6371000.0 * asin(sqrt({a})))"
+    up, side = f"sin(radians({lat2} - {lat1}) / 2)", f"sin(radians({lon2} - {lon1}) / 2)"
+    a = f"({up} * {up} + {side} * {side} * cos(radians({lat1})) * cos(radians({lat2})))"
+    return f"(6371000.0::DOUBLE * 2 * atan2(sqrt({a}), sqrt(1 - {a})))"
 
 
 def sql_tags(*pairs: tuple[str, str]) -> str:
