@@ -4,7 +4,7 @@ import importlib
 
 from siteconcord.catalog.book import ORACLES, QUERIES
 
-for _module in ("inputs", "matching", "scalars", "planning"):
+for _module in ("inputs", "matching", "scalars", "planning", "dashboards", "streams"):
     importlib.import_module(f"siteconcord.catalog.{_module}")
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -163,16 +163,16 @@ def closest(spark, sf):
 
 
 # The other engine walks the assets in order, one step of the recursion each.
-CLAIMS = f"""edges AS (SELECT a.asset_ord, n.elem_ord, n.opted_out, {_NODE_TO_ASSET} AS d FROM unlinked a JOIN nodes n ON {_NEAR}
+CLAIMS = f"""edges AS MATERIALIZED (SELECT a.asset_ord, n.elem_ord, n.opted_out, {_NODE_TO_ASSET} AS d FROM unlinked a JOIN nodes n ON {_NEAR}
   WHERE n.mref IS NULL AND n.aed_only AND {_NODE_TO_ASSET} <= 175),
-choices AS (SELECT asset_ord, row_number() OVER (ORDER BY asset_ord) AS i, list({{'e': elem_ord, 'o': opted_out, 'd': d}} ORDER BY d, elem_ord) AS c FROM edges GROUP BY asset_ord),
+choices AS MATERIALIZED (SELECT asset_ord, row_number() OVER (ORDER BY asset_ord) AS i, list({{'e': elem_ord, 'o': opted_out, 'd': d}} ORDER BY d, elem_ord) AS c FROM edges GROUP BY asset_ord),
 walk(i, asset_ord, taken, pick) AS (
   SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST([] AS BIGINT[]), CAST(NULL AS STRUCT(e BIGINT, o BOOLEAN, d DOUBLE))
   UNION ALL
   SELECT i, asset_ord, CASE WHEN pick IS NOT NULL AND NOT pick.o THEN list_append(taken, pick.e) ELSE taken END, pick FROM (
     SELECT c.i, c.asset_ord, w.taken, list_filter(c.c, lambda x: NOT list_contains(w.taken, x.e))[1] AS pick FROM walk w JOIN choices c ON c.i = w.i + 1)),
-claims AS (SELECT asset_ord, pick.e AS elem_ord, CASE WHEN pick.o THEN 'opted_out' ELSE 'claimed' END AS outcome, pick.d AS d FROM walk WHERE pick IS NOT NULL),
-mixed AS (SELECT DISTINCT a.asset_ord FROM unlinked a JOIN nodes n ON {_NEAR} WHERE n.mref IS NULL AND NOT n.aed_only AND {_NODE_TO_ASSET} <= 175)"""
+claims AS MATERIALIZED (SELECT asset_ord, pick.e AS elem_ord, CASE WHEN pick.o THEN 'opted_out' ELSE 'claimed' END AS outcome, pick.d AS d FROM walk WHERE pick IS NOT NULL),
+mixed AS MATERIALIZED (SELECT DISTINCT a.asset_ord FROM unlinked a JOIN nodes n ON {_NEAR} WHERE n.mref IS NULL AND NOT n.aed_only AND {_NODE_TO_ASSET} <= 175)"""
 
 
 @query(
