@@ -96,10 +96,11 @@ def in_polygons(lat: str, lon: str, polygons) -> str:
     for rings in polygons:
         if not rings:
             continue
-        parts = [_in_ring(lat, lon, rings[0])] + [f"NOT {_in_ring(lat, lon, hole)}" for hole in rings[1:]]
-        tests.append(f"CASE WHEN {in_box(lat, lon, boundary_box([rings]))} THEN {' AND '.join(parts)} ELSE false END")
-    found = " OR ".join(f"({t})" for t in tests) or "false"
-    return f"({is_finite(lat)} AND ({found}))"
+        parts = [_in_ring("p.y", "p.x", rings[0])] + [f"NOT {_in_ring('p.y', 'p.x', hole)}" for hole in rings[1:]]
+        tests.append(f"CASE WHEN {in_box('p.y', 'p.x', boundary_box([rings]))} THEN {' AND '.join(parts)} ELSE false END")
+    found = f"{is_finite('p.y')} AND ({' OR '.join(tests) or 'false'})"
+    # The position is bound once, however it is computed.
+    return f"transform(array(named_struct('x', {lon}, 'y', {lat})), p -> {found})[0]"
 
 
 class RadiusGrid:
