@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from siteconcord.catalog import fixtures
 from siteconcord.catalog.fixtures import ASSETS_SQL, ELEMENTS_SQL, ISSUES_SQL, RUNS_SQL
 from siteconcord.operators import validate
-from siteconcord.params import MatchParams
+from siteconcord.params import REF_KEY, MatchParams
 from siteconcord.session import materialized
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +131,6 @@ def number_sql(c: str) -> str:
 
 ELEMENT_TAGS = sql_tags(
     ("emergency", "'defibrillator'"),
-    ("ref:hjertestarterregister", "ref"),
+    (REF_KEY, "ref"),
     *((k, k) for k in ("name", "note", "fixme", "amenity", "opening_hours")),
 )

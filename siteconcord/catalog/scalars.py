@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from siteconcord.catalog.book import PARAMS, RUNS, Inputs, ctes, number_sql, query, sql_tags
 from siteconcord.functions import display, hours, tags, text
+from siteconcord.params import REF_KEY
 
 # --- texts: the documents and the descriptions of the assets --------------------------------------------------------
 
@@ -155,7 +156,7 @@ _ROTAID = f"{_D_TEXT} ILIKE '%rotaid%'"
 MAPPED = (
     ("emergency", "'defibrillator'"),
     ("emergency:phone", "'113'"),
-    ("ref:hjertestarterregister", "ASSET_GUID"),
+    (REF_KEY, "ASSET_GUID"),
     ("name", limited_sql(clean_sql("SITE_NAME"))),
     ("level", _LEVEL),
     ("defibrillator:location", limited_sql(clean_sql("SITE_DESCRIPTION"))),
@@ -239,7 +240,7 @@ def drop_undefined(spark, sf):
 
 
 REST_SQL = sql_tags(*((k, k) for k in ("name", "note", "fixme", "amenity", "opening_hours")))
-MOVED_SQL = sql_tags(("emergency", "'defibrillator'"), ("ref:hjertestarterregister", "ref"))
+MOVED_SQL = sql_tags(("emergency", "'defibrillator'"), (REF_KEY, "ref"))
 
 
 @query("split_aed_tags", f"{ctes('elements')} SELECT id, {MOVED_SQL} AS moved, {REST_SQL} AS rest FROM elements")

@@ -11,7 +11,7 @@ from siteconcord.operators.runlog import COUNTERS, EVENT_COLUMNS
 from siteconcord.operators.validate import enforce
 from siteconcord.params import MatchParams
 from siteconcord.plans.reconcile import reconcile
-from siteconcord.sources.runlog import MODES
+from siteconcord.sources.runlog import MODES, STATUSES
 from siteconcord.sources.sinks import append_issues, write_geojson, write_osc
 
 
@@ -21,6 +21,8 @@ def _utc_now() -> datetime:
 
 def append_event(spark: SparkSession, path: str, run_id: str, kind: str, **fields) -> None:
     """Append one event of a run; increments must be non-negative."""
+    if fields.get("mode", MODES[0]) not in MODES or fields.get("status", STATUSES[0]) not in STATUSES:
+        raise ValueError(f"Unknown mode or status: {fields}")
     negative = {k: v for k, v in fields.items() if k in COUNTERS and v < 0}
     if negative:
         raise ValueError(f"Counters must not be negative: {negative}")
@@ -38,8 +40,6 @@ def run_reconciliation(
     Counters are stored before the delete guard, files only after it. On failure the run is recorded as failed and the
     error goes on.
     """
-    if mode not in MODES:
-        raise ValueError(f"Unknown mode {mode!r}")
     events = f"{out}/run_events"
     append_event(spark, events, run_id, "start", mode=mode)
     try:

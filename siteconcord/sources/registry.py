@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from siteconcord.functions.geo import box_around, haversine_m, in_box, number
 from siteconcord.functions.hours import REGISTRY_DAYS
+from siteconcord.operators.skew import hot_keys, skew_join
 
 # Field names of the registry's public data format.
 _TEXT_FIELDS = (
@@ -107,7 +108,7 @@ def registry_inactive(assets: DataFrame, since: str) -> DataFrame:
 
 def registry_removed_between(before: DataFrame, after: DataFrame) -> DataFrame:
     """Assets of the earlier snapshot whose key the later one lacks."""
-    return before.join(after.select("ASSET_GUID"), "ASSET_GUID", "left_anti")
+    return skew_join(before, after, "ASSET_GUID", "left_anti", hot_keys(before, "ASSET_GUID"))
 
 
 def registry_by_owner(assets: DataFrame, owner: int) -> DataFrame:

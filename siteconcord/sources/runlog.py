@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Allowed states of a run and grades of an issue.
+# Allowed modes and states of a run.
 MODES = ("dry-run", "live")
 STATUSES = ("running", "success", "failed")
-SEVERITIES = ("warning", "error")
 
 RUN_COLUMNS = (
     "id string, started_at timestamp_ntz, finished_at timestamp_ntz, status string, mode string, error_message string, "
