@@ -11,9 +11,11 @@ from siteconcord.session import materialized
 
 # A cell with more sites than this is searched part by part instead of pairing each probe with all of them.
 DENSE_CELL = 256
-# Each refinement cuts a cell's part into SPLITS x SPLITS; three of them take 175 m down to about 4 cm.
-SPLITS = 16
-REFINEMENTS = 3
+# Each refinement cuts a cell's part into SPLITS x SPLITS; six of them take 175 m down to about 4 cm, where positions
+# given in 1e-7 degrees leave at most a few dozen. Refining ends earlier when no part holds more than LEAF sites.
+SPLITS = 4
+REFINEMENTS = 6
+LEAF = 16
 # Hot cells meet up to DENSE_CELL rows each, so fewer of them are broadcast.
 MOST_HOT_CELLS = 1_000
 
@@ -77,24 +79,29 @@ class SiteIndex:
         sites = self.dense if sites is None else sites
         splits = {f"part_{k}": SPLITS**k for k in range(1, REFINEMENTS + 1)}
         sites = self.grid.with_parts(sites, "slat", "slon", splits).withColumn("part_0", F.lit(0))
+        sites = materialized(sites, "parts")
         # Each level of the search is written out: it is used for its hot keys and for the join.
         frontier = self.dense_probes(points).withColumn("key", F.expr("concat(cell, '/0')"))
         frontier = materialized(frontier, "frontier")
-        for k in range(1, REFINEMENTS + 1):
+        depth, largest = 0, LEAF + 1
+        while depth < REFINEMENTS and largest > LEAF:
+            depth += 1
             parts = sites.groupBy(
-                F.expr(f"concat(cell, '/', part_{k - 1}) AS key"), F.expr(f"concat(cell, '/', part_{k}) AS next")
-            ).agg(F.expr("max(top) AS top"), F.expr("max_by(struct(slat, slon), top) AS rep"))
+                F.expr(f"concat(cell, '/', part_{depth - 1}) AS key"), F.expr(f"concat(cell, '/', part_{depth}) AS next")
+            ).agg(F.expr("count(*) AS n"), F.expr("max(top) AS top"), F.expr("max_by(struct(slat, slon), top) AS rep"))
+            largest = parts.selectExpr("max(n)").first()[0]
             hot = hot_keys(frontier, "key", most=MOST_HOT_CELLS)
             seen = skew_join(frontier, parts, "key", "inner", hot).filter("top > floor")
             to_rep = haversine_m("plat", "plon", "rep.slat", "rep.slon")
-            # At most 9 * SPLITS^2 rows per point and level.
+            # A bounded number of rows per point and level: the parts of the few that could not be ruled out before.
             bounded = seen.withColumn("to_rep", F.expr(to_rep)).withColumn(
                 "bound", F.expr("least(limit_m, min(to_rep) OVER (PARTITION BY pid))")
             )
-            span = self.grid.part_span_m("cell", SPLITS**k)
-            kept = bounded.filter(f"to_rep - {span} <= bound").drop("key", "top", "rep", "to_rep", "bound")
-            frontier = materialized(kept.withColumnRenamed("next", "key"), "frontier")
-        leaves = sites.selectExpr("sid", "slat", "slon", "top", f"concat(cell, '/', part_{REFINEMENTS}) AS key")
+            span = self.grid.part_span_m("cell", SPLITS**depth)
+            kept = bounded.filter(f"to_rep - {span} <= bound").drop("key", "n", "top", "rep", "to_rep", "limit_m")
+            # The bound goes on to the next level.
+            frontier = materialized(kept.withColumnsRenamed({"next": "key", "bound": "limit_m"}), "frontier")
+        leaves = sites.selectExpr("sid", "slat", "slon", "top", f"concat(cell, '/', part_{depth}) AS key")
         hot = hot_keys(frontier, "key", most=MOST_HOT_CELLS)
         pairs = skew_join(frontier, leaves, "key", "inner", hot).filter("top > floor")
         pairs = pairs.withColumn("distance_m", F.expr(_TO_SITE)).filter("distance_m <= limit_m")
