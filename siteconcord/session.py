@@ -33,3 +33,13 @@ def materialized(df: DataFrame, label: str = "step") -> DataFrame:
     folder = new_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again. Each must be one that `materialized` gave."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            jvm = df.sparkSession.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
