@@ -8,7 +8,7 @@ each stands on at least T of the other's inverted lists. The search follows Divi
 * Of a set of n shingles any partner holds percent * n / 100, so it must meet one of any n - ceil(percent * n / 100) + 1 lists.
   Lists are taken in the order of the shingles' hashes; each document merges only its first ones, its head (with some to spare).
   The merge is the shuffle that brings together a list's documents and counts, per pair, the lists it occurs on.
-* Long lists (more than `LONG` components on them) are set aside: a document takes the next short lists instead, its head being
+* Long lists (more than `LONG` partners a document, counting documents of other components) are set aside: a document takes the next short lists instead, its head being
   recomputed from its text if the spare ones do not suffice. Only a document that has no short lists left merges long ones.
 * A pair that occurs on c merged lists can reach c plus the lists not merged. Pairs that can still reach T are probed: the
   rest of one sorted set is looked up in the other by binary search.
@@ -39,12 +39,12 @@ from pyspark.sql import functions as F
 
 from siteconcord.llm.batches import as_bytes, chunks
 from siteconcord.llm.common import small
-from siteconcord.session import materialized
+from siteconcord.session import discard, materialized
 
 SHINGLE = 4
 PERCENT = 85
-# Lists with documents of more components than this are set aside.
-LONG = 16
+# Lists on which a document meets more than this many documents of other components, on average, are set aside.
+LONG = 8
 # Choices of the document a list's others are linked to before pairs are searched.
 STARS = 2
 
@@ -120,8 +120,11 @@ def _sets(rows: DataFrame, k: int, percent: int) -> DataFrame:
 # --- components -------------------------------------------------------------------------------------------------------
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, comp) for every id on an edge (a, b): comp is the smallest id reachable. Large and small stars alternate."""
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(id, comp) for every id on an edge (a, b): comp is the smallest id reachable. Large and small stars alternate.
+
+    With `rounds`, it stops after so many: ids with the same comp are then connected, but connected ids may still differ in it.
+    """
 
     def least(rows: DataFrame) -> DataFrame:
         # Written, so that a node with very many edges meets its minimum in a broadcast or a join that can be split.
@@ -129,20 +132,24 @@ def components(edges: DataFrame) -> DataFrame:
 
     edges = edges.selectExpr("greatest(a, b) AS u", "least(a, b) AS v").filter("u <> v").distinct()
     edges = materialized(edges, "edges")
-    print_of = None
-    while True:
+    print_of, done = None, 0
+    while done != rounds:
         both = edges.unionByName(edges.selectExpr("v AS u", "u AS v"))
         large = both.join(least(both), "u").filter("v > u").selectExpr("v AS u", "least(m, u) AS v").distinct()
         large = materialized(large, "edges")
         met = large.join(least(large), "u")
         smaller = met.filter("v <> m").selectExpr("v AS u", "m AS v").unionByName(met.selectExpr("u", "m AS v"))
+        discard(edges)
         edges = materialized(smaller.distinct(), "edges")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"), F.sum(F.expr("xxhash64(v, u) >> 20"))).first())
-        if now == print_of:
-            break
-        print_of = now
-    tops = edges.select(F.col("v").alias("id")).distinct().selectExpr("id", "id AS comp")
-    return materialized(edges.selectExpr("u AS id", "v AS comp").unionByName(tops), "components")
+        discard(large)
+        done += 1
+        if rounds is None:
+            now = tuple(edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"), F.sum(F.expr("xxhash64(v, u) >> 20"))).first())
+            if now == print_of:
+                break
+            print_of = now
+    tops = edges.selectExpr("v AS id", "v AS comp").join(edges.select(F.col("u").alias("id")), "id", "left_anti").distinct()
+    return materialized(edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("comp")).unionByName(tops), "components")
 
 
 # --- the search -------------------------------------------------------------------------------------------------------
@@ -190,29 +197,32 @@ class _Search:
             return rows.withColumn("comp", F.col("id"))
         return rows.join(small(self.comps), "id", "left").withColumn("comp", F.expr("coalesce(comp, id)"))
 
+    def rows(self) -> DataFrame:
+        return self.classes.select("id", "n", F.explode("head").alias("h"))
+
     def shared(self) -> DataFrame:
-        """(h, id): the inverted lists of the heads that hold more than one class."""
-        rows = self.classes.select("id", F.explode("head").alias("h"))
-        several = rows.groupBy("h").count().filter("count > 1").select("h")
-        return materialized(rows.join(several, "h"), "lists")
+        """(h, id, n): the inverted lists of the heads that hold more than one class."""
+        several = self.rows().groupBy("h").count().filter("count > 1").select("h")
+        return materialized(self.rows().join(several, "h"), "lists")
 
-    def add(self, pairs: DataFrame) -> None:
+    def add(self, pairs: DataFrame, rounds: int | None = None) -> None:
         """Verify pairs (a, b, na, nb) and merge the components of those that link."""
-        found = self._verified(materialized(pairs, "pairs"))
-        if found.isEmpty():
-            return
-        self.links = found if self.links is None else self.links.unionByName(found)
-        self.comps = components(self.links)
+        pairs = materialized(pairs, "pairs")
+        if not pairs.isEmpty():
+            found = self._verified(pairs)
+            self.links = found if self.links is None else self.links.unionByName(found)
+        if self.links is not None:
+            self.comps = components(self.links, rounds)
 
     def star(self, lists: DataFrame, salt: int) -> DataFrame:
         """Each list's documents of other components, paired with one of its documents."""
         rows = self._labelled(lists)
         chosen = rows.groupBy("h").agg(
-            F.min(F.expr(f"struct(xxhash64(id, {salt}), id, comp)")).alias("centre"), F.expr("min(comp) <> max(comp) AS mixed")
+            F.min(F.expr(f"struct(xxhash64(id, {salt}), id, n, comp)")).alias("centre"), F.expr("min(comp) <> max(comp) AS mixed")
         )
         met = rows.join(chosen.filter("mixed"), "h").filter("comp <> centre.comp")
-        pairs = met.selectExpr("least(id, centre.id) AS a", "greatest(id, centre.id) AS b").distinct()
-        return self._can_reach(self._measured(pairs))
+        sized = met.selectExpr("least(id, centre.id) AS a", "greatest(id, centre.id) AS b", "n AS na", "centre.n AS nb").filter(self.near)
+        return self._can_reach(self._measured(sized.select("a", "b").distinct()))
 
     def _measured(self, pairs: DataFrame) -> DataFrame:
         """Adds sizes and heads; the length filter."""
@@ -250,43 +260,69 @@ class _Search:
                     yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
             met = pairs.select("a", "b").join(one, "a").join(two, "b")
-            return materialized(met.mapInArrow(probed, pairs.select("a", "b").schema), "links")
+            links = materialized(met.mapInArrow(probed, pairs.select("a", "b").schema), "links")
+        discard(ids, whole, pairs)
+        return links
 
     def set_aside(self, lists: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(lists, long lists): heads are made longer until every document has its share of short lists, or no more lists."""
+        rounds = 0
         while True:
-            kinds = self._labelled(lists).select("h", "comp").distinct().groupBy("h").count()
-            long = materialized(kinds.filter(f"count > {self.long}").select("h"), "long")
+            sizes = self._labelled(lists).groupBy("h", "comp").agg(F.expr("double(count(*)) AS c"))
+            kinds = sizes.groupBy("h").agg(F.sum("c").alias("c"), F.sum(F.expr("c * c")).alias("own"))
+            long = materialized(kinds.filter(f"(c * c - own) / 2 > {self.long} * c").select("h"), "long")
             if long.isEmpty():
                 return lists, long
             aside = lists.join(small(long), "h").groupBy("id").agg(F.count(F.lit(1)).alias("k"))
             lacking = self.classes.join(aside, "id").filter("size(head) < n AND size(head) - k < p")
-            wanted = lacking.selectExpr("id", "digest AS own", "least(n, greatest(2 * size(head), p + 2 * k)) AS wanted")
+            # Generous at first, whole sets after that: each round reads the texts of the documents it concerns.
+            enough = "n" if rounds else "least(n, greatest(2 * size(head), p + 4 * k))"
+            wanted = lacking.selectExpr("id", "digest AS own", f"{enough} AS wanted")
             wanted = materialized(wanted, "wanted")
             if wanted.isEmpty():
                 return lists, long
-            texts = self.docs.join(small(wanted), F.expr("doc_id = id")).select("doc_id", "text", F.col("wanted").cast("long"))
-            longer = materialized(_sets(texts, self.k, self.percent), "heads").join(small(wanted), F.expr("doc_id = id AND digest = own"))
-            longer = longer.selectExpr("digest AS own", "head AS longer").dropDuplicates(["own"])
-            grown = self.classes.join(longer, F.expr("digest = own"), "left").withColumn("head", F.expr("coalesce(longer, head)"))
-            self.classes = materialized(grown.select("digest", "id", "n", "head", "p"), "classes")
-            lists = self.shared()
+            rounds += 1
+            lists = self._lengthened(lists, wanted)
+            discard(long, wanted)
+
+    def _lengthened(self, lists: DataFrame, wanted: DataFrame) -> DataFrame:
+        """The lists after the heads of `wanted` (id, own, wanted) have been made longer; only lists they newly touch are made again."""
+        texts = self.docs.join(small(wanted), F.expr("doc_id = id")).select("doc_id", "text", F.col("wanted").cast("long"))
+        longer = materialized(_sets(texts, self.k, self.percent), "heads")
+        mine = longer.join(small(wanted.select("id", "own")), F.expr("doc_id = id AND digest = own"))
+        mine = mine.select("own", F.col("head").alias("longer")).dropDuplicates(["own"])
+        before = self.classes
+        grown = before.join(mine, F.expr("digest = own"), "left")
+        added = grown.filter("longer IS NOT NULL").selectExpr("explode(slice(longer, size(head) + 1, size(longer) - size(head))) AS h")
+        touched = materialized(added.distinct(), "touched")
+        grown = grown.withColumn("head", F.expr("coalesce(longer, head)"))
+        self.classes = materialized(grown.select("digest", "id", "n", "head", "p"), "classes")
+        made = materialized(self.rows().join(small(touched), "h"), "rows")
+        several = made.groupBy("h").count().filter("count > 1").select("h")
+        now = lists.join(small(touched), "h", "left_anti").unionByName(made.join(several, "h"))
+        now = materialized(now, "lists")
+        discard(before, longer, touched, made, lists)
+        return now
 
     def occurrences(self, lists: DataFrame, long: DataFrame) -> DataFrame:
         """Pairs of different components that occur on enough merged lists to reach T with the others."""
         rows = self._labelled(lists)
         mixed = rows.groupBy("h").agg(F.expr("min(comp) <> max(comp) AS mixed")).filter("mixed").select("h")
-        rows = rows.join(mixed, "h").join(small(long.withColumn("aside", F.lit(True))), "h", "left")
+        rows = rows.drop("n").join(mixed, "h").join(small(long.withColumn("aside", F.lit(True))), "h", "left")
         aside = lists.join(small(long), "h").groupBy("id").agg(F.count(F.lit(1)).alias("k"))
         facts = self.classes.join(aside, "id", "left").selectExpr(
             "id",
             "n",
             "element_at(head, -1) AS last",
             "n - size(head) + coalesce(k, 0L) AS skipped",
-            "size(head) - coalesce(k, 0L) < p AS exhausted",
+            "p - size(head) + coalesce(k, 0L) AS missing",
         )
-        merged = rows.join(facts, "id").filter("aside IS NULL OR exhausted")
-        merged = materialized(merged.select("h", "id", "comp", "n", "last", "skipped"), "merged")
+        merged = rows.join(facts, "id").withColumn("spare", F.expr("missing > 0 AND aside"))
+        short = merged.filter("aside IS NULL")
+        # Documents without enough short lists take as many long ones as they lack.
+        taken = merged.filter("spare").withColumn("at", F.expr("row_number() OVER (PARTITION BY id ORDER BY h)")).filter("at <= missing")
+        kept = ["h", "id", "comp", "n", "last", "skipped"]
+        merged = materialized(short.select(*kept).unionByName(taken.select(*kept)), "merged")
         left = merged.withColumnsRenamed({"id": "a", "comp": "ca", "n": "na", "last": "la", "skipped": "ka"})
         right = merged.withColumnsRenamed({"id": "b", "comp": "cb", "n": "nb", "last": "lb", "skipped": "kb"})
         pairs = left.join(right, "h").filter(f"a < b AND ca <> cb AND {self.near}")
@@ -300,7 +336,7 @@ class _Search:
         if lists.isEmpty():
             return
         for salt in range(STARS):
-            self.add(self.star(lists, salt))
+            self.add(self.star(lists, salt), rounds=1)
         self.add(self.occurrences(*self.set_aside(lists)))
 
 
