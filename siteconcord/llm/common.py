@@ -13,7 +13,7 @@ ALNUM_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SPACE_BREAK = r"[\x20\x09-\x0D]+"
 
 # Rows of a side that may be broadcast; beyond it the join is shuffled.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 400_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

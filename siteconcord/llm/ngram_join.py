@@ -13,8 +13,8 @@ each stands on at least T of the other's inverted lists. The search follows Divi
 * A pair that occurs on c merged lists can reach c plus the lists not merged. Pairs that can still reach T are probed: the
   rest of one sorted set is looked up in the other by binary search.
 
-Copies with small edits would make lists long and pairs many. So each list first links its documents to one of them
-(twice, with different choices), and verified links become components; after that only pairs of different components
+Copies with small edits would make lists long and pairs many. So each list first links its documents to one of them,
+several times with different choices, and verified links become components; after that only pairs of different components
 are looked at. No link between components is lost, and no group is expanded into all its pairs.
 
 Components are found by alternating large and small stars on the links, in tables in the shared folder.
@@ -45,7 +45,7 @@ SHINGLE = 4
 PERCENT = 85
 # Lists on which a document meets more than this many documents of other components, on average, are set aside.
 LONG = 8
-# Choices of the document a list's others are linked to before pairs are searched.
+# Choices of the document a merged list's others are linked to before pairs are searched.
 STARS = 2
 
 
@@ -120,11 +120,8 @@ def _sets(rows: DataFrame, k: int, percent: int) -> DataFrame:
 # --- components -------------------------------------------------------------------------------------------------------
 
 
-def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
-    """(id, comp) for every id on an edge (a, b): comp is the smallest id reachable. Large and small stars alternate.
-
-    With `rounds`, it stops after so many: ids with the same comp are then connected, but connected ids may still differ in it.
-    """
+def components(edges: DataFrame) -> DataFrame:
+    """(id, comp) for every id on an edge (a, b): comp is the smallest id reachable. Large and small stars alternate."""
 
     def least(rows: DataFrame) -> DataFrame:
         # Written, so that a node with very many edges meets its minimum in a broadcast or a join that can be split.
@@ -132,8 +129,8 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
 
     edges = edges.selectExpr("greatest(a, b) AS u", "least(a, b) AS v").filter("u <> v").distinct()
     edges = materialized(edges, "edges")
-    print_of, done = None, 0
-    while done != rounds:
+    print_of = None
+    while True:
         both = edges.unionByName(edges.selectExpr("v AS u", "u AS v"))
         large = both.join(least(both), "u").filter("v > u").selectExpr("v AS u", "least(m, u) AS v").distinct()
         large = materialized(large, "edges")
@@ -142,12 +139,10 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
         discard(edges)
         edges = materialized(smaller.distinct(), "edges")
         discard(large)
-        done += 1
-        if rounds is None:
-            now = tuple(edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"), F.sum(F.expr("xxhash64(v, u) >> 20"))).first())
-            if now == print_of:
-                break
-            print_of = now
+        now = tuple(edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"), F.sum(F.expr("xxhash64(v, u) >> 20"))).first())
+        if now == print_of:
+            break
+        print_of = now
     tops = edges.selectExpr("v AS id", "v AS comp").join(edges.select(F.col("u").alias("id")), "id", "left_anti").distinct()
     return materialized(edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("comp")).unionByName(tops), "components")
 
@@ -198,32 +193,49 @@ class _Search:
         return rows.join(small(self.comps), "id", "left").withColumn("comp", F.expr("coalesce(comp, id)"))
 
     def rows(self) -> DataFrame:
-        return self.classes.select("id", "n", F.explode("head").alias("h"))
+        return self.classes.select("id", "n", F.posexplode("head").alias("at", "h"))
 
     def shared(self) -> DataFrame:
-        """(h, id, n): the inverted lists of the heads that hold more than one class."""
+        """(h, id, n, at): the inverted lists of the heads that hold more than one class; at is the place in the set."""
         several = self.rows().groupBy("h").count().filter("count > 1").select("h")
         return materialized(self.rows().join(several, "h"), "lists")
 
-    def add(self, pairs: DataFrame, rounds: int | None = None) -> None:
+    def add(self, pairs: DataFrame) -> None:
         """Verify pairs (a, b, na, nb) and merge the components of those that link."""
         pairs = materialized(pairs, "pairs")
         if not pairs.isEmpty():
             found = self._verified(pairs)
             self.links = found if self.links is None else self.links.unionByName(found)
         if self.links is not None:
-            self.comps = components(self.links, rounds)
-
-    def star(self, lists: DataFrame, salt: int) -> DataFrame:
-        """Each list's documents of other components, paired with one of its documents."""
-        rows = self._labelled(lists)
-        chosen = rows.groupBy("h").agg(
-            F.min(F.expr(f"struct(xxhash64(id, {salt}), id, n, comp)")).alias("centre"), F.expr("min(comp) <> max(comp) AS mixed")
-        )
-        met = rows.join(chosen.filter("mixed"), "h").filter("comp <> centre.comp")
+            self.comps = components(self.links)
+
+    def star(self, lists: DataFrame) -> DataFrame:
+        """Each list's documents of other components, paired with the one most of whose head is shared with others.
+
+        Of edited copies that is the one with the fewest edits.
+        """
+        shared = lists.groupBy("id").agg(F.count(F.lit(1)).alias("m")).join(self.classes.selectExpr("id", "size(head) AS f"), "id")
+        rows = lists.join(shared.selectExpr("id", "int(1000000 * (f - m) / f) AS rank"), "id")
+        chosen = rows.groupBy("h").agg(F.min(F.expr("struct(rank, xxhash64(id) AS x, id, n)")).alias("centre"))
+        met = rows.join(chosen, "h").filter("id <> centre.id")
         sized = met.selectExpr("least(id, centre.id) AS a", "greatest(id, centre.id) AS b", "n AS na", "centre.n AS nb").filter(self.near)
         return self._can_reach(self._measured(sized.select("a", "b").distinct()))
 
+    @property
+    def early(self) -> str:
+        """The first list two sets share leaves at least T members on either side."""
+        return f"{self.enough.format('(na - ia)')} AND {self.enough.format('(nb - ib)')}"
+
+    def early_star(self, merged: DataFrame, salt: int) -> DataFrame:
+        """Each list's documents of other components, paired with one of its documents that they may meet first there."""
+        rows = self._labelled(merged)
+        one = F.min(F.expr(f"struct(xxhash64(id, h, {salt}) AS x, id, n, place, comp)")).alias("centre")
+        chosen = rows.groupBy("h").agg(one, F.expr("min(comp) <> max(comp) AS mixed")).filter("mixed")
+        met = rows.join(chosen, "h").filter("comp <> centre.comp")
+        sized = met.selectExpr("id", "n AS na", "place AS ia", "centre.id AS other", "centre.n AS nb", "centre.place AS ib")
+        pairs = sized.filter(f"{self.near} AND {self.early}").selectExpr("least(id, other) AS a", "greatest(id, other) AS b")
+        return self._can_reach(self._measured(pairs.distinct()))
+
     def _measured(self, pairs: DataFrame) -> DataFrame:
         """Adds sizes and heads; the length filter."""
         side = self.classes.select("id", "n", "head")
@@ -304,40 +316,36 @@ class _Search:
         discard(before, longer, touched, made, lists)
         return now
 
-    def occurrences(self, lists: DataFrame, long: DataFrame) -> DataFrame:
-        """Pairs of different components that occur on enough merged lists to reach T with the others."""
-        rows = self._labelled(lists)
+    def merged(self, lists: DataFrame, long: DataFrame) -> DataFrame:
+        """(h, id, n, place): the lists each set merges, with their place in the order of merging: short lists first."""
+        aside = lists.join(small(long.withColumn("aside", F.lit(True))), "h", "left")
+        per_set = "PARTITION BY id ORDER BY at"
+        marked = aside.withColumn("before", F.expr(f"count(aside) OVER ({per_set} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"))
+        # A set with k long lists has size(head) - k short ones; if these are too few, it takes as many long ones as are missing.
+        facts = marked.groupBy("id").agg(F.count("aside").alias("k")).join(self.classes.selectExpr("id", "size(head) AS f", "p"), "id")
+        placed = marked.join(facts, "id").filter("aside IS NULL OR before < p - f + k")
+        placed = placed.withColumn("place", F.expr("if(aside, f - k + before, at - before)"))
+        return materialized(placed.select("h", "id", "n", "place"), "merged")
+
+    def occurrences(self, merged: DataFrame) -> DataFrame:
+        """Pairs of different components that meet early enough on a merged list, and can reach T by their heads."""
+        rows = self._labelled(merged)
         mixed = rows.groupBy("h").agg(F.expr("min(comp) <> max(comp) AS mixed")).filter("mixed").select("h")
-        rows = rows.drop("n").join(mixed, "h").join(small(long.withColumn("aside", F.lit(True))), "h", "left")
-        aside = lists.join(small(long), "h").groupBy("id").agg(F.count(F.lit(1)).alias("k"))
-        facts = self.classes.join(aside, "id", "left").selectExpr(
-            "id",
-            "n",
-            "element_at(head, -1) AS last",
-            "n - size(head) + coalesce(k, 0L) AS skipped",
-            "p - size(head) + coalesce(k, 0L) AS missing",
-        )
-        merged = rows.join(facts, "id").withColumn("spare", F.expr("missing > 0 AND aside"))
-        short = merged.filter("aside IS NULL")
-        # Documents without enough short lists take as many long ones as they lack.
-        taken = merged.filter("spare").withColumn("at", F.expr("row_number() OVER (PARTITION BY id ORDER BY h)")).filter("at <= missing")
-        kept = ["h", "id", "comp", "n", "last", "skipped"]
-        merged = materialized(short.select(*kept).unionByName(taken.select(*kept)), "merged")
-        left = merged.withColumnsRenamed({"id": "a", "comp": "ca", "n": "na", "last": "la", "skipped": "ka"})
-        right = merged.withColumnsRenamed({"id": "b", "comp": "cb", "n": "nb", "last": "lb", "skipped": "kb"})
-        pairs = left.join(right, "h").filter(f"a < b AND ca <> cb AND {self.near}")
-        counted = pairs.groupBy("a", "b").agg(
-            F.count(F.lit(1)).alias("c"), *[F.first(x).alias(x) for x in ("na", "nb", "la", "lb", "ka", "kb")]
-        )
-        return counted.filter(self.enough.format("(c + if(la <= lb, ka, kb))")).select("a", "b", "na", "nb")
+        rows = materialized(rows.join(mixed, "h"), "mixed")
+        left = rows.withColumnsRenamed({"id": "a", "comp": "ca", "n": "na", "place": "ia"})
+        right = rows.withColumnsRenamed({"id": "b", "comp": "cb", "n": "nb", "place": "ib"})
+        pairs = left.join(right, "h").filter(f"a < b AND ca <> cb AND {self.near} AND {self.early}").select("a", "b").distinct()
+        return self._can_reach(self._measured(pairs))
 
     def run(self) -> None:
         lists = self.shared()
         if lists.isEmpty():
             return
+        self.add(self.star(lists))
+        merged = self.merged(*self.set_aside(lists))
         for salt in range(STARS):
-            self.add(self.star(lists, salt), rounds=1)
-        self.add(self.occurrences(*self.set_aside(lists)))
+            self.add(self.early_star(merged, salt))
+        self.add(self.occurrences(merged))
 
 
 def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, long: int = LONG) -> DataFrame:
