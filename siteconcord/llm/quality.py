@@ -91,8 +91,10 @@ def measures(docs: DataFrame) -> DataFrame:
 
 
 def ordered_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by rejections per second on at most `rows` documents, most first."""
-    sample = materialized(measures(docs.limit(rows)), "sample")
+    """The rules by rejections per second on about `rows` documents drawn by a hash of their id, most first."""
+    scale = 1 << 20
+    drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(scale))
+    sample = materialized(measures(docs.filter(drawn < -(-rows * scale // max(docs.count(), 1)))), "sample")
     seconds, rejected = {}, {}
     for rule in rules:
         started = time.perf_counter()
