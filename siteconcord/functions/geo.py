@@ -183,10 +183,14 @@ class RadiusGrid:
         return f"(({number(self.band_deg / splits)} + {wide}) * {number(metres_per_degree)} + 1e-3D)"
 
 
+MERCATOR_LIMIT = 85.0511287798066
+
+
 def mercator_cell(lat: str, lon: str, zoom: int, cell_px: int = 40, tile_px: int = 512) -> tuple[str, str]:
     """(column, row) of the web-mercator grid cell at a zoom level, in a world tile_px * 2^zoom pixels wide."""
     cells = number(tile_px * 2.0**zoom / cell_px)
-    s = f"sin(radians({lat}))"
+    # The projection ends at the latitude where the world is a square.
+    s = f"sin(radians(greatest(-{MERCATOR_LIMIT}D, least({MERCATOR_LIMIT}D, {lat}))))"
     x = f"(({lon} + 180) / 360)"
     y = f"(0.5D - ln((1 + {s}) / (1 - {s})) / {number(4 * math.pi)})"
     return f"floor({x} * {cells})", f"floor({y} * {cells})"

@@ -17,13 +17,11 @@ from siteconcord.operators.skew import hot_keys, skew_join
 from siteconcord.operators.spatial import SiteIndex
 from siteconcord.session import materialized
 
-# More copies than this at one position are handled as one site with as many places.
-COPIES = 8
 _OPEN = 1 << 62
 _FACTS = ("places", "refuser", "crowded")
 
 
-def _sites(nodes: DataFrame, copies: int) -> tuple[DataFrame, DataFrame | None]:
+def _sites(nodes: DataFrame, copies: int | None) -> tuple[DataFrame, DataFrame | None]:
     """(sites, nodes of crowded positions): a site is one node, or a crowded position with `places` before an opt-out.
 
     Nodes behind an opted-out copy cannot be reached: whoever gets that far stops at it.
@@ -36,6 +34,8 @@ def _sites(nodes: DataFrame, copies: int) -> tuple[DataFrame, DataFrame | None]:
         "CASE WHEN opted_out THEN elem_ord END AS refuser",
         "false AS crowded",
     )
+    if copies is None:
+        return nodes.selectExpr(*single), None
     placed = nodes.withColumn("spot", F.expr("concat(lat, '/', lon)"))
     spots = placed.groupBy("spot").agg(
         F.expr("count(*) AS copies"),
@@ -75,12 +75,13 @@ def greedy_claim(
     radius_m: float,
     *,
     dense_cell: int | None = None,
-    copies: int = COPIES,
+    copies: int | None = None,
 ) -> DataFrame:
     """(asset_ord, elem_ord, distance_m, outcome) with outcome 'claimed' or 'opted_out'; assets left without are absent.
 
     `assets` has asset_ord, lat, lon; `nodes` has elem_ord, lat, lon, opted_out. Ties in distance go to the lower
-    elem_ord.
+    elem_ord. With `copies`, more nodes than that at one position are handled as one site with as many places, which saves
+    rounds; a tie in distance between such a position and another node then goes by the position's lowest elem_ord.
     """
     placed = f"{is_finite('lat')} AND {is_finite('lon')}"
     points = assets.filter(placed).selectExpr("asset_ord AS pid", "lat AS plat", "lon AS plon")

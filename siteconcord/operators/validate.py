@@ -132,12 +132,16 @@ def element_metrics(elements: DataFrame, p: MatchParams) -> DataFrame:
 
 
 class RunAborted(Exception):
-    """A guard stopped the run."""
+    """A guard stopped the run; what was known of the inputs by then (one-row counts, issues) goes with it."""
 
+    def __init__(self, message: str, input_metrics: DataFrame | None = None, issues: DataFrame | None = None):
+        super().__init__(message)
+        self.input_metrics, self.issues = input_metrics, issues
 
-def require_rows(nodes: DataFrame) -> None:
+
+def require_rows(nodes: DataFrame, input_metrics: DataFrame | None = None, issues: DataFrame | None = None) -> None:
     if nodes.isEmpty():
-        raise RunAborted("No AEDs returned from Overpass. Aborting run to prevent bad changes.")
+        raise RunAborted("The extract holds no node; nothing is planned from it.", input_metrics, issues)
 
 
 def delete_guard(metrics: DataFrame, nodes: DataFrame, p: MatchParams) -> DataFrame:

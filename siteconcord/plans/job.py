@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siteconcord.operators.runlog import COUNTERS, EVENT_COLUMNS
-from siteconcord.operators.validate import enforce
+from siteconcord.operators.validate import RunAborted, enforce
 from siteconcord.params import MatchParams
 from siteconcord.plans.reconcile import reconcile
 from siteconcord.sources.runlog import MODES, STATUSES
@@ -32,19 +33,43 @@ def append_event(spark: SparkSession, path: str, run_id: str, kind: str, **field
     spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
 
 
+def known_run(spark: SparkSession, path: str, run_id: str) -> bool:
+    """Whether the event log has a start of this run."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return False
+    started = spark.read.schema(EVENT_COLUMNS).parquet(path).filter("kind = 'start'")
+    return not started.filter(F.col("run_id") == run_id).isEmpty()
+
+
+def attempt_of(spark: SparkSession, path: str, run_id: str) -> str | None:
+    """The id under which an announced run may start now: itself, or with the number of the attempt; None once one succeeded."""
+    attempt, name = 1, run_id
+    while known_run(spark, path, name):
+        ended = spark.read.schema(EVENT_COLUMNS).parquet(path).filter("kind = 'complete' AND status = 'success'")
+        if not ended.filter(F.col("run_id") == name).isEmpty():
+            return None
+        attempt += 1
+        name = f"{run_id}.{attempt}"
+    return name
+
+
 def run_reconciliation(
     spark: SparkSession, assets: DataFrame, elements: DataFrame, out: str, run_id: str, *, mode: str = "dry-run", p: MatchParams | None = None
 ):
     """Reconcile and write under `out`: run events, issues, plan, and the two change files of this run.
 
-    Counters are stored before the delete guard, files only after it. On failure the run is recorded as failed and the
+    A run id that has been started is refused before anything is written. Counters and issues of the inputs are stored
+    before any guard, files only after all. On failure the run is recorded as failed and the
     error goes on.
     """
     events = f"{out}/run_events"
+    if known_run(spark, events, run_id):
+        raise ValueError(f"Run {run_id} has been started before.")
     append_event(spark, events, run_id, "start", mode=mode)
-    try:
-        result = reconcile(assets, elements, p)
-        inputs = result.input_metrics.first()
+
+    def store_inputs(input_metrics: DataFrame, issues: DataFrame) -> None:
+        inputs = input_metrics.first()
         append_event(
             spark,
             events,
@@ -54,7 +79,16 @@ def run_reconciliation(
             osm_aeds_count=inputs["osm_aeds"],
             linked_aeds_count=inputs["linked_aeds"],
         )
-        append_issues(result.issues, f"{out}/issues", run_id, f"TIMESTAMP_NTZ'{_utc_now()}'")
+        append_issues(issues, f"{out}/issues", run_id, f"TIMESTAMP_NTZ'{_utc_now()}'")
+
+    try:
+        try:
+            result = reconcile(assets, elements, p)
+        except RunAborted as aborted:
+            if aborted.input_metrics is not None:
+                store_inputs(aborted.input_metrics, aborted.issues)
+            raise
+        store_inputs(result.input_metrics, result.issues)
         counts = result.metrics.first()
         append_event(
             spark,

@@ -278,7 +278,9 @@ def reconcile(assets: DataFrame, elements: DataFrame, p: MatchParams | None = No
     # Written out, since every task reads them: short plans, pruned columns, and nothing to recompute on a lost executor.
     checked = materialized(with_fault(assets, p), "assets")
     valid, nodes = without_fault(checked), materialized(with_flags(kept, p), "nodes")
-    require_rows(nodes)
+    # Two one-row aggregates.
+    counts = element_metrics(elements, p).join(F.broadcast(assets.selectExpr("count(*) AS registry_aeds")), how="cross")
+    require_rows(nodes, counts, union([registry_issues(checked), element_issues]))
     linked, hot = linked_nodes(nodes, valid, map_asset_to_tags(p))
     linked = materialized(linked, "linked")
     outcomes = materialized(asset_outcomes(nodes, valid, p), "outcomes")
@@ -293,6 +295,4 @@ def reconcile(assets: DataFrame, elements: DataFrame, p: MatchParams | None = No
     plan = materialized(merge_plans(t[0] for t in tasks), "plan")
     issues = materialized(union([registry_issues(checked), element_issues, *(t[1] for t in tasks)]), "issues")
     metrics = plan_metrics(plan)
-    # Two one-row aggregates.
-    counts = element_metrics(elements, p).join(F.broadcast(assets.selectExpr("count(*) AS registry_aeds")), how="cross")
     return Reconciliation(nodes, valid, plan, issues, counts, metrics, delete_guard(metrics, nodes, p))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siteconcord.operators.runlog import EVENT_COLUMNS
 from siteconcord.params import MatchParams
-from siteconcord.plans.job import run_reconciliation
+from siteconcord.plans.job import attempt_of, run_reconciliation
 
 SNAPSHOT_COLUMNS = "run_id string, assets_path string, elements_path string, format string"
 
@@ -18,16 +18,20 @@ def reconcile_incremental(
     """Reconcile every snapshot announced in `arrivals`, then stop; call it from a timer or keep it running.
 
     Each JSON line of a file there names a run and the paths of its two snapshots. Files are taken one per batch and
-    remembered in `checkpoint`, so none is run twice.
+    remembered in `checkpoint`. A batch that failed half-way is tried again: runs that succeeded are passed over, others
+    start anew as `<run_id>.2` and so on, so no counter or issue is stored twice under one id.
     """
     announced = spark.readStream.schema(SNAPSHOT_COLUMNS).option("maxFilesPerTrigger", 1).json(arrivals)
 
     def run_batch(batch: DataFrame, _: int) -> None:
         # One announcement file: a handful of rows of paths.
         for row in batch.collect():
+            run_id = attempt_of(spark, f"{out}/run_events", row["run_id"])
+            if run_id is None:
+                continue
             reader = spark.read.format(row["format"] or "parquet")
             run_reconciliation(
-                spark, reader.load(row["assets_path"]), reader.load(row["elements_path"]), out, row["run_id"], mode=mode, p=p
+                spark, reader.load(row["assets_path"]), reader.load(row["elements_path"]), out, run_id, mode=mode, p=p
             )
 
     writer = announced.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)

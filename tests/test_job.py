@@ -9,10 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteconcord.catalog import fixtures
+from siteconcord.functions.geo import haversine_m, mercator_cell
+from siteconcord.operators.claim import greedy_claim
 from siteconcord.operators.runlog import run_state
 from siteconcord.operators.validate import RunAborted
 from siteconcord.params import MatchParams
-from siteconcord.plans.job import append_event, run_reconciliation
+from siteconcord.plans.job import append_event, attempt_of, run_reconciliation
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -77,3 +79,40 @@ def test_no_nodes_abort_the_run(spark, inputs, tmp_path):
 def test_counters_must_not_be_negative(spark, tmp_path):
     with pytest.raises(ValueError):
         append_event(spark, str(tmp_path), "r1", "metrics", created_count=-1)
+
+
+def test_known_run_is_refused_and_inputs_are_stored_before_the_guard(spark, inputs, tmp_path):
+    assets, elements = inputs
+    with pytest.raises(RunAborted):
+        run_reconciliation(spark, assets, elements.filter("type = 'way'"), str(tmp_path), "r1")
+    events = spark.read.parquet(f"{tmp_path}/run_events")
+    state = run_state(events).first()
+    assert (state["status"], state["registry_aeds_count"]) == ("failed", 150) and state["osm_aeds_count"] > 0
+    issues = spark.read.parquet(f"{tmp_path}/issues").count()
+    assert issues > 0
+    with pytest.raises(ValueError):
+        run_reconciliation(spark, assets, elements, str(tmp_path), "r1")
+    assert run_state(spark.read.parquet(f"{tmp_path}/run_events")).first()["registry_aeds_count"] == 150
+    assert spark.read.parquet(f"{tmp_path}/issues").count() == issues
+    assert attempt_of(spark, f"{tmp_path}/run_events", "r1") == "r1.2"
+
+
+def test_poles_have_clusters(spark):
+    cell = mercator_cell("lat", "0D", 4)
+    rows = spark.sql("SELECT 90D AS lat UNION ALL SELECT -90D").selectExpr(f"{cell[0]} AS x", f"{cell[1]} AS y").collect()
+    assert all(r["y"] is not None for r in rows)
+
+
+def test_more_copies_than_eight_keep_the_order_of_ties(spark):
+    """Twelve copies north and one node as far south, whose ordinal lies between those of the copies."""
+    assets = spark.createDataFrame([(i, 60.0, 10.0) for i in range(1, 5)], "asset_ord long, lat double, lon double")
+    nodes = [(1, 60.0005, 10.0, False), (10, 59.9995, 10.0, False), *[(20 + i, 60.0005, 10.0, False) for i in range(11)]]
+    nodes = spark.createDataFrame(nodes, "elem_ord long, lat double, lon double, opted_out boolean")
+    claimed = {r["asset_ord"]: (r["elem_ord"], r["distance_m"]) for r in greedy_claim(assets, nodes, 175.0).collect()}
+    north, south = claimed[1][1], haversine_south(spark)
+    order = [1, 10, 20, 21] if south <= north else [1, 20, 21, 22]
+    assert [claimed[i][0] for i in range(1, 5)] == order
+
+
+def haversine_south(spark):
+    return spark.range(1).selectExpr(f"{haversine_m('60D', '10D', '59.9995D', '10D')} AS d").first()["d"]
