@@ -176,10 +176,13 @@ class _Search:
         self.spark = docs.sparkSession
         self.near = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
         self.enough = f"{100 + percent} * {{}} >= {percent} * (na + nb)"
-        self.heads = materialized(_sets(docs, k, percent), "heads")
-        classes = self.heads.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest")
+        heads = materialized(_sets(docs, k, percent), "heads")
+        self.sizes = materialized(heads.select("doc_id", "n", "digest"), "sizes")
+        classes = heads.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest")
         found = classes.agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("head").alias("head"))
         self.classes = materialized(found.withColumn("p", self._must("n")), "classes")
+        # Heads are most of the space this takes; from here on the classes hold them.
+        discard(heads)
         self.links = None
         self.comps = None
 
@@ -342,7 +345,9 @@ class _Search:
         if lists.isEmpty():
             return
         self.add(self.star(lists))
-        merged = self.merged(*self.set_aside(lists))
+        lists, long = self.set_aside(lists)
+        merged = self.merged(lists, long)
+        discard(lists, long)
         for salt in range(STARS):
             self.add(self.early_star(merged, salt))
         self.add(self.occurrences(merged))
@@ -356,7 +361,7 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
     search = _Search(docs.select("doc_id", "text"), k, percent, long)
     search.run()
     classes = search._labelled(search.classes.select("id", "digest")).select(F.col("digest").alias("own"), "comp")
-    rows = search.heads.select("doc_id", "n", "digest").join(classes, F.expr("digest = own"), "left")
+    rows = search.sizes.join(classes, F.expr("digest = own"), "left")
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.expr("coalesce(comp, doc_id)").alias("component_id"))
 
 
