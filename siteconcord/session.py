@@ -27,11 +27,26 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Whether a query's shuffle files are deleted when it ends instead of when the driver happens to collect garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialized(df: DataFrame, label: str = "step") -> DataFrame:
-    """The rows written once to the shared folder and read back: cuts the lineage and survives the loss of executors."""
+    """The rows written once to the shared folder and read back: cuts the lineage and survives the loss of executors.
+
+    Nothing reads the shuffles behind a written table again, so their files go as soon as it stands.
+    """
     spark = df.sparkSession
     folder = new_folder(spark, label)
-    df.write.parquet(folder)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(folder)
 
 
