@@ -1,14 +1,19 @@
 """License scans: which text blocks contain the words of a known license notice.
 
-A block is a line of a document, a template the set of words of a published notice. A block meets a template when it
-holds at least `threshold` of the template's words. The join is exact. Words are ordered by how many blocks of the
-whole corpus hold them, rarest first; only words of templates can ever match, so only these are counted (a table bounded
-by the templates). Then
-
-* length filter: a block with fewer template words than the overlap asked for is dropped;
-* prefix filter: a template of n words that needs c of them must share one of its n - c + 1 rarest words with the block,
-  so only those are in the index the blocks' words are joined with (broadcast; its size is that of the templates);
-* positional filter: what is left behind the shared word on either side must still suffice;
+A template is the set of words of a published notice. A block is a line of a document, or, where a notice is wrapped, a
+run of consecutive words across line breaks, so short that the template is at least `threshold` of its length. A block
+meets a template when it holds at least `threshold` of the template's words. A line that does so by itself ends the runs
+before and after it, and runs are taken from the left without overlap, each up to its last new word, so a notice counts once.
+
+The join is exact. What a block holds its document holds, so documents meet the templates first, and only the pairs that
+are left are looked at by lines and runs. Words are ordered by how many documents hold them, rarest first; only words of
+templates can ever match, so only these are counted (a table bounded by the templates). Then
+
+* length filter: a document with fewer template words than the overlap asked for is dropped;
+* prefix filter: a template of n words that needs c of them must share one of its n - c + 1 rarest words with the document,
+  so only those are in the index the documents' words are joined with (broadcast; its size is that of the templates);
+  runs are only looked for within reach of one of them;
+* positional filter: what is left behind the first shared word on either side must still suffice;
 * the survivors are counted exactly.
 
 Beside this the phrases of `PHRASES` are located as consecutive words. Everything is built-in functions.
@@ -25,7 +30,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siteconcord.llm.common import alnum_words
+from siteconcord.llm.common import alnum_words, let
 
 THRESHOLD = 0.8
 
@@ -48,38 +53,76 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 
+def _cut(text: str) -> list[str]:
+    """The words of a template, cut as in documents."""
+    cut = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    return "".join(c if c.isalnum() or ord(c) > 127 else " " for c in cut).split()
+
+
 def _template_words(texts: Sequence[tuple[str, str]]) -> list[tuple[str, list[str]]]:
     """(label, distinct words) with the words cut as in documents."""
-    found = []
-    for label, text in texts:
-        cut = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
-        cut = "".join(c if c.isalnum() or ord(c) > 127 else " " for c in cut)
-        found.append((label, sorted(set(cut.split()))))
+    found = [(label, sorted(set(_cut(text)))) for label, text in texts]
     return [t for t in found if t[1]]
 
 
-def _blocks(docs: DataFrame, vocabulary: Sequence[str], least: int) -> DataFrame:
-    """(doc_id, block, held): the template words of each line, in the order of `vocabulary`; length filter applied."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("block", "line"))
+def _spans(texts: Sequence[tuple[str, str]], threshold: float) -> list[int]:
+    """How many words a run may have, for each of `_template_words`."""
+    lengths = [n for _, text in texts if (n := len(_cut(text)))]
+    return [max(n, math.floor(n / threshold + 1e-9)) if threshold > 0 else n for n in lengths]
+
+
+def _holders(docs: DataFrame, vocabulary: Sequence[str], least: int) -> DataFrame:
+    """(doc_id, text, held): the template words of each document, in the order of `vocabulary`; length filter applied."""
     # array_intersect keeps the order of its first argument: the vocabulary's.
-    held = F.array_intersect(F.array(*[F.lit(w) for w in vocabulary]), alnum_words(F.col("line")))
-    return lines.select("doc_id", "block", held.alias("held")).filter(F.size("held") >= least)
+    held = F.array_intersect(F.array(*[F.lit(w) for w in vocabulary]), alnum_words(F.col("text")))
+    return docs.select("doc_id", "text", held.alias("held")).filter(F.size("held") >= least)
 
 
 def word_frequencies(docs: DataFrame, vocabulary: Sequence[str]) -> dict[str, int]:
-    """In how many blocks of the corpus each word of the vocabulary stands; one row per word reaches the driver."""
-    counted = _blocks(docs, vocabulary, 1).select(F.explode("held").alias("word")).groupBy("word").count()
+    """How many documents of the corpus hold each word of the vocabulary; one row per word reaches the driver."""
+    counted = _holders(docs, vocabulary, 1).select(F.explode("held").alias("word")).groupBy("word").count()
     return {**dict.fromkeys(vocabulary, 0), **{r["word"]: r["count"] for r in counted.collect()}}
 
 
+def _runs(occurrences: Column, span: Column) -> Column:
+    """The runs that meet the template: places (block, overlap) from the left; `occurrences` are (pos, block, word) in order."""
+
+    def run(x: Column, i: Column) -> Column:
+        # No two occurrences share a position, so a run holds at most `span` of them.
+        reached = F.filter(F.slice(occurrences, i + 1, span), lambda y: y["pos"] < x["pos"] + span)
+
+        def described(r: Column) -> Column:
+            words = F.transform(r, lambda y: y["word"])
+            distinct = F.array_distinct(words)
+            last = r[F.array_position(words, F.element_at(distinct, -1)).cast("int") - 1]["pos"]
+            return F.struct(x["pos"].alias("pos"), last.alias("last"), x["block"].alias("block"), F.size(distinct).alias("overlap"))
+
+        return let(reached, described)
+
+    def taken(places: Column, x: Column) -> Column:
+        last = F.get(places, F.size(places) - 1)
+        # A later run inside a place may hold more of the template's words.
+        same = ("pos", "last", "block")
+        better = F.struct(*[last[c].alias(c) for c in same], F.greatest(last["overlap"], x["overlap"]).alias("overlap"))
+        before = F.slice(places, 1, F.greatest(F.size(places) - 1, F.lit(0)))
+        return F.when(F.coalesce(last["last"] < x["pos"], F.lit(True)), F.concat(places, F.array(x))).otherwise(F.concat(before, F.array(better)))
+
+    none = F.array().cast("array<struct<pos:int,last:int,block:int,overlap:int>>")
+    met = F.filter(F.transform(occurrences, run), lambda x: x["overlap"] >= F.col("needed"))
+    return F.transform(F.aggregate(met, none, taken), lambda x: F.struct(x["block"].alias("block"), x["overlap"].alias("overlap")))
+
+
 def matching_blocks(
     docs: DataFrame,
     templates: Sequence[tuple[str, str]] = TEMPLATES,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """(doc_id, block, template, label, overlap, containment): every block that holds `threshold` of a template's words."""
+    """(doc_id, block, template, label, overlap, containment): every block that holds `threshold` of a template's words.
+
+    `block` is the line, of a run the line it begins on.
+    """
     sets = _template_words(templates)
-    schema = "word string, template int, label string, at int, size int, needed int, members array<string>"
+    schema = "word string, template int, label string, at int, size int, needed int, span int, rare array<string>, members array<string>"
     vocabulary = sorted({w for _, members in sets for w in members})
     if not vocabulary:
         empty = docs.limit(0).select("doc_id", F.lit(0).alias("block"))
@@ -88,24 +131,47 @@ def matching_blocks(
     order = sorted(vocabulary, key=lambda w: (counts[w], w))
     rank = {w: i for i, w in enumerate(order)}
     index, least = [], len(vocabulary)
-    for number, (label, members) in enumerate(sets):
+    for number, ((label, members), span) in enumerate(zip(sets, _spans(templates, threshold))):
         members = sorted(members, key=rank.__getitem__)
         # Rounding must not ask for more than the threshold does.
         needed = max(1, math.ceil(threshold * len(members) - 1e-9))
         least = min(least, needed)
-        for at, word in enumerate(members[: len(members) - needed + 1]):
-            index.append((word, number, label, at, len(members), needed, members))
+        rare = members[: len(members) - needed + 1]
+        for at, word in enumerate(rare):
+            index.append((word, number, label, at, len(members), needed, span, rare, members))
     prefixes = docs.sparkSession.createDataFrame(index, schema)
-    blocks = _blocks(docs, order, least)
-    probes = blocks.select("doc_id", "block", "held", F.posexplode("held").alias("there", "word"))
+    probes = _holders(docs, order, least).select("doc_id", "text", "held", F.posexplode("held").alias("there", "word"))
+    # Both sides are in one order, so the first shared word is the only one that is looked at.
     near = probes.join(F.broadcast(prefixes), "word").filter(
-        "size(held) >= needed AND 1 + least(size - 1 - at, size(held) - 1 - there) >= needed"
+        "1 + least(size - 1 - at, size(held) - 1 - there) >= needed AND size(array_intersect(held, members)) >= needed "
+        "AND array_intersect(held, rare)[0] = word"
     )
-    checked = near.withColumn("overlap", F.size(F.array_intersect("held", "members"))).filter("overlap >= needed")
-    # A block meets its template at several prefix words.
-    return checked.groupBy("doc_id", "block", "template").agg(
-        F.first("label").alias("label"), F.first("overlap").alias("overlap"), F.first(F.expr("overlap / size")).alias("containment")
+    cut = F.transform(F.split("text", "\n"), lambda line: alnum_words(line))
+    lines = near.select("doc_id", "template", "label", "size", "needed", "span", "rare", "members", cut.alias("lines"))
+    lines = lines.withColumn("overlaps", F.transform("lines", lambda ws: F.size(F.array_intersect(F.col("members"), ws))))
+    alone = F.filter(
+        F.transform("overlaps", lambda n, i: F.struct(i.alias("block"), n.alias("overlap"))), lambda x: x["overlap"] >= F.col("needed")
+    )
+
+    def tokens(ws: Column, i: Column) -> Column:
+        # No run reaches across a line that meets the template by itself.
+        kept = F.when(F.col("overlaps")[i] >= F.col("needed"), F.array_repeat(F.lit(""), F.col("span"))).otherwise(ws)
+        return F.transform(kept, lambda w: F.struct(i.alias("block"), w.alias("word")))
+
+    placed = F.transform(
+        F.flatten(F.transform("lines", tokens)),
+        lambda x, pos: F.struct(pos.alias("pos"), x["block"].alias("block"), x["word"].alias("word")),
     )
+    lines = lines.select(
+        "doc_id", "template", "label", "size", "needed", "span", "rare", alone.alias("alone"),
+        F.filter(placed, lambda x: F.array_contains(F.col("members"), x["word"])).alias("occurrences"),
+    )
+    seldom = F.transform(F.filter("occurrences", lambda x: F.array_contains(F.col("rare"), x["word"])), lambda x: x["pos"])
+    lines = lines.withColumn("seldom", seldom)
+    reachable = F.filter("occurrences", lambda x: F.exists("seldom", lambda r: F.abs(r - x["pos"]) < F.col("span")))
+    lines = lines.withColumn("occurrences", reachable)
+    blocks = lines.select("doc_id", "template", "label", "size", F.explode(F.concat("alone", _runs(F.col("occurrences"), F.col("span")))).alias("b"))
+    return blocks.selectExpr("doc_id", "b.block", "template", "label", "b.overlap", "b.overlap / size AS containment")
 
 
 def phrase_starts(words: Column, phrase: str) -> Column:

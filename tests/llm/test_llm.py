@@ -68,6 +68,64 @@ def test_remove_odd(odd, items, what):
     assert kept.count() == len(ODD) + 1
 
 
+# --- license notices --------------------------------------------------------------------------------------------------
+
+WRAPPED = {
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions",
+    "mit": " * Permission is hereby granted, free of charge, to any person obtaining a copy\n *\n * of this software and associated documentation files (the",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided",
+    "gpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published",
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not",
+}
+
+
+def brute_notices(text):
+    """(label, containment) of every line, and of every run of words across lines, that meets a template."""
+    cut = lambda t: re.findall("[a-z0-9]+", t.lower())
+    found = []
+    for label, template in licenses.TEMPLATES:
+        span = 10 * len(cut(template)) // 8
+        members = set(cut(template))
+        meets = lambda held, members=members: 10 * len(members & set(held)) >= 8 * len(members)
+        parts = [[]]
+        for line in text.split("\n"):
+            if meets(cut(line)):
+                found.append((label, len(members & set(cut(line))) / len(members)))
+                parts.append([])
+            else:
+                parts[-1] += cut(line)
+        for ws in parts:
+            end, best = -1, 0
+            for i, w in enumerate(ws):
+                run = ws[i : i + span]
+                if w not in members or not meets(run):
+                    continue
+                share = len(members & set(run)) / len(members)
+                if i > end:
+                    found += [(label, best)] if best else []
+                    end, best = max(i + run.index(m) for m in members & set(run)), 0
+                best = max(best, share)
+            found += [(label, best)] if best else []
+    return found
+
+
+def test_wrapped_notices_are_found(spark):
+    rows = list(WRAPPED.values())
+    rows += ["\n\n".join(rows), "\n".join([WRAPPED["bsd"]] * 7), "a line before\n" + WRAPPED["isc"].replace(" ", "\n") + "\nand after"]
+    rows += [WRAPPED["mit"] + "\n" + dict(licenses.TEMPLATES)["mit"], "Released under the\nMIT License.\nReleased under the MIT License.", "source\nforms " * 40, "den mit.\nEiner im dem zulich.\nLicensed under the Apache License, Version 2.0."]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.license_scan(docs).collect()}
+    for i, label in enumerate(WRAPPED):
+        assert label in got[i]["labels"].split(",") and got[i]["n_blocks"] == 1
+    assert got[6]["n_blocks"] == 7
+    for i, text in enumerate(rows):
+        found = brute_notices(text)
+        assert set(got[i]["labels"].split(",")) - {""} >= {label for label, _ in found}
+        assert got[i]["n_blocks"] == len(found), i
+        if not got[i]["base_labels"]:
+            assert got[i]["score"] == pytest.approx(max([x for _, x in found], default=0))
+
+
 # --- n-gram join ------------------------------------------------------------------------------------------------------
 
 
