@@ -258,3 +258,107 @@ def append_issues(spark, sf):
     folder = new_folder(spark, "run-issues")
     sinks.append_issues(plans.plan_update_existing(linked, PARAMS)[1], folder, "run-x", "TIMESTAMP_NTZ'2024-01-01 00:00:00'")
     return spark.read.parquet(folder).select("issue_seq", "run_id", "issue_type", "message", "osm_node_id", "details")
+
+
+# --- the same over the reconciled plan of all five tasks ---------------------------------------------------------------
+
+_WHOLE = f"{_BASE}, whole AS (SELECT * FROM plan WHERE {_IS_OP})"
+
+
+@query(
+    "whole_plan_metrics",
+    f"{_WHOLE} SELECT count(*) FILTER (WHERE op = 'create') AS created, count(*) FILTER (WHERE op = 'modify') AS updated, count(*) FILTER (WHERE op = 'delete') AS deleted FROM whole",
+)
+def whole_plan_metrics(spark, sf):
+    return plans.plan_metrics(_reconciled(spark, sf).plan)
+
+
+@query(
+    "whole_plan_delete_fraction",
+    f"""{_WHOLE}, c AS (SELECT count(*) FILTER (WHERE op = 'delete') AS deleted, (SELECT count(*) FROM nodes) AS total FROM whole)
+    SELECT deleted, total, round(deleted::DOUBLE / total, 6) AS fraction, deleted::DOUBLE / total <= 0.01 AS ok,
+    'Delete fraction ' || printf('%.1f', deleted::DOUBLE / total * 100) || '% (' || deleted || '/' || total || ') exceeds max allowed 1.0%. Aborting run to prevent bad changes.' AS message FROM c""",
+)
+def whole_plan_delete_fraction(spark, sf):
+    result = _reconciled(spark, sf)
+    guard = delete_guard(result.metrics, result.nodes, replace(PARAMS, max_delete_fraction=0.01))
+    return guard.selectExpr("deleted", "total", "round(fraction, 6) AS fraction", "ok", "message")
+
+
+@query(
+    "whole_plan_conflicts",
+    f"""{_WHOLE} SELECT id, count(*) AS changes, count(*) FILTER (WHERE op = 'modify') AS modifies, count(*) FILTER (WHERE op = 'delete') AS deletes
+    FROM whole WHERE op <> 'create' GROUP BY id HAVING count(*) > 1""",
+)
+def whole_plan_conflicts(spark, sf):
+    return plans.plan_conflicts(_reconciled(spark, sf).plan)
+
+
+# Each row with its final id, and the version and position of the node it changes.
+_FINAL = f"""{_WHOLE}, final AS (SELECT w.*, CASE WHEN w.op = 'create' THEN -row_number() OVER (PARTITION BY w.op ORDER BY w.task_rank, w.si) ELSE w.id END AS nid,
+    coalesce(n.version, 0) AS version, n.lat AS from_lat, n.lon AS from_lon FROM whole w LEFT JOIN nodes n ON n.id = w.id)"""
+
+
+def _escaped_sql(c: str) -> str:
+    for mark, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&apos;")):
+        c = f"replace({c}, '{mark}', '{entity}')"
+    return c
+
+
+@query(
+    "whole_plan_osc",
+    f"""{_FINAL}, t AS (SELECT tag FROM (SELECT unnest(string_split(tags, '|')) AS tag FROM final) WHERE tag <> ''),
+    l AS (SELECT '    <node id="' || nid || '" lat="' || {number_sql('lat')} || '" lon="' || {number_sql('lon')} || '" version="' || version || '">' AS line FROM final
+    UNION ALL SELECT '      <tag k="' || split_part(tag, '=', 1) || '" v="' || {_escaped_sql("substr(tag, strpos(tag, '=') + 1)")} || '" />' FROM t
+    UNION ALL SELECT '    </node>' FROM final)
+    SELECT line, count(*) AS times FROM l GROUP BY line
+    UNION ALL SELECT v.line, 1 FROM (VALUES ('<?xml version="1.0" encoding="UTF-8"?>'), ('<osmChange version="0.6" generator="planned-changes">'), ('  <create>'), ('  </create>'),
+      ('  <modify>'), ('  </modify>'), ('  <delete if-unused="true">'), ('  </delete>'), ('</osmChange>')) v(line)""",
+)
+def whole_plan_osc(spark, sf):
+    folder = new_folder(spark, "whole-osc")
+    sinks.write_osc(_reconciled(spark, sf).plan, folder)
+    return spark.read.text(folder).groupBy(F.col("value").alias("line")).agg(F.expr("count(*) AS times"))
+
+
+@query(
+    "whole_plan_geojson",
+    f"""{_FINAL} SELECT op, nid AS id, round(lon, 6) AS lon, round(lat, 6) AS lat, round(CASE WHEN op = 'modify' THEN from_lat END, 6) AS from_lat,
+    round(CASE WHEN op = 'modify' THEN from_lon END, 6) AS from_lon, tags AS tags_text FROM final""",
+)
+def whole_plan_geojson(spark, sf):
+    folder = new_folder(spark, "whole-geojson")
+    sinks.write_geojson(_reconciled(spark, sf).plan, folder)
+    shape = "geometry struct<coordinates:array<double>>, properties map<string,string>"
+    read = spark.read.text(folder).select(F.from_json("value", shape).alias("f")).select("f.geometry.coordinates", "f.properties")
+    rest = "map_filter(properties, (k, v) -> k NOT IN ('_operation', '_osm_id', '_from_lat', '_from_lon'))"
+    return read.selectExpr(
+        "properties['_operation'] AS op",
+        "bigint(properties['_osm_id']) AS id",
+        "round(coordinates[0], 6) AS lon",
+        "round(coordinates[1], 6) AS lat",
+        "round(double(properties['_from_lat']), 6) AS from_lat",
+        "round(double(properties['_from_lon']), 6) AS from_lon",
+        f"{tags.tags_text(rest)} AS tags_text",
+    )
+
+
+# Issues of the inputs come before those of the tasks.
+_INPUT_ISSUES = f"""SELECT 0 AS task_rank, CASE WHEN rule IS NULL THEN 'register_aed_outside_norway' ELSE 'register_missing_required_data' END AS op, 'warning' AS severity, asset_ord AS si,
+      CAST(NULL AS BIGINT) AS id, CASE WHEN rule IS NULL THEN '{{"lat":' || {number_sql('SITE_LATITUDE')} || ',"lon":' || {number_sql('SITE_LONGITUDE')} || '}}' ELSE '{{}}' END AS tags,
+      CASE rule WHEN 1 THEN 'Register AED with missing ASSET_GUID is missing required data.' WHEN 2 THEN 'Register AED ' || ASSET_GUID || ' is missing location data.'
+        WHEN 3 THEN 'Register AED ' || ASSET_GUID || ' is missing SITE_NAME.' ELSE 'Register AED ' || ASSET_GUID || ' is located outside Norway polygon.' END AS message
+      FROM (SELECT *, CASE WHEN ASSET_GUID IS NULL THEN 1 WHEN SITE_LATITUDE IS NULL THEN 2 WHEN SITE_NAME = '' THEN 3 END AS rule FROM assets WHERE asset_ord NOT IN (SELECT asset_ord FROM valid))
+    UNION ALL SELECT 0, 'osm_not_a_node', 'error', elem_ord, id, '{{"osmElementType":"' || type || '"}}',
+      'OSM element with id ' || id || ' is of type ' || type || ' and will be skipped.' FROM elements WHERE type <> 'node'"""
+
+
+@query(
+    "whole_run_issues",
+    f"""{_BASE}, raised AS ({_INPUT_ISSUES} UNION ALL SELECT task_rank, op, 'warning', si, id, tags, message FROM plan WHERE NOT {_IS_OP})
+    SELECT row_number() OVER (ORDER BY task_rank, si, op, message) AS issue_seq, 'run-x' AS run_id, op AS issue_type, severity, message, id AS osm_node_id, tags AS details FROM raised""",
+)
+def whole_run_issues(spark, sf):
+    folder = new_folder(spark, "whole-issues")
+    sinks.append_issues(_reconciled(spark, sf).issues, folder, "run-x", "TIMESTAMP_NTZ'2024-01-01 00:00:00'")
+    return spark.read.parquet(folder).select("issue_seq", "run_id", "issue_type", "severity", "message", "osm_node_id", "details")
