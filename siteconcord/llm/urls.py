@@ -11,7 +11,7 @@ decides (host and path together, then the longer host). Without one, a URL whose
 other allowed.
 
 Defined cases: null, empty and scheme-less URLs have an empty host and path, fit no rule and are allowed; equal rows
-give one row; empty tables and empty lists work; other columns are ignored.
+give a row each; empty tables and empty lists work; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -128,14 +128,13 @@ def judge(
     listed: DataFrame | None = None,
     most_blocks: int = MOST_BLOCKS,
 ) -> DataFrame:
-    """(page_id, host, path, rule, verdict, url_listed) per distinct row of `pages` (page_id, url).
+    """(page_id, host, path, rule, verdict, url_listed) per row of `pages` (page_id, url).
 
     `listed`: a table of URLs (column url), of any size, whose canonical forms are blocked where no rule fits.
     """
     spark = pages.sparkSession
     rules = list(dict.fromkeys(rules))
-    rows = pages.select("page_id", "url").distinct()
-    cut = rows.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), canonical(F.col("url")).alias("canon"))
+    cut = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), canonical(F.col("url")).alias("canon"))
     cut = materialized(cut, "urls")
 
     rule_rows = _rule_table(spark, rules)

@@ -250,6 +250,15 @@ def test_url_verdicts(spark, most_blocks):
     assert [got[i] for i in range(len(cases))] == list(cases.values())
 
 
+def test_equal_pages_come_back_each(spark):
+    rows = [(1, "http://casino.example.org/a")] * 3 + [(1, "http://www.example.com/en/x"), (2, None), (2, None), (None, "x"), (None, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(3)
+    listed = pages.filter("url LIKE '%casino%'").select("url")
+    got = [(r["page_id"], r["verdict"], r["url_listed"]) for r in urls.judge(pages, urls.RULES, listed).collect()]
+    wanted = [(1, "block", True)] * 3 + [(1, "allow", False), (2, "allow", False), (2, "allow", False), (None, "allow", False), (None, "allow", False)]
+    assert sorted(got, key=repr) == sorted(wanted, key=repr)
+
+
 # --- packing ----------------------------------------------------------------------------------------------------------
 
 
