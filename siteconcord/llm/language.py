@@ -2,8 +2,8 @@
 
 A text is a vector of byte 1- to 3-gram counts of its letters, hashed into `DIMENSIONS`, weighted by 1 + log(count) times the inverse
 document frequency, of length one. Each language has several centroids (spherical k-means); a text gets the language
-of the nearest one by cosine. A text farther from all centroids than the language's own training texts ever are, by a
-margin, is rejected.
+of the nearest one by cosine. A text farther from all centroids than nearly all training texts of the language that were
+held back from its clusters are, by a margin, is rejected.
 
 The classifier is fitted on a bounded sample: about `PER_LANGUAGE` labelled rows of each language, drawn by a hash of the id
 (so the same rows whatever the partitioning). Vectors are made in tasks and only the sample's reach the driver. Prediction
@@ -30,8 +30,14 @@ from siteconcord.llm.batches import chunks
 PER_LANGUAGE = 400
 CENTROIDS = 3
 DIMENSIONS = 4096
-# A text is rejected below this part of the lowest cosine of its language's training texts.
+# A cluster has at least this part of an even share of its language's training texts.
+LEAST_SHARE = 0.2
+TRIES = 8
+# A text is rejected below this part of a low quantile of the cosines of its language's training texts, one in HELD_BACK
+# of which are held back from the clusters for it.
 MARGIN = 0.5
+QUANTILE = 0.02
+HELD_BACK = 5
 UNDETERMINED = "und"
 
 
@@ -110,20 +116,43 @@ def _vectors(rows: DataFrame) -> list[tuple[str, np.ndarray]]:
     return sorted((r["lang"], bytes(r["vector"])) for r in found)
 
 
-def _cluster(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """Spherical k-means from seeds far apart; fewer distinct texts give fewer centroids."""
-    mean = vectors.mean(0)
-    seeds = [int(np.argmax(vectors @ mean))]
-    nearest = vectors @ vectors[seeds[0]]
-    while len(seeds) < min(k, len(vectors)):
-        seeds.append(int(np.argmin(nearest)))
-        nearest = np.maximum(nearest, vectors @ vectors[seeds[-1]])
-    centres = vectors[seeds]
-    for _ in range(rounds):
-        chosen = np.argmax(vectors @ centres.T, 1)
-        sums = np.stack([vectors[chosen == i].sum(0) if (chosen == i).any() else centres[i] for i in range(len(centres))])
-        centres = sums / np.linalg.norm(sums, axis=1, keepdims=True)
-    return centres
+def _seeds(vectors: np.ndarray, k: int, draw: np.random.Generator) -> np.ndarray:
+    """Rows drawn as k-means++ does, by their distance from the nearest seed."""
+    seeds = [int(draw.integers(len(vectors)))]
+    away = 1 - vectors @ vectors[seeds[0]]
+    while len(seeds) < min(k, len(vectors)) and (weight := np.where(away > 1e-9, away, 0)).sum() > 0:
+        seeds.append(int(draw.choice(len(vectors), p=weight / weight.sum())))
+        away = np.minimum(away, 1 - vectors @ vectors[seeds[-1]])
+    return vectors[seeds]
+
+
+def _cluster(vectors: np.ndarray, k: int) -> np.ndarray:
+    """The centroids of the best of TRIES starts, the same ones each time: the most clusters, then the nearest rows."""
+    draw = np.random.default_rng(0)
+    tries = [_settle(vectors, _seeds(vectors, k, draw), k) for _ in range(TRIES)]
+    return max(tries, key=lambda centres: (len(centres), float((vectors @ centres.T).max(1).sum())))
+
+
+def _settle(vectors: np.ndarray, centres: np.ndarray, k: int, rounds: int = 12, least: float = LEAST_SHARE) -> np.ndarray:
+    """Spherical k-means; a cluster with less than `least` of an even share gives way, its rows go to the others."""
+    while True:
+        for _ in range(rounds):
+            chosen = np.argmax(vectors @ centres.T, 1)
+            sums = np.stack([vectors[chosen == i].sum(0) if (chosen == i).any() else centres[i] for i in range(len(centres))])
+            centres = sums / np.linalg.norm(sums, axis=1, keepdims=True)
+        sizes = np.bincount(np.argmax(vectors @ centres.T, 1), minlength=len(centres))
+        smallest = int(np.argmin(sizes))
+        if len(centres) == 1 or sizes[smallest] >= least * len(vectors) / k:
+            return centres
+        centres = np.delete(centres, smallest, 0)
+
+
+def _limit(vectors: np.ndarray, k: int, margin: float) -> float:
+    """`margin` of a low quantile of the cosines of texts that are held back from the clusters."""
+    back = np.arange(len(vectors)) % HELD_BACK == HELD_BACK - 1
+    centres = _cluster(vectors[~back], k)
+    tried = vectors[back] if back.any() else vectors
+    return margin * float(np.quantile((tried @ centres.T).max(1), QUANTILE))
 
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS, margin: float = MARGIN) -> Model:
@@ -141,7 +170,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, centroids: int =
         made = _cluster(rows, centroids)
         centres.append(made)
         of += [number] * len(made)
-        least.append(margin * float((rows @ made.T).max(1).min()))
+        least.append(_limit(rows, centroids, margin))
     return Model(languages, np.array(of), np.concatenate(centres), idf, np.array(least))
 
 

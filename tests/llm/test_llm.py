@@ -5,6 +5,7 @@ import re
 import zlib
 from itertools import combinations
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -329,6 +330,21 @@ def test_held_out_accuracy(spark):
     assert right >= 0.97 and rows.filter("NOT score BETWEEN 0 AND 1").count() == 0
 
 
+def test_clusters_hold_many_texts_and_odd_rows_set_no_limit(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter(~language.held_out()).select("doc_id", "lang", "text")
+    model = language.fit(docs)
+    found = language._vectors(language.sample(docs))
+    vectors = language.weighted(np.stack([np.frombuffer(v, "<i4") for _, v in found]), model.idf)
+    for number, lang in enumerate(model.languages):
+        rows = vectors[[i for i, (own, _) in enumerate(found) if own == lang]]
+        sizes = np.bincount(np.argmax(rows @ model.centroids[np.array(model.of) == number].T, 1))
+        assert len(sizes) > 1 and sizes.min() >= 0.2 * len(rows) / language.CENTROIDS
+    odd = spark.createDataFrame([(10**9, model.languages[0], "xqzj vkwp zzrt qqpl")], docs.schema)
+    assert np.allclose(language.fit(docs.unionByName(odd)).least, model.least, rtol=0.1)
+    italian = "La volpe marrone salta sopra il cane pigro mentre il sole tramonta dietro le colline e gli uccelli cantano nel bosco vicino alla casa"
+    assert language.classify(model, [italian])[2] == [True]
+
+
 # --- pipeline ---------------------------------------------------------------------------------------------------------
 
 
