@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark.sql import SparkSession
 
 CHUNK_BYTES = 4 << 20
 
@@ -27,3 +29,18 @@ def chunks(batch: pa.RecordBatch, column: str, size: int = CHUNK_BYTES) -> Itera
 def as_bytes(texts: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
     return [b or b"" for b in texts.cast(pa.binary()).to_pylist()]
+
+
+@contextlib.contextmanager
+def byte_batches(spark: SparkSession, size: int = CHUNK_BYTES) -> Iterator[None]:
+    """Arrow batches of about `size` bytes for jobs started inside: a worker never holds thousands of long texts at once."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

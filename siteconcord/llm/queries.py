@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siteconcord.llm import (
     decontaminate,
+    divergence,
     language,
     licenses,
     ngram_join,
@@ -153,6 +154,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR (n_lines >= 4 AND 10 * len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…)\\s*$'))) > 8 * n_lines)) AS kept
 FROM b"""
 
+_TERMS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+DIVERGENCE_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({_LOWER}, '{_TERMS}') AS w,
+    row_number() OVER () AS r FROM documents),
+w AS (SELECT lang, source, r, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}),
+v AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(n) AS HUGEINT) AS n_lang FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term),
+t AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS n_kept FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + ({divergence.SCALE}::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(n_kept, 0) + 5 * v) AS p,
+    1 + ({divergence.SCALE}::HUGEINT * (k.n + 5)) // (n_lang + 5 * v) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN t ON t.lang = g.lang AND t.source = g.source
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM o
+QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
 
 # --- the queries ------------------------------------------------------------------------------------------------------
 
@@ -228,6 +252,11 @@ def op10(spark, sf_dir):
     return language.identify(docs, model).withColumn("held_out", F.coalesce(out, F.lit(False))).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@query("op12_divergence", DIVERGENCE_SQL)
+def op12(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
