@@ -13,6 +13,7 @@ from siteconcord.llm import (
     divergence,
     language,
     licenses,
+    manifest,
     ngram_join,
     packing,
     quality,
@@ -178,6 +179,67 @@ SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC
 QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
 
 
+def _merkle_levels(name: str, levels: int) -> str:
+    """CTEs that fold the nodes {name}0 (tree, place, n, h) run by run; a tree of one node stays as it is."""
+    parts = []
+    for i in range(levels):
+        nodes = f"{name}{i}"
+        run = "PARTITION BY tree, place // 8 ORDER BY place"
+        listed = f"string_agg(h, '') OVER ({run} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        behind = f"string_agg(h, '') OVER ({run} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+        parts.append(f"""{name}s{i} AS (SELECT tree, place, n, h, CASE WHEN n > 1 THEN coalesce({listed}, '') ELSE '' END AS before,
+  CASE WHEN n > 1 THEN coalesce({behind}, '') ELSE '' END AS after FROM {nodes}),
+{name}{i + 1} AS (SELECT tree, place // 8 AS place, (n + 7) // 8 AS n,
+  CASE WHEN n > 1 THEN sha256(before || h || after) ELSE h END AS h FROM {name}s{i} WHERE place % 8 = 0)""")
+    return ",\n".join(parts)
+
+
+def _merkle_folds(alias: str, name: str, levels: int, place: str, start: str) -> tuple[list[str], str, str]:
+    """(joins, proof, fold) of the path from a place of {name}0 to its top."""
+    joins, proof, fold = [], [], start
+    for i in range(levels):
+        s = f"{alias}{i}"
+        joins.append(f"JOIN {name}s{i} {s} ON {s}.tree = {{tree}} AND {s}.place = {place} // {8**i}")
+        proof.append(f"{s}.before || {s}.after")
+        fold = f"CASE WHEN {s}.n > 1 THEN sha256({s}.before || {fold} || {s}.after) ELSE {fold} END"
+    return joins, " || ".join(proof), fold
+
+
+def _manifest_sql(levels: int, top_levels: int) -> str:
+    field = lambda f: f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen(CAST({f} AS VARCHAR)) || ':' || {f} END"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    head = " || ".join(field(f) for f in manifest.FIELDS[:-1])
+    joins, proof, _ = _merkle_folds("a", "l", levels, "d.place", "")
+    tops, top_proof, _ = _merkle_folds("b", "r", top_levels, "t.place", "")
+    # The fold is taken step by step: one column each, so that the text of the SQL stays short.
+    steps, last = [], "found"
+    for i, alias in [(i, f"a{i}") for i in range(levels)] + [(i, f"b{i}") for i in range(top_levels)]:
+        steps.append(f"CASE WHEN {alias}_n > 1 THEN sha256({alias}_before || {last} || {alias}_after) ELSE {last} END AS f_{alias}")
+        last = f"f_{alias}"
+    kept = ", ".join(f"{a}.n AS {a}_n, {a}.before AS {a}_before, {a}.after AS {a}_after" for a in [f"a{i}" for i in range(levels)] + [f"b{i}" for i in range(top_levels)])
+    return f"""
+WITH crc(tab) AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))),
+x AS (SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: ascii(CAST(doc_id AS VARCHAR)[i]))),
+    lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS code FROM documents, crc),
+y AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256({head} || {field("text")}) AS h,
+  sha256({head} || CASE WHEN code % 3 = 0 THEN {field(lowered)} ELSE {field("text")} END) AS found FROM x),
+d AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n FROM y),
+l0 AS (SELECT tree, place, n, h FROM d),
+{_merkle_levels("l", levels)},
+t AS (SELECT tree AS language, h, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM l{levels}),
+r0 AS (SELECT '' AS tree, place, n, h FROM t),
+{_merkle_levels("r", top_levels)},
+m AS (SELECT d.doc_id, d.h AS leaf, d.found, t.h AS subroot, (SELECT h FROM r{top_levels}) AS root, sha256({proof} || {top_proof}) AS proof_sha256, {kept}
+  FROM d JOIN t ON t.language = d.tree {" ".join(j.format(tree="d.tree") for j in joins)} {" ".join(j.format(tree="''") for j in tops)}),
+{", ".join(f"m{i} AS (SELECT *, {step} FROM {f'm{i - 1}' if i else 'm'})" for i, step in enumerate(steps))}
+SELECT doc_id, leaf, subroot, root, proof_sha256, {last} AS folded_root, {last} = root AS verified FROM m{len(steps) - 1}"""
+
+
+# Enough for 8^7 rows a language and 8^3 languages.
+MANIFEST_SQL = _manifest_sql(7, 3)
+
+
 # --- the queries ------------------------------------------------------------------------------------------------------
 
 
@@ -257,6 +319,13 @@ def op12(spark, sf_dir):
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
 
+@query("op13_manifest", MANIFEST_SQL)
+def op13(spark, sf_dir):
+    found = manifest.manifest(table(spark, sf_dir, "documents"), manifest.tampered_text())
+    digests = F.expr("array_join(transform(proof, s -> concat(s.before, s.after)), '')")
+    return found.withColumn("proof_sha256", F.sha2(digests, 256)).drop("proof")
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
