@@ -37,3 +37,19 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: list)
         hot_right = hot_right.distinct()
     spread = left.filter(~is_hot).join(right.filter(~is_hot), key, how)
     return spread.unionByName(left.filter(is_hot).join(F.broadcast(hot_right), key, how))
+
+
+def fanned_join(left: DataFrame, right: DataFrame, key: str, per: int = HOT_ROWS, how: str = "inner") -> DataFrame:
+    """Join on one key, with `left` (a written table: it is read twice) split by need and `right` copied by need.
+
+    A key with more than `per` rows on the left gets one salt for each `per` rows; its left rows are dealt over the
+    salts by a hash of the row, its right rows are there once per salt. No list of keys reaches the driver and no number of
+    hot keys is assumed: counts are pre-aggregated, and only keys above `per` are kept of them.
+    """
+    many = left.filter(f"{key} IS NOT NULL").groupBy(key).count().filter(f"count > {per}")
+    fans = many.selectExpr(key, f"int((count + {per - 1}) div {per}) AS _fan")
+    dealt = left.join(fans, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.coalesce("_fan", F.lit(1))).cast("int"))
+    if how in ("left_semi", "left_anti"):
+        right = right.select(key)
+    copied = right.join(fans, key, "left").withColumn("_salt", F.explode(F.expr("sequence(0, coalesce(_fan, 1) - 1)")))
+    return dealt.drop("_fan").join(copied.drop("_fan"), [key, "_salt"], how).drop("_salt")
