@@ -14,6 +14,7 @@ from siteconcord.llm import (
     language,
     licenses,
     manifest,
+    near_dedup,
     ngram_join,
     packing,
     quality,
@@ -155,6 +156,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR (n_lines >= 4 AND 10 * len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…)\\s*$'))) > 8 * n_lines)) AS kept
 FROM b"""
 
+NEAR_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACED}') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1 : i + 5], ' ')) END) AS g FROM d),
+sizes AS (SELECT doc_id, len(g) AS n FROM s),
+x AS (SELECT doc_id, unnest(g) AS h FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM x a JOIN x b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN sizes sa ON sa.doc_id = a JOIN sizes sb ON sb.doc_id = b WHERE 100 * o >= 85 * (sa.n + sb.n - o)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT s.doc_id, CAST(n AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM sizes s JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)"""
+
 _TERMS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 DIVERGENCE_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({_LOWER}, '{_TERMS}') AS w,
@@ -314,6 +327,11 @@ def op10(spark, sf_dir):
     return language.identify(docs, model).withColumn("held_out", F.coalesce(out, F.lit(False))).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@query("op11_near_dedup", NEAR_SQL)
+def op11(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op12_divergence", DIVERGENCE_SQL)
 def op12(spark, sf_dir):
     return divergence.divergence(table(spark, sf_dir, "documents"))
