@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siteconcord.session import materialized
+
 HOT_ROWS = 1_000_000
 MOST_HOT_KEYS = 10_000
 
@@ -44,12 +46,18 @@ def fanned_join(left: DataFrame, right: DataFrame, key: str, per: int = HOT_ROWS
 
     A key with more than `per` rows on the left gets one salt for each `per` rows; its left rows are dealt over the
     salts by a hash of the row, its right rows are there once per salt. No list of keys reaches the driver and no number of
-    hot keys is assumed: counts are pre-aggregated, and only keys above `per` are kept of them.
+    hot keys is assumed: counts are pre-aggregated, and only keys above `per` are kept of them. They are broadcast if they
+    are few, so that the left is shuffled once; without any it is a plain join.
     """
+    existence = how in ("left_semi", "left_anti")
+    right = right.select(key) if existence else right
     many = left.filter(f"{key} IS NOT NULL").groupBy(key).count().filter(f"count > {per}")
-    fans = many.selectExpr(key, f"int((count + {per - 1}) div {per}) AS _fan")
+    fans = materialized(many.selectExpr(key, f"int((count + {per - 1}) div {per}) AS _fan"), "fans")
+    known = fans.limit(MOST_HOT_KEYS + 1).count()
+    if not known:
+        return left.join(right, key, how)
+    if known <= MOST_HOT_KEYS:
+        fans = F.broadcast(fans)
     dealt = left.join(fans, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.coalesce("_fan", F.lit(1))).cast("int"))
-    if how in ("left_semi", "left_anti"):
-        right = right.select(key)
     copied = right.join(fans, key, "left").withColumn("_salt", F.explode(F.expr("sequence(0, coalesce(_fan, 1) - 1)")))
     return dealt.drop("_fan").join(copied.drop("_fan"), [key, "_salt"], how).drop("_salt")
