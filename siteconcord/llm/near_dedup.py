@@ -17,6 +17,9 @@ only way a link can be lost; links that other links bridge are not even lost the
 * Tables of many copies are not expanded into pairs. Each table first links its classes to the one that meets most others, then to
   another; verified links become components. After that only pairs of different components are looked at, and in
   each table nothing is paired inside the component that holds most of it.
+* A table that is mixed even then may hold many texts that resemble, but do not link, each other. Of two sets that link, each has
+  one of its n - ceil(percent * n / 100) + 1 rarest shingles among those of the other, so the classes of mixed tables are
+  paired by these, which loses no link: copies with edits of their own have their own rarest shingles.
 
 Defined cases: null, empty and blank texts have an empty set and are their own component; a text with fewer than k words is one
 shingle; repeated rows are equal sets; rows that share a doc_id are one document and fall into one component; rows without a doc_id have
@@ -47,7 +50,7 @@ MISS = 1e-6
 # Least share of equal sketch bytes, of the threshold's similarity.
 SKETCH = 0.7
 # Pairs of one class that meet in one task.
-PAIRS_PER_TASK = 2_000
+PAIRS_PER_TASK = 1_000
 
 _CHUNK = 1 << 20
 
@@ -179,11 +182,12 @@ class _Dedup:
         return rows.join(self.comps, "id", "left").withColumn("comp", F.expr("coalesce(comp, id)"))
 
     def mixed(self, tables: DataFrame) -> DataFrame:
-        """The rows of tables that hold several components, with comp and whether it is the one that holds most of the table."""
-        rows = materialized(self.labelled(tables.select("key", "id", "n", "met")), "labelled")
+        """The rows of tables that hold several components, with comp and of_most: whether it is the one that holds most of the table."""
+        given = [c for c in tables.columns if c not in ("comp", "of_most")]
+        rows = materialized(self.labelled(tables.select(*given)), "labelled")
         counts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
         tops = counts.groupBy("key").agg(F.expr("max(struct(c, comp)).comp AS most"), F.expr("min(comp) <> max(comp) AS mixed"))
-        found = rows.join(tops.filter("mixed"), "key").selectExpr("key", "id", "n", "met", "comp", "comp = most AS of_most")
+        found = rows.join(tops.filter("mixed"), "key").selectExpr(*given, "comp", "comp = most AS of_most")
         found = materialized(found, "mixed")
         discard(rows, tables)
         return found
@@ -195,10 +199,31 @@ class _Dedup:
         return met.selectExpr("centre.id AS a", "id AS b", "centre.n AS na", "n AS nb")
 
     def across(self, rows: DataFrame) -> DataFrame:
-        """All pairs of different components in a table; inside the component that holds most of it nothing is paired."""
-        left = rows.filter("NOT of_most").selectExpr("key", "id AS b", "n AS nb", "comp AS cb")
-        right = rows.selectExpr("key", "id AS a", "n AS na", "comp AS ca", "of_most")
-        return left.join(right, "key").filter("ca <> cb AND (of_most OR a < b)").select("a", "b", "na", "nb")
+        """Pairs of different components that have one of their rarest members in common, and can reach the threshold from there on.
+
+        Among the rows of the component that has most of a member's rows nothing is paired.
+        """
+        left = rows.filter("NOT of_most").selectExpr("key", "id AS b", "n AS nb", "comp AS cb", "at AS pb")
+        right = rows.selectExpr("key", "id AS a", "n AS na", "comp AS ca", "of_most", "at AS pa")
+        enough = f"{100 + self.percent}L * least(na - pa, nb - pb) >= {self.percent}L * (na + nb)"
+        pairs = left.join(right, "key").filter(f"ca <> cb AND (of_most OR a < b) AND {self.near} AND {enough}")
+        return pairs.select("a", "b", "na", "nb")
+
+    def rarest(self, rows: DataFrame, members: DataFrame) -> DataFrame:
+        """(key, id, n, at): the rarest members of each class in `rows`, as far as another class has them too, with their places from 0.
+
+        A partner of a set of n holds at least percent * n / 100 of it, so it has one of the first n - ceil(that) + 1.
+        """
+        ids = rows.select("id", "n").distinct()
+        held = materialized(members.join(ids, "id").selectExpr("id", "n", "explode(members) AS key"), "held")
+        several = held.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+        known = held.join(several, "key")
+        # Members that no other class has come first, unnumbered.
+        place = "n - count(*) OVER (PARTITION BY id) + row_number() OVER (PARTITION BY id ORDER BY c, key) - 1 AS at"
+        first = known.selectExpr("key", "id", "n", place).filter(f"at < n - ({self.percent} * n + 99) div 100 + 1")
+        found = materialized(first, "rarest")
+        discard(held)
+        return found
 
     def confirmed(self, pairs: DataFrame, members: DataFrame) -> DataFrame:
         """The pairs (a, b) that link: those the sketch lets through, by the common members of their whole sets."""
@@ -234,8 +259,9 @@ class _Dedup:
             tables = self.mixed(tables)
             self.add(self.confirmed(self.star(tables, f"struct({order})"), members))
         tables = self.mixed(tables)
-        self.add(self.confirmed(self.across(tables), members))
-        discard(tables, members)
+        lists = self.mixed(self.rarest(tables, members))
+        self.add(self.confirmed(self.across(lists), members))
+        discard(tables, lists, members)
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
