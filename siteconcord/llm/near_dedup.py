@@ -14,9 +14,9 @@ only way a link can be lost; links that other links bridge are not even lost the
   text without relatives thus costs 2 * m rows instead of m * m.
 * Candidates are compared by a sketch, one byte of each minhash: a pair of the threshold's similarity stays below `SKETCH` with
   a probability of less than 10^-9. What is left is confirmed on the full sets, by counting common members.
-* Tables of many copies are not expanded into pairs. Each table first links its classes to the one that meets most others, then to
-  another; verified links become components. After that only pairs of different components are looked at, and in
-  each table nothing is paired inside the component that holds most of it.
+* Tables of many copies are not expanded into pairs. Each table first pairs its classes with the one of them that meets most others;
+  verified links become components. After that only pairs of different components are looked at, and on each list nothing
+  is paired inside the component that holds most of it.
 * A table that is mixed even then may hold many texts that resemble, but do not link, each other. Of two sets that link, each has
   one of its n - ceil(percent * n / 100) + 1 rarest shingles among those of the other, so the classes of mixed tables are
   paired by these, which loses no link: copies with edits of their own have their own rarest shingles.
@@ -192,9 +192,9 @@ class _Dedup:
         discard(rows, tables)
         return found
 
-    def star(self, rows: DataFrame, order: str) -> DataFrame:
-        """Each table's classes, paired with the one that `order` puts first, if that is of another component."""
-        first = rows.groupBy("key").agg(F.expr(f"min(struct({order} AS x, id, n, comp)) AS centre"))
+    def star(self, rows: DataFrame) -> DataFrame:
+        """Each table's classes, paired with the one that meets most others, if that is of another component."""
+        first = rows.groupBy("key").agg(F.expr("min(struct(-met AS m, xxhash64(id) AS x, id, n, comp))").alias("centre"))
         met = rows.join(first, "key").filter("comp <> centre.comp")
         return met.selectExpr("centre.id AS a", "id AS b", "centre.n AS na", "n AS nb")
 
@@ -255,9 +255,8 @@ class _Dedup:
             held = whole_sets(texts, self.k).withColumnRenamed("doc_id", "id")
             members = materialized(held.join(ids, ["id", "digest"], "left_semi").dropDuplicates(["id", "digest"]), "members")
         discard(ids)
-        for order in ("-met AS m, xxhash64(id)", "xxhash64(id, key)"):
-            tables = self.mixed(tables)
-            self.add(self.confirmed(self.star(tables, f"struct({order})"), members))
+        tables = self.mixed(tables)
+        self.add(self.confirmed(self.star(tables), members))
         tables = self.mixed(tables)
         lists = self.mixed(self.rarest(tables, members))
         self.add(self.confirmed(self.across(lists), members))
