@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from siteconcord.catalog.book import PARAMS, Inputs, ctes, distance, query
@@ -11,6 +13,7 @@ from siteconcord.operators.claim import greedy_claim
 from siteconcord.operators.ordinals import dense_ordinals
 from siteconcord.operators.spatial import nearest_within
 from siteconcord.plans.reconcile import asset_outcomes, near_mixed
+from siteconcord.session import materialized
 
 _AT_ASSET = ("SITE_LATITUDE", "SITE_LONGITUDE")
 
@@ -162,6 +165,12 @@ def closest(spark, sf):
     return found.selectExpr("elem_ord", "asset_ord", "round(distance_m, 3) AS distance_m")
 
 
+def _spark_columns(sql: str) -> list[str]:
+    """Columns written for the other engine, where // divides integers and decimals are doubles."""
+    plain = sql.replace("//", "div")
+    return [re.sub(r"(?<![\w.])(\d+\.\d+)", r"\1D", c) for c in plain.split(", ")]
+
+
 # The other engine walks the assets in order, one step of the recursion each.
 CLAIMS = f"""edges AS MATERIALIZED (SELECT a.asset_ord, n.elem_ord, n.opted_out, {_NODE_TO_ASSET} AS d FROM unlinked a JOIN nodes n ON {_NEAR}
   WHERE n.mref IS NULL AND n.aed_only AND {_NODE_TO_ASSET} <= 175),
@@ -186,6 +195,55 @@ def claim(spark, sf):
     return found.selectExpr("asset_ord", "elem_ord", "outcome", "round(distance_m, 3) AS distance_m")
 
 
+def _walk_sql(edges: str) -> str:
+    """Assets of each group one after the other, one step of the recursion for all groups."""
+    return f"""{edges},
+choices AS MATERIALIZED (SELECT g, asset_ord, row_number() OVER (PARTITION BY g ORDER BY asset_ord) AS i, list({{'e': elem_ord, 'd': d}} ORDER BY d, elem_ord) AS c FROM edges GROUP BY g, asset_ord),
+walk(g, i, asset_ord, taken, pick) AS (
+  SELECT DISTINCT g, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST([] AS BIGINT[]), CAST(NULL AS STRUCT(e BIGINT, d DOUBLE)) FROM choices
+  UNION ALL
+  SELECT g, i, asset_ord, CASE WHEN pick IS NOT NULL THEN list_append(taken, pick.e) ELSE taken END, pick FROM (
+    SELECT c.g, c.i, c.asset_ord, w.taken, list_filter(c.c, lambda x: NOT list_contains(w.taken, x.e))[1] AS pick FROM walk w JOIN choices c ON c.g = w.g AND c.i = w.i + 1))
+SELECT asset_ord, pick.e AS elem_ord, 'claimed' AS outcome, round(pick.d, 3) AS distance_m FROM walk WHERE pick IS NOT NULL"""
+
+
+# Streets of 100 customers, 100 m apart: each stands nearest to the node that its predecessor must fall back on.
+_STREET_ASSETS = "c_custkey AS asset_ord, 60 + (c_custkey // 100) * 0.01 AS lat, 10 + ((c_custkey % 100) - CASE WHEN c_custkey % 100 > 0 THEN 0.6 ELSE 0 END) * 0.0018 AS lon"
+_STREET_NODES = "c_custkey AS elem_ord, 60 + (c_custkey // 100) * 0.01 AS lat, 10 + (c_custkey % 100) * 0.0018 AS lon"
+_PAIR = distance("n.lat", "n.lon", "a.lat", "a.lon")
+
+
+@query(
+    "greedy_claim_chain",
+    f"""WITH RECURSIVE a AS (SELECT c_custkey // 100 AS g, {_STREET_ASSETS} FROM customer), n AS (SELECT c_custkey // 100 AS g, {_STREET_NODES} FROM customer),
+    {_walk_sql(f"edges AS MATERIALIZED (SELECT a.g, asset_ord, elem_ord, {_PAIR} AS d FROM a JOIN n ON a.g = n.g WHERE {_PAIR} <= 175)")}""",
+)
+def claim_chain(spark, sf):
+    customers = Inputs(spark, sf).table("customer")
+    assets = materialized(customers.selectExpr(*_spark_columns(_STREET_ASSETS)), "assets")
+    nodes = materialized(customers.selectExpr(*_spark_columns(_STREET_NODES), "false AS opted_out"), "nodes")
+    found = greedy_claim(assets, nodes, 175.0)
+    return found.selectExpr("asset_ord", "elem_ord", "outcome", "round(distance_m, 3) AS distance_m")
+
+
+# Crowds of 400 customers and 400 parts, each within one cell of the grid.
+_CROWD_ASSETS = "c_custkey AS asset_ord, 60 + (c_custkey // 400) * 0.1 + (c_custkey * 7919 % 10007) * 0.00000005 AS lat, 10 + (c_custkey * 104729 % 9973) * 0.0000001 AS lon"
+_CROWD_NODES = "p_partkey AS elem_ord, 60 + (p_partkey // 400) * 0.1 + (p_partkey * 15485863 % 9901) * 0.00000005 AS lat, 10 + (p_partkey * 32452843 % 9887) * 0.0000001 AS lon"
+
+
+@query(
+    "greedy_claim_dense",
+    f"""WITH RECURSIVE a AS (SELECT c_custkey // 400 AS g, {_CROWD_ASSETS} FROM customer), n AS (SELECT p_partkey // 400 AS g, {_CROWD_NODES} FROM part),
+    {_walk_sql(f"edges AS MATERIALIZED (SELECT a.g, asset_ord, elem_ord, {_PAIR} AS d FROM a JOIN n ON a.g = n.g WHERE {_PAIR} <= 175)")}""",
+)
+def claim_dense(spark, sf):
+    i = Inputs(spark, sf)
+    assets = materialized(i.table("customer").selectExpr(*_spark_columns(_CROWD_ASSETS)), "assets")
+    nodes = materialized(i.table("part").selectExpr(*_spark_columns(_CROWD_NODES), "false AS opted_out"), "nodes")
+    found = greedy_claim(assets, nodes, 175.0)
+    return found.selectExpr("asset_ord", "elem_ord", "outcome", "round(distance_m, 3) AS distance_m")
+
+
 @query("near_mixed", f"{ctes('unlinked', 'nodes', recursive=True)}, {CLAIMS} SELECT asset_ord FROM mixed")
 def mixed_in_reach(spark, sf):
     valid, nodes = Inputs(spark, sf).staged

@@ -4,6 +4,10 @@ Assets choose in the order of their ordinals, each the nearest node in range tha
 all nodes rank the assets alike (by ordinal), this is the one stable matching, and rounds of deferred acceptance find
 it: every asset proposes to its best node still open to it, each node keeps the lowest ordinal and closes to higher
 ones, until nobody is turned away. A node that has opted out turns nobody away and is never taken.
+
+Rounds are as many as the longest chain of refusals. A few settle most inputs. If somebody is turned away even then, the
+edges that are left (a refusal is final, so the others need no second look) are split into connected components, and a
+component of bounded size is settled in one pass over its edges in the order of choice. Only larger ones go on in rounds.
 """
 
 from __future__ import annotations
@@ -12,12 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siteconcord.functions.geo import is_finite
+from siteconcord.operators.components import connected
 from siteconcord.operators.ordinals import dense_ordinals
 from siteconcord.operators.skew import hot_keys, skew_join
 from siteconcord.operators.spatial import SiteIndex
 from siteconcord.session import materialized
 
 _OPEN = 1 << 62
+# Rounds before components are looked for.
+EASY_ROUNDS = 4
+# Edges of a component that one pass settles; also how many pairs of a crowded cell may become edges.
+FOLD_EDGES = 200_000
 _FACTS = ("places", "refuser", "crowded")
 
 
@@ -69,6 +78,35 @@ def _bars(proposals: DataFrame, any_crowd: bool) -> DataFrame:
     return bars
 
 
+# The choice one by one: `done` is the last asset settled, `taken` the nodes given away.
+_STEP = """CASE WHEN s.done <=> x.asset_ord OR array_contains(s.taken, x.sid) THEN s
+  WHEN x.refuser IS NOT NULL THEN named_struct('done', x.asset_ord, 'taken', s.taken, 'seats',
+    concat(s.seats, array(named_struct('asset_ord', x.asset_ord, 'elem_ord', x.sid, 'distance_m', x.distance_m, 'outcome', 'opted_out'))))
+  ELSE named_struct('done', x.asset_ord, 'taken', concat(s.taken, array(x.sid)), 'seats',
+    concat(s.seats, array(named_struct('asset_ord', x.asset_ord, 'elem_ord', x.sid, 'distance_m', x.distance_m, 'outcome', 'claimed')))) END"""
+_START = """named_struct('done', CAST(NULL AS bigint), 'taken', CAST(array() AS array<bigint>), 'seats',
+  CAST(array() AS array<struct<asset_ord: bigint, elem_ord: bigint, distance_m: double, outcome: string>>))"""
+
+
+def _settled(edges: DataFrame, barred: DataFrame | None, fold_edges: int) -> tuple[DataFrame, DataFrame]:
+    """(seats of the components that one pass settles, edges of the others); those with an asset of `barred` (pid) are others."""
+    nodes = edges.selectExpr("shiftleft(asset_ord, 1) AS u", "shiftleft(sid, 1) + 1 AS v")
+    comps = materialized(connected(nodes), "components")
+    placed = edges.withColumn("node", F.expr("shiftleft(asset_ord, 1)")).join(comps, "node").drop("node")
+    placed = materialized(placed, "edges")
+    large = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).filter(f"n > {fold_edges}").select("comp")
+    if barred is not None:
+        of_barred = comps.join(barred.selectExpr("shiftleft(pid, 1) AS node").distinct(), "node", "left_semi").select("comp")
+        large = large.unionByName(of_barred).distinct()
+    large = materialized(large, "large")
+    small = placed.join(large, "comp", "left_anti").groupBy("comp")
+    listed = small.agg(F.expr("array_sort(collect_list(struct(asset_ord, distance_m, sid, refuser))) AS e"))
+    seats = listed.select(F.expr(f"inline(aggregate(e, {_START}, (s, x) -> {_STEP}, s -> s.seats))"))
+    # As many edges as there are in large components: these may be most of the table.
+    rest = placed.join(large, "comp", "left_semi").drop("comp")
+    return materialized(seats, "seats"), materialized(rest, "edges")
+
+
 def greedy_claim(
     assets: DataFrame,
     nodes: DataFrame,
@@ -76,23 +114,27 @@ def greedy_claim(
     *,
     dense_cell: int | None = None,
     copies: int | None = None,
+    fold_edges: int = FOLD_EDGES,
 ) -> DataFrame:
     """(asset_ord, elem_ord, distance_m, outcome) with outcome 'claimed' or 'opted_out'; assets left without are absent.
 
     `assets` has asset_ord, lat, lon; `nodes` has elem_ord, lat, lon, opted_out. Ties in distance go to the lower
     elem_ord. With `copies`, more nodes than that at one position are handled as one site with as many places, which saves
     rounds; a tie in distance between such a position and another node then goes by the position's lowest elem_ord.
+    Components of more than `fold_edges` edges, and all if `copies` is given, are settled in rounds.
     """
     placed = f"{is_finite('lat')} AND {is_finite('lon')}"
     points = assets.filter(placed).selectExpr("asset_ord AS pid", "lat AS plat", "lon AS plon")
     sites, crowd = _sites(nodes.filter(placed), copies)
-    index = SiteIndex(sites.withColumn("top", F.lit(_OPEN)), radius_m, dense_cell)
+    sites = sites.withColumn("top", F.lit(_OPEN))
+    index = SiteIndex(sites, radius_m, dense_cell, points if dense_cell is None else None, fold_edges)
     edges = index.sparse_pairs(points).selectExpr("pid AS asset_ord", "sid", "distance_m", *_FACTS)
     edges = materialized(edges, "edges")
     hot_sites = hot_keys(edges, "sid")
     left = edges.count()
     dense = materialized(index.dense, "dense") if index.has_dense else None
     dense_points = materialized(index.dense_points(points), "points") if index.has_dense else None
+    rounds, seats = 0, None
 
     while True:
         best = edges.groupBy("asset_ord").agg(F.expr(f"min(struct(distance_m, sid, {', '.join(_FACTS)})) AS best"))
@@ -116,8 +158,13 @@ def greedy_claim(
         edges = kept
         if remaining == left and not closed:
             break
-        left = remaining
-    return _seats(proposals, crowd)
+        left, rounds = remaining, rounds + 1
+        if rounds == EASY_ROUNDS and crowd is None:
+            seats, edges = _settled(edges, dense_points, fold_edges)
+            left = edges.count()
+            if dense is None and not left:
+                return seats
+    return _seats(proposals, crowd) if seats is None else seats.unionByName(_seats(proposals, crowd))
 
 
 def _with_dense(best: DataFrame, index: SiteIndex, points: DataFrame, dense: DataFrame, radius_m: float) -> DataFrame:

@@ -26,15 +26,19 @@ class SiteIndex:
     """Sites (sid, slat, slon, top, ...) by grid cell, split into sparse cells and dense ones.
 
     `top` limits who may take a site: a probe with floor < top. With top = 1 and floor = 0 every site is open to
-    every probe.
+    every probe. With `points`, a cell whose probes make no more than `pairs` pairs with its sites is sparse too.
     """
 
-    def __init__(self, sites: DataFrame, radius_m: float, dense_cell: int | None = None):
+    def __init__(self, sites: DataFrame, radius_m: float, dense_cell: int | None = None, points: DataFrame | None = None, pairs: int = 0):
         self.grid = RadiusGrid(radius_m)
         self.radius_m = radius_m
         placed = self.grid.with_cell(sites, "slat", "slon")
         limit = DENSE_CELL if dense_cell is None else dense_cell
-        crowded = placed.groupBy("cell").count().filter(f"count > {limit}").select("cell")
+        crowded = placed.groupBy("cell").count().filter(f"count > {limit}")
+        if points is not None and not crowded.isEmpty():
+            seen = self.probes(points).groupBy("cell").agg(F.expr("count(*) AS seen"))
+            crowded = crowded.join(seen, "cell").filter(f"count * seen > {pairs}")
+        crowded = crowded.select("cell")
         self.has_dense = not crowded.isEmpty()
         self.sparse, self.dense, self.dense_cells = placed, None, None
         if self.has_dense:
