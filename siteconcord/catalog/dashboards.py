@@ -9,8 +9,10 @@ from siteconcord.catalog.fixtures import ISSUES_SQL, NOW
 from siteconcord.functions.display import element_label, element_url
 from siteconcord.operators import maplayer, runlog
 from siteconcord.params import ISSUE_LABELS, STUCK_MESSAGE
+from siteconcord.plans import maintenance
 from siteconcord.plans.job import append_event
-from siteconcord.session import new_folder
+from siteconcord.session import materialized, new_folder
+from siteconcord.sources.runlog import ISSUE_COLUMNS
 
 _LOG = f"WITH runs AS ({RUNS}), issues AS ({ISSUES_SQL})"
 _NOW = f"TIMESTAMP_NTZ'{NOW}'"
@@ -165,6 +167,45 @@ def prune(spark, sf):
     return runlog.prune(Inputs(spark, sf).runs, _NOW).select("id", "finished_at")
 
 
+_LATER = "2024-02-08 00:00:00"
+
+
+def _kept_log_sql(number: int, runs: str, at: str) -> str:
+    """Runs after an upkeep, hanging ones marked, and how many of their events and issues there are."""
+    hangs = f"status = 'running' AND started_at < TIMESTAMP '{at}' - INTERVAL 3 HOUR"
+    return f"""m{number} AS (SELECT id, started_at, events + CASE WHEN {hangs} THEN 1 ELSE 0 END AS events, CASE WHEN {hangs} THEN 'failed' ELSE status END AS status,
+    CASE WHEN {hangs} THEN TIMESTAMP '{at}' ELSE finished_at END AS finished_at, CASE WHEN {hangs} THEN '{STUCK_MESSAGE}' ELSE error_message END AS error_message FROM {runs}),
+    k{number} AS (SELECT * FROM m{number} WHERE finished_at IS NULL OR finished_at >= TIMESTAMP '{at}' - INTERVAL 30 DAY)"""
+
+
+@query(
+    "log_maintenance",
+    f"""{_LOG}, s AS (SELECT *, 3 + CASE WHEN finished_at IS NULL THEN 0 ELSE 1 END AS events FROM runs), {_kept_log_sql(1, "s", NOW)}, {_kept_log_sql(2, "k1", _LATER)},
+    n AS (SELECT run_id, count(*) AS issues FROM issues GROUP BY run_id),
+    b AS (SELECT 1 AS upkeep, * FROM k1 UNION ALL SELECT 2, * FROM k2)
+    SELECT upkeep, id, status, finished_at, error_message, CAST(events AS BIGINT) AS events, coalesce(issues, 0) AS issues FROM b LEFT JOIN n ON run_id = id""",
+)
+def log_maintenance(spark, sf):
+    """The log is stored by months, kept up twice at one time and once a month later, and read back each time."""
+    i, home = Inputs(spark, sf), new_folder(spark, "kept-log")
+    events, issues = f"{home}/events", f"{home}/issues"
+    maintenance.store(events_of(i), events, maintenance.EVENT_PERIOD, "at", "month")
+    of_runs = i.issues.drop("created_at").join(i.runs.selectExpr("id AS run_id", "started_at AS created_at"), "run_id")
+    maintenance.store(of_runs, issues, maintenance.ISSUE_PERIOD, "created_at", "month")
+    found = []
+    for upkeep, times in enumerate(([NOW, NOW], [_LATER]), 1):
+        for at in times:
+            maintenance.maintain(spark, events, issues, ISSUE_COLUMNS, f"TIMESTAMP_NTZ'{at}'", unit="month")
+        left = maintenance.stored(spark, events, runlog.EVENT_COLUMNS, maintenance.EVENT_PERIOD)
+        counts = left.groupBy(F.col("run_id").alias("id")).agg(F.expr("count(*) AS events"))
+        told = maintenance.stored(spark, issues, ISSUE_COLUMNS, maintenance.ISSUE_PERIOD)
+        told = told.groupBy(F.col("run_id").alias("id")).agg(F.expr("count(*) AS issues"))
+        state = runlog.run_state(left).select("id", "status", "finished_at", "error_message")
+        rows = state.join(counts, "id", "full").join(told, "id", "full")
+        found.append(materialized(rows.selectExpr(f"{upkeep} AS upkeep", "*").fillna(0, ["issues"]), "kept-log-state"))
+    return found[0].unionByName(found[1])
+
+
 # A later reference time, so that runs with issues expire too.
 @query(
     "prune_cascade",

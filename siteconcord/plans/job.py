@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 from siteconcord.operators.runlog import COUNTERS, EVENT_COLUMNS
 from siteconcord.operators.validate import RunAborted, enforce
 from siteconcord.params import MatchParams
+from siteconcord.plans.maintenance import EVENT_PERIOD, store
 from siteconcord.plans.reconcile import reconcile
 from siteconcord.sources.runlog import MODES, STATUSES
 from siteconcord.sources.sinks import append_issues, write_geojson, write_osc
@@ -30,13 +33,42 @@ def append_event(spark: SparkSession, path: str, run_id: str, kind: str, **field
     schema = T.StructType.fromDDL(EVENT_COLUMNS)
     values = {"run_id": run_id, "kind": kind, "at": fields.pop("at", None) or _utc_now(), **fields}
     row = Row(*[values.get(name) for name in schema.names])
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+    store(spark.createDataFrame([row], schema).coalesce(1), path, EVENT_PERIOD, "at")
+
+
+def claim_start(spark: SparkSession, path: str, run_id: str) -> bool:
+    """Put the marker of a run's start beside its event log; False if it is there, so that of several starters one goes on.
+
+    The marker is created only if absent: by the file system of the log, or by the operating system where the log is local.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}_starts/{quote(run_id, safe='')}")
+    system = marker.getFileSystem(conf)
+    system.mkdirs(marker.getParent())
+    try:
+        if marker.toUri().getScheme() in (None, "file") and system.getScheme() == "file":
+            jvm.java.nio.file.Files.createFile(jvm.java.io.File(marker.toUri().getPath()).toPath(), spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0))
+        else:
+            system.create(marker, False).close()
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _marked(spark: SparkSession, path: str, run_id: str) -> bool:
+    return _there(spark, f"{path.rstrip('/')}_starts/{quote(run_id, safe='')}")
 
 
 def known_run(spark: SparkSession, path: str, run_id: str) -> bool:
     """Whether the event log has a start of this run."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+    if not _there(spark, path):
         return False
     started = spark.read.schema(EVENT_COLUMNS).parquet(path).filter("kind = 'start'")
     return not started.filter(F.col("run_id") == run_id).isEmpty()
@@ -45,9 +77,9 @@ def known_run(spark: SparkSession, path: str, run_id: str) -> bool:
 def attempt_of(spark: SparkSession, path: str, run_id: str) -> str | None:
     """The id under which an announced run may start now: itself, or with the number of the attempt; None once one succeeded."""
     attempt, name = 1, run_id
-    while known_run(spark, path, name):
-        ended = spark.read.schema(EVENT_COLUMNS).parquet(path).filter("kind = 'complete' AND status = 'success'")
-        if not ended.filter(F.col("run_id") == name).isEmpty():
+    while known_run(spark, path, name) or _marked(spark, path, name):
+        ended = spark.read.schema(EVENT_COLUMNS).parquet(path).filter("kind = 'complete' AND status = 'success'") if _there(spark, path) else None
+        if ended is not None and not ended.filter(F.col("run_id") == name).isEmpty():
             return None
         attempt += 1
         name = f"{run_id}.{attempt}"
@@ -59,12 +91,13 @@ def run_reconciliation(
 ):
     """Reconcile and write under `out`: run events, issues, plan, and the two change files of this run.
 
-    A run id that has been started is refused before anything is written. Counters and issues of the inputs are stored
+    A run id that has been started is refused before anything is written, and of two that start it at one time only
+    one goes on. Counters and issues of the inputs are stored
     before any guard, files only after all. On failure the run is recorded as failed and the
     error goes on.
     """
     events = f"{out}/run_events"
-    if known_run(spark, events, run_id):
+    if known_run(spark, events, run_id) or not claim_start(spark, events, run_id):
         raise ValueError(f"Run {run_id} has been started before.")
     append_event(spark, events, run_id, "start", mode=mode)
 
