@@ -131,6 +131,7 @@ def _reconciled(spark, sf) -> plans.Reconciliation:
     return plans.reconcile(i.assets, i.elements, PARAMS)
 
 
+PLAN_SQL = _BASE
 _IS_OP = "op IN ('create', 'modify', 'delete')"
 
 
@@ -157,50 +158,6 @@ def merge_plans(spark, sf):
     return _rows(result.plan, result.issues.filter("task_rank > 0"))
 
 
-def _small_plan(spark, sf) -> DataFrame:
-    """Deletes, duplicates and updates: the tasks that need no search."""
-    _, _, linked, hot = _linked(spark, sf)
-    return plans.merge_plans(
-        [
-            plans.plan_delete_removed(linked, PARAMS)[0],
-            plans.plan_resolve_duplicates(linked, hot, PARAMS)[0],
-            plans.plan_update_existing(linked, PARAMS)[0],
-        ]
-    )
-
-
-_SMALL = f"{_BASE}, small AS (SELECT * FROM plan WHERE task_rank IN (2, 3, 4) AND {_IS_OP})"
-
-
-@query(
-    "plan_metrics",
-    f"{_SMALL} SELECT count(*) FILTER (WHERE op = 'create') AS created, count(*) FILTER (WHERE op = 'modify') AS updated, count(*) FILTER (WHERE op = 'delete') AS deleted FROM small",
-)
-def plan_metrics(spark, sf):
-    return plans.plan_metrics(_small_plan(spark, sf))
-
-
-@query(
-    "max_delete_fraction",
-    f"""{_SMALL}, c AS (SELECT count(*) FILTER (WHERE op = 'delete') AS deleted, (SELECT count(*) FROM nodes) AS total FROM small)
-    SELECT deleted, total, round(deleted::DOUBLE / total, 6) AS fraction, deleted::DOUBLE / total <= 0.01 AS ok,
-    'Delete fraction ' || printf('%.1f', deleted::DOUBLE / total * 100) || '% (' || deleted || '/' || total || ') exceeds max allowed 1.0%. Aborting run to prevent bad changes.' AS message FROM c""",
-)
-def max_delete_fraction(spark, sf):
-    metrics = plans.plan_metrics(_small_plan(spark, sf))
-    guard = delete_guard(metrics, Inputs(spark, sf).nodes, replace(PARAMS, max_delete_fraction=0.01))
-    return guard.selectExpr("deleted", "total", "round(fraction, 6) AS fraction", "ok", "message")
-
-
-@query(
-    "plan_conflicts",
-    f"""{_SMALL} SELECT id, count(*) AS changes, count(*) FILTER (WHERE op = 'modify') AS modifies, count(*) FILTER (WHERE op = 'delete') AS deletes
-    FROM small GROUP BY id HAVING count(*) > 1""",
-)
-def plan_conflicts(spark, sf):
-    return plans.plan_conflicts(_small_plan(spark, sf))
-
-
 def _asset_plan(spark, sf) -> DataFrame:
     """A create for every valid asset, and a delete for every node."""
     valid, nodes = Inputs(spark, sf).staged
@@ -220,76 +177,39 @@ def assign_create_ids(spark, sf):
     return numbered.selectExpr("sort_id", "op", "coalesce(after.id, before.id) AS id")
 
 
-@query(
-    "write_osc",
-    f"""{_NUMBERED}, l AS (
-    SELECT 1 AS section, asset_ord AS sort_id, 0 AS line_no, '    <node id="' || nid || '" lat="' || {number_sql('SITE_LATITUDE')} || '" lon="' || {number_sql('SITE_LONGITUDE')} || '" version="0">' AS line FROM n
-    UNION ALL SELECT 1, asset_ord, 1, '      <tag k="name" v="&lt;' || SITE_NAME || '&gt;" />' FROM n
-    UNION ALL SELECT 1, asset_ord, 2, '      <tag k="ref" v="' || ASSET_GUID || '" />' FROM n
-    UNION ALL SELECT 1, asset_ord, 3, '    </node>' FROM n)
-    SELECT line, count(*) AS times FROM l GROUP BY line
-    UNION ALL SELECT v.line, 1 FROM (VALUES ('<?xml version="1.0" encoding="UTF-8"?>'), ('<osmChange version="0.6" generator="planned-changes">'), ('  <create>'), ('  </create>'),
-      ('  <modify>'), ('  </modify>'), ('  <delete if-unused="true">'), ('  </delete>'), ('</osmChange>')) v(line)""",
-)
-def write_osc(spark, sf):
-    folder = new_folder(spark, "changes-osc")
-    sinks.write_osc(_asset_plan(spark, sf).filter("op = 'create'"), folder)
-    return spark.read.text(folder).groupBy(F.col("value").alias("line")).agg(F.expr("count(*) AS times"))
-
-
-@query(
-    "write_geojson",
-    f"""{_NUMBERED} SELECT '{{"type":"Feature","geometry":{{"type":"Point","coordinates":[' || {number_sql('SITE_LONGITUDE')} || ',' || {number_sql('SITE_LATITUDE')}
-    || ']}},"properties":{{"_operation":"create","_osm_id":' || nid || ',"ref":"' || ASSET_GUID || '","name":"<' || SITE_NAME || '>"}}}}' AS feature FROM n""",
-)
-def write_geojson(spark, sf):
-    folder = new_folder(spark, "changes-geojson")
-    sinks.write_geojson(_asset_plan(spark, sf).filter("op = 'create'"), folder)
-    return spark.read.text(folder).withColumnRenamed("value", "feature")
-
-
-@query(
-    "append_issues",
-    f"""{_BASE} SELECT row_number() OVER (ORDER BY si, op, message) AS issue_seq, 'run-x' AS run_id, op AS issue_type, message, id AS osm_node_id, tags AS details
-    FROM plan WHERE task_rank = 4 AND NOT {_IS_OP}""",
-)
-def append_issues(spark, sf):
-    _, _, linked, _ = _linked(spark, sf)
-    folder = new_folder(spark, "run-issues")
-    sinks.append_issues(plans.plan_update_existing(linked, PARAMS)[1], folder, "run-x", "TIMESTAMP_NTZ'2024-01-01 00:00:00'")
-    return spark.read.parquet(folder).select("issue_seq", "run_id", "issue_type", "message", "osm_node_id", "details")
+# --- over the reconciled plan of all five tasks; each under two names --------------------------------------------------
 
+_WHOLE = f"{_BASE}, whole AS (SELECT * FROM plan WHERE {_IS_OP})"
 
-# --- the same over the reconciled plan of all five tasks ---------------------------------------------------------------
 
-_WHOLE = f"{_BASE}, whole AS (SELECT * FROM plan WHERE {_IS_OP})"
+_PLAN_METRICS_SQL = f"{_WHOLE} SELECT count(*) FILTER (WHERE op = 'create') AS created, count(*) FILTER (WHERE op = 'modify') AS updated, count(*) FILTER (WHERE op = 'delete') AS deleted FROM whole"
 
 
-@query(
-    "whole_plan_metrics",
-    f"{_WHOLE} SELECT count(*) FILTER (WHERE op = 'create') AS created, count(*) FILTER (WHERE op = 'modify') AS updated, count(*) FILTER (WHERE op = 'delete') AS deleted FROM whole",
-)
+@query("plan_metrics", _PLAN_METRICS_SQL)
+@query("whole_plan_metrics", _PLAN_METRICS_SQL)
 def whole_plan_metrics(spark, sf):
     return plans.plan_metrics(_reconciled(spark, sf).plan)
 
 
-@query(
-    "whole_plan_delete_fraction",
-    f"""{_WHOLE}, c AS (SELECT count(*) FILTER (WHERE op = 'delete') AS deleted, (SELECT count(*) FROM nodes) AS total FROM whole)
+_MAX_DELETE_FRACTION_SQL = f"""{_WHOLE}, c AS (SELECT count(*) FILTER (WHERE op = 'delete') AS deleted, (SELECT count(*) FROM nodes) AS total FROM whole)
     SELECT deleted, total, round(deleted::DOUBLE / total, 6) AS fraction, deleted::DOUBLE / total <= 0.01 AS ok,
-    'Delete fraction ' || printf('%.1f', deleted::DOUBLE / total * 100) || '% (' || deleted || '/' || total || ') exceeds max allowed 1.0%. Aborting run to prevent bad changes.' AS message FROM c""",
-)
+    'Delete fraction ' || printf('%.1f', deleted::DOUBLE / total * 100) || '% (' || deleted || '/' || total || ') exceeds max allowed 1.0%. Aborting run to prevent bad changes.' AS message FROM c"""
+
+
+@query("max_delete_fraction", _MAX_DELETE_FRACTION_SQL)
+@query("whole_plan_delete_fraction", _MAX_DELETE_FRACTION_SQL)
 def whole_plan_delete_fraction(spark, sf):
     result = _reconciled(spark, sf)
     guard = delete_guard(result.metrics, result.nodes, replace(PARAMS, max_delete_fraction=0.01))
     return guard.selectExpr("deleted", "total", "round(fraction, 6) AS fraction", "ok", "message")
 
 
-@query(
-    "whole_plan_conflicts",
-    f"""{_WHOLE} SELECT id, count(*) AS changes, count(*) FILTER (WHERE op = 'modify') AS modifies, count(*) FILTER (WHERE op = 'delete') AS deletes
-    FROM whole WHERE op <> 'create' GROUP BY id HAVING count(*) > 1""",
-)
+_PLAN_CONFLICTS_SQL = f"""{_WHOLE} SELECT id, count(*) AS changes, count(*) FILTER (WHERE op = 'modify') AS modifies, count(*) FILTER (WHERE op = 'delete') AS deletes
+    FROM whole WHERE op <> 'create' GROUP BY id HAVING count(*) > 1"""
+
+
+@query("plan_conflicts", _PLAN_CONFLICTS_SQL)
+@query("whole_plan_conflicts", _PLAN_CONFLICTS_SQL)
 def whole_plan_conflicts(spark, sf):
     return plans.plan_conflicts(_reconciled(spark, sf).plan)
 
@@ -305,27 +225,29 @@ def _escaped_sql(c: str) -> str:
     return c
 
 
-@query(
-    "whole_plan_osc",
-    f"""{_FINAL}, t AS (SELECT tag FROM (SELECT unnest(string_split(tags, '|')) AS tag FROM final) WHERE tag <> ''),
+_WRITE_OSC_SQL = f"""{_FINAL}, t AS (SELECT tag FROM (SELECT unnest(string_split(tags, '|')) AS tag FROM final) WHERE tag <> ''),
     l AS (SELECT '    <node id="' || nid || '" lat="' || {number_sql('lat')} || '" lon="' || {number_sql('lon')} || '" version="' || version || '">' AS line FROM final
     UNION ALL SELECT '      <tag k="' || split_part(tag, '=', 1) || '" v="' || {_escaped_sql("substr(tag, strpos(tag, '=') + 1)")} || '" />' FROM t
     UNION ALL SELECT '    </node>' FROM final)
     SELECT line, count(*) AS times FROM l GROUP BY line
     UNION ALL SELECT v.line, 1 FROM (VALUES ('<?xml version="1.0" encoding="UTF-8"?>'), ('<osmChange version="0.6" generator="planned-changes">'), ('  <create>'), ('  </create>'),
-      ('  <modify>'), ('  </modify>'), ('  <delete if-unused="true">'), ('  </delete>'), ('</osmChange>')) v(line)""",
-)
+      ('  <modify>'), ('  </modify>'), ('  <delete if-unused="true">'), ('  </delete>'), ('</osmChange>')) v(line)"""
+
+
+@query("write_osc", _WRITE_OSC_SQL)
+@query("whole_plan_osc", _WRITE_OSC_SQL)
 def whole_plan_osc(spark, sf):
     folder = new_folder(spark, "whole-osc")
     sinks.write_osc(_reconciled(spark, sf).plan, folder)
     return spark.read.text(folder).groupBy(F.col("value").alias("line")).agg(F.expr("count(*) AS times"))
 
 
-@query(
-    "whole_plan_geojson",
-    f"""{_FINAL} SELECT op, nid AS id, round(lon, 6) AS lon, round(lat, 6) AS lat, round(CASE WHEN op = 'modify' THEN from_lat END, 6) AS from_lat,
-    round(CASE WHEN op = 'modify' THEN from_lon END, 6) AS from_lon, tags AS tags_text FROM final""",
-)
+_WRITE_GEOJSON_SQL = f"""{_FINAL} SELECT op, nid AS id, round(lon, 6) AS lon, round(lat, 6) AS lat, round(CASE WHEN op = 'modify' THEN from_lat END, 6) AS from_lat,
+    round(CASE WHEN op = 'modify' THEN from_lon END, 6) AS from_lon, tags AS tags_text FROM final"""
+
+
+@query("write_geojson", _WRITE_GEOJSON_SQL)
+@query("whole_plan_geojson", _WRITE_GEOJSON_SQL)
 def whole_plan_geojson(spark, sf):
     folder = new_folder(spark, "whole-geojson")
     sinks.write_geojson(_reconciled(spark, sf).plan, folder)
@@ -353,11 +275,12 @@ _INPUT_ISSUES = f"""SELECT 0 AS task_rank, CASE WHEN rule IS NULL THEN 'register
       'OSM element with id ' || id || ' is of type ' || type || ' and will be skipped.' FROM elements WHERE type <> 'node'"""
 
 
-@query(
-    "whole_run_issues",
-    f"""{_BASE}, raised AS ({_INPUT_ISSUES} UNION ALL SELECT task_rank, op, 'warning', si, id, tags, message FROM plan WHERE NOT {_IS_OP})
-    SELECT row_number() OVER (ORDER BY task_rank, si, op, message) AS issue_seq, 'run-x' AS run_id, op AS issue_type, severity, message, id AS osm_node_id, tags AS details FROM raised""",
-)
+_APPEND_ISSUES_SQL = f"""{_BASE}, raised AS ({_INPUT_ISSUES} UNION ALL SELECT task_rank, op, 'warning', si, id, tags, message FROM plan WHERE NOT {_IS_OP})
+    SELECT row_number() OVER (ORDER BY task_rank, si, op, message) AS issue_seq, 'run-x' AS run_id, op AS issue_type, severity, message, id AS osm_node_id, tags AS details FROM raised"""
+
+
+@query("append_issues", _APPEND_ISSUES_SQL)
+@query("whole_run_issues", _APPEND_ISSUES_SQL)
 def whole_run_issues(spark, sf):
     folder = new_folder(spark, "whole-issues")
     sinks.append_issues(_reconciled(spark, sf).issues, folder, "run-x", "TIMESTAMP_NTZ'2024-01-01 00:00:00'")

@@ -36,18 +36,19 @@ def append_event(spark: SparkSession, path: str, run_id: str, kind: str, **field
     store(spark.createDataFrame([row], schema).coalesce(1), path, EVENT_PERIOD, "at")
 
 
-def claim_start(spark: SparkSession, path: str, run_id: str) -> bool:
-    """Put the marker of a run's start beside its event log; False if it is there, so that of several starters one goes on.
+def put_if_absent(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there, so that of several who try at once one succeeds.
 
-    The marker is created only if absent: by the file system of the log, or by the operating system where the log is local.
+    By the file system of the path, or by the operating system where it is local.
     """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}_starts/{quote(run_id, safe='')}")
+    marker = jvm.org.apache.hadoop.fs.Path(path)
     system = marker.getFileSystem(conf)
     system.mkdirs(marker.getParent())
     try:
-        if marker.toUri().getScheme() in (None, "file") and system.getScheme() == "file":
-            jvm.java.nio.file.Files.createFile(jvm.java.io.File(marker.toUri().getPath()).toPath(), spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0))
+        if system.getScheme() == "file":
+            no_attributes = spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0)
+            jvm.java.nio.file.Files.createFile(jvm.java.io.File(marker.toUri().getPath()).toPath(), no_attributes)
         else:
             system.create(marker, False).close()
     except Py4JJavaError as error:
@@ -57,18 +58,23 @@ def claim_start(spark: SparkSession, path: str, run_id: str) -> bool:
     return True
 
 
-def _there(spark: SparkSession, path: str) -> bool:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+def _start_marker(path: str, run_id: str) -> str:
+    return f"{path.rstrip('/')}_starts/{quote(run_id, safe='')}"
+
+
+def claim_start(spark: SparkSession, path: str, run_id: str) -> bool:
+    """Put the marker of a run's start beside its event log; False if somebody has started it."""
+    return put_if_absent(spark, _start_marker(path, run_id))
 
 
-def _marked(spark: SparkSession, path: str, run_id: str) -> bool:
-    return _there(spark, f"{path.rstrip('/')}_starts/{quote(run_id, safe='')}")
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
 def known_run(spark: SparkSession, path: str, run_id: str) -> bool:
     """Whether the event log has a start of this run."""
-    if not _there(spark, path):
+    if not exists(spark, path):
         return False
     started = spark.read.schema(EVENT_COLUMNS).parquet(path).filter("kind = 'start'")
     return not started.filter(F.col("run_id") == run_id).isEmpty()
@@ -77,8 +83,8 @@ def known_run(spark: SparkSession, path: str, run_id: str) -> bool:
 def attempt_of(spark: SparkSession, path: str, run_id: str) -> str | None:
     """The id under which an announced run may start now: itself, or with the number of the attempt; None once one succeeded."""
     attempt, name = 1, run_id
-    while known_run(spark, path, name) or _marked(spark, path, name):
-        ended = spark.read.schema(EVENT_COLUMNS).parquet(path).filter("kind = 'complete' AND status = 'success'") if _there(spark, path) else None
+    while known_run(spark, path, name) or exists(spark, _start_marker(path, name)):
+        ended = spark.read.schema(EVENT_COLUMNS).parquet(path).filter("kind = 'complete' AND status = 'success'") if exists(spark, path) else None
         if ended is not None and not ended.filter(F.col("run_id") == name).isEmpty():
             return None
         attempt += 1

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siteconcord.operators.runlog import EVENT_COLUMNS
 from siteconcord.params import MatchParams
-from siteconcord.plans.job import attempt_of, run_reconciliation
+from siteconcord.plans.job import attempt_of, exists, put_if_absent, run_reconciliation
 
 SNAPSHOT_COLUMNS = "run_id string, assets_path string, elements_path string, format string"
 
@@ -18,21 +20,25 @@ def reconcile_incremental(
     """Reconcile every snapshot announced in `arrivals`, then stop; call it from a timer or keep it running.
 
     Each JSON line of a file there names a run and the paths of its two snapshots. Files are taken one per batch and
-    remembered in `checkpoint`. A batch that failed half-way is tried again: runs that succeeded are passed over, others
-    start anew as `<run_id>.2` and so on, so no counter or issue is stored twice under one id.
+    remembered in `checkpoint`. A ledger under `out` names, per batch, the announced runs whose outputs are whole; a batch that is
+    tried again passes over these without a look at the events. Others start anew as `<run_id>.2` and so on, so no
+    counter or issue is stored twice under one id; one that succeeded but was not entered is entered then.
     """
     announced = spark.readStream.schema(SNAPSHOT_COLUMNS).option("maxFilesPerTrigger", 1).json(arrivals)
 
-    def run_batch(batch: DataFrame, _: int) -> None:
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
         # One announcement file: a handful of rows of paths.
         for row in batch.collect():
-            run_id = attempt_of(spark, f"{out}/run_events", row["run_id"])
-            if run_id is None:
+            entry = f"{out}/ledger/{batch_id}/{quote(row['run_id'], safe='')}"
+            if exists(spark, entry):
                 continue
-            reader = spark.read.format(row["format"] or "parquet")
-            run_reconciliation(
-                spark, reader.load(row["assets_path"]), reader.load(row["elements_path"]), out, run_id, mode=mode, p=p
-            )
+            run_id = attempt_of(spark, f"{out}/run_events", row["run_id"])
+            if run_id is not None:
+                reader = spark.read.format(row["format"] or "parquet")
+                run_reconciliation(
+                    spark, reader.load(row["assets_path"]), reader.load(row["elements_path"]), out, run_id, mode=mode, p=p
+                )
+            put_if_absent(spark, entry)
 
     writer = announced.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
