@@ -3,7 +3,9 @@
 import glob
 import json
 import xml.etree.ElementTree as ET
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,10 +13,12 @@ from pyspark.sql import functions as F
 from siteconcord.catalog import fixtures
 from siteconcord.functions.geo import haversine_m, mercator_cell
 from siteconcord.operators.claim import greedy_claim
-from siteconcord.operators.runlog import run_state
+from siteconcord.operators.runlog import EVENT_COLUMNS, run_state
 from siteconcord.operators.validate import RunAborted
 from siteconcord.params import MatchParams
-from siteconcord.plans.job import append_event, attempt_of, run_reconciliation
+from siteconcord.plans import maintenance
+from siteconcord.plans.job import append_event, attempt_of, claim_start, run_reconciliation
+from siteconcord.streaming.jobs import reconcile_incremental
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -116,3 +120,81 @@ def test_more_copies_than_eight_keep_the_order_of_ties(spark):
 
 def haversine_south(spark):
     return spark.range(1).selectExpr(f"{haversine_m('60D', '10D', '59.9995D', '10D')} AS d").first()["d"]
+
+
+# --- starts, ledger, upkeep ---------------------------------------------------------------------------------------------
+
+
+def test_of_two_starters_one_goes_on(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda _: claim_start(spark, f"{tmp_path}/run_events", "run/1 ä"), range(32)))
+    assert sum(won) == 1
+    assert attempt_of(spark, f"{tmp_path}/run_events", "run/1 ä") == "run/1 ä.2"
+
+
+def test_claimed_run_is_refused(spark, inputs, tmp_path):
+    assert claim_start(spark, f"{tmp_path}/run_events", "r1")
+    with pytest.raises(ValueError):
+        run_reconciliation(spark, *inputs, str(tmp_path), "r1")
+    assert not (tmp_path / "run_events").exists()
+
+
+def test_ledger_decides_on_a_replay(spark, inputs, tmp_path):
+    assets, elements = inputs
+    assets.write.parquet(f"{tmp_path}/assets")
+    elements.write.parquet(f"{tmp_path}/elements")
+    row = ("r1", f"{tmp_path}/assets", f"{tmp_path}/elements", "parquet")
+    announced = spark.createDataFrame([row], "run_id string, assets_path string, elements_path string, format string")
+    announced.coalesce(1).write.json(f"{tmp_path}/arrivals")
+    again = lambda state: reconcile_incremental(spark, f"{tmp_path}/arrivals", f"{tmp_path}/out", f"{tmp_path}/{state}").awaitTermination()
+    again("state")
+    assert (tmp_path / "out/ledger/0/r1").exists()
+    events = spark.read.parquet(f"{tmp_path}/out/run_events").count()
+    # The same batch once more, as after the loss of the stream's own state.
+    again("state-2")
+    assert spark.read.parquet(f"{tmp_path}/out/run_events").count() == events
+    # A batch that was not entered, but whose run succeeded, is entered and not run again.
+    (tmp_path / "out/ledger/0/r1").unlink()
+    again("state-3")
+    assert (tmp_path / "out/ledger/0/r1").exists()
+    assert spark.read.parquet(f"{tmp_path}/out/run_events").count() == events
+
+
+def log_rows(path, column):
+    return sorted(p.name for p in path.iterdir() if p.name.startswith(f"{column}="))
+
+
+def test_upkeep_by_days(spark, tmp_path):
+    """One run over two days around the limit, one long gone, one that hangs, one that still runs."""
+    events, issues = f"{tmp_path}/events", f"{tmp_path}/issues"
+    day = lambda text: datetime.fromisoformat(text)
+    runs = {
+        "gone": (day("2024-01-01 10:00:00"), day("2024-01-01 11:00:00")),
+        "gone-late": (day("2024-01-02 23:00:00"), day("2024-01-03 05:00:00")),
+        "kept": (day("2024-01-02 23:30:00"), day("2024-01-03 07:00:00")),
+        "hangs": (day("2024-01-05 00:00:00"), None),
+        "runs": (day("2024-02-02 05:00:00"), None),
+    }
+    for run_id, (start, end) in runs.items():
+        append_event(spark, events, run_id, "start", mode="live", at=start)
+        if end:
+            append_event(spark, events, run_id, "complete", status="success", at=end)
+    rows = [(f"{r}-{k}", r, t) for r, (start, end) in runs.items() for k, t in enumerate((start, end or start))]
+    columns = "id string, run_id string, created_at timestamp_ntz"
+    maintenance.store(spark.createDataFrame(rows, columns), issues, maintenance.ISSUE_PERIOD, "created_at")
+
+    def state():
+        left = run_state(maintenance.stored(spark, events, EVENT_COLUMNS, maintenance.EVENT_PERIOD)).collect()
+        held = maintenance.stored(spark, issues, columns, maintenance.ISSUE_PERIOD).collect()
+        return {r["id"]: (r["status"], r["started_at"]) for r in left}, sorted(r["id"] for r in held)
+
+    expected = (
+        {"kept": ("success", runs["kept"][0]), "hangs": ("failed", runs["hangs"][0]), "runs": ("running", runs["runs"][0])},
+        ["hangs-0", "hangs-1", "kept-0", "kept-1", "runs-0", "runs-1"],
+    )
+    for _ in range(2):
+        maintenance.maintain(spark, events, issues, columns, "TIMESTAMP_NTZ'2024-02-02 06:00:00'")
+        assert state() == expected
+    assert log_rows(tmp_path / "issues", "created_on") == [f"created_on=2024-0{d}" for d in ("1-02", "1-03", "1-05", "2-02")]
+    maintenance.maintain(spark, events, issues, columns, "TIMESTAMP_NTZ'2024-03-20 06:00:00'")
+    assert state() == ({"runs": ("failed", runs["runs"][0])}, ["runs-0", "runs-1"])

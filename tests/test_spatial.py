@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from siteconcord.functions.geo import haversine_m
 from siteconcord.operators import skew
 from siteconcord.operators.claim import greedy_claim
+from siteconcord.operators.components import connected
 from siteconcord.operators.ordinals import dense_ordinals
 from siteconcord.operators.spatial import nearest_within
 
@@ -133,6 +134,31 @@ def test_claims_in_a_crowded_position(spark, refuser, dense_cell):
     check_claims(spark, assets, nodes, copies=3, dense_cell=dense_cell)
 
 
+@pytest.mark.parametrize("fold_edges, refuser", [(200_000, None), (200_000, 17), (0, None)])
+def test_claims_along_a_chain(spark, fold_edges, refuser):
+    """Each asset prefers the node of the one before it, so refusals run down the street."""
+    assets = [(i, 60.0, 10.0 + (i - (0.6 if i else 0)) * 0.0018) for i in range(24)]
+    nodes = [(i, 60.0, 10.0 + i * 0.0018, i == refuser) for i in range(24)]
+    check_claims(spark, assets, nodes, fold_edges=fold_edges)
+
+
+def test_claims_in_a_crowd_of_one_cell(spark):
+    rng = random.Random(5)
+    assets = [(i, 60 + rng.random() * 0.0005, 10 + rng.random() * 0.001) for i in range(40)]
+    nodes = with_opt_outs(rng, [(i, 60 + rng.random() * 0.0005, 10 + rng.random() * 0.001) for i in range(300)], 0.02)
+    check_claims(spark, assets, nodes)
+    check_claims(spark, assets, nodes[:30])
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, 3), (3, 900), (50, 50), (1, 2), (2, 1)]
+    found = connected(spark.createDataFrame(edges, "u long, v long")).collect()
+    comps = {r["node"]: r["comp"] for r in found}
+    assert len(found) == len(comps)
+    assert comps == {**{i: 100 for i in range(100, 161)}, 7: 3, 3: 3, 900: 3, 1: 1, 2: 1}
+    assert connected(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
 def test_dense_ordinals(spark):
     rng = random.Random(1)
     rows = [(rng.choice("abbbbb"), i) for i in rng.sample(range(1000), 300)]
