@@ -7,11 +7,12 @@ each stands on at least T of the other's inverted lists. The search follows Divi
 * Equal sets are one class, represented by its smallest id; only classes are searched.
 * Of a set of n shingles any partner holds percent * n / 100, so it must meet one of any n - ceil(percent * n / 100) + 1 lists.
   Lists are taken in the order of the shingles' hashes; each document merges only its first ones, its head (with some to spare).
-  The merge is the shuffle that brings together a list's documents and counts, per pair, the lists it occurs on.
+  The merge is the shuffle that brings together a list's documents; a pair need not be counted on every list, since one list both
+  merge early enough makes it a candidate.
 * Long lists (more than `LONG` partners a document, counting documents of other components) are set aside: a document takes the next short lists instead, its head being
   recomputed from its text if the spare ones do not suffice. Only a document that has no short lists left merges long ones.
-* A pair that occurs on c merged lists can reach c plus the lists not merged. Pairs that can still reach T are probed: the
-  rest of one sorted set is looked up in the other by binary search.
+* A pair can reach what its heads have in common plus what lies behind them. Pairs that can still reach T are probed: the members
+  of one sorted set are looked up in the other by binary search.
 
 Copies with small edits would make lists long and pairs many. So each list first links its documents to one of them,
 several times with different choices, and verified links become components; after that only pairs of different components
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteconcord.llm.batches import as_bytes, chunks
+from siteconcord.llm.batches import as_bytes, byte_batches, chunks
 from siteconcord.llm.common import small
 from siteconcord.session import discard, materialized
 
@@ -47,6 +48,8 @@ PERCENT = 85
 LONG = 8
 # Choices of the document a merged list's others are linked to before pairs are searched.
 STARS = 2
+# Bytes of text whose words a worker holds at once: each word is an object of its own until it is hashed.
+_CHUNK = 1 << 20
 
 
 # --- sets -------------------------------------------------------------------------------------------------------------
@@ -99,7 +102,7 @@ def _sets(rows: DataFrame, k: int, percent: int) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", _CHUNK):
                 sets = shingle_sets(as_bytes(part.column("text")), k)
                 wanted = part.column("wanted").to_pylist() if given else [must_merge(len(s), percent) + 8 + len(s) // 50 for s in sets]
                 heads = [s[:w] for s, w in zip(sets, wanted)]
@@ -176,7 +179,8 @@ class _Search:
         self.spark = docs.sparkSession
         self.near = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
         self.enough = f"{100 + percent} * {{}} >= {percent} * (na + nb)"
-        heads = materialized(_sets(docs, k, percent), "heads")
+        with byte_batches(self.spark):
+            heads = materialized(_sets(docs, k, percent), "heads")
         self.sizes = materialized(heads.select("doc_id", "n", "digest"), "sizes")
         classes = heads.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest")
         found = classes.agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("head").alias("head"))
@@ -257,7 +261,7 @@ class _Search:
         """The pairs that link, by binary probes of their whole sets."""
         ids = pairs.selectExpr("a AS doc_id").unionByName(pairs.selectExpr("b AS doc_id")).distinct()
         ids = materialized(ids.withColumn("wanted", F.lit(1 << 40)), "ids")
-        with _short_batches(self.spark, 256):
+        with _short_batches(self.spark, 256), byte_batches(self.spark):
             texts = self.docs.join(small(ids), "doc_id").select("doc_id", "text", "wanted")
             whole = _sets(texts, self.k, self.percent).dropDuplicates(["doc_id", "digest"])
             whole = materialized(whole.select("doc_id", F.col("head").alias("members")), "sets")
@@ -303,7 +307,8 @@ class _Search:
     def _lengthened(self, lists: DataFrame, wanted: DataFrame) -> DataFrame:
         """The lists after the heads of `wanted` (id, own, wanted) have been made longer; only lists they newly touch are made again."""
         texts = self.docs.join(small(wanted), F.expr("doc_id = id")).select("doc_id", "text", F.col("wanted").cast("long"))
-        longer = materialized(_sets(texts, self.k, self.percent), "heads")
+        with byte_batches(self.spark):
+            longer = materialized(_sets(texts, self.k, self.percent), "heads")
         mine = longer.join(small(wanted.select("id", "own")), F.expr("doc_id = id AND digest = own"))
         mine = mine.select("own", F.col("head").alias("longer")).dropDuplicates(["own"])
         before = self.classes
