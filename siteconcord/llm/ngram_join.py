@@ -6,17 +6,17 @@ each stands on at least T of the other's inverted lists. The search follows Divi
 
 * Equal sets are one class, represented by its smallest id; only classes are searched.
 * Of a set of n shingles any partner holds percent * n / 100, so it must meet one of any n - ceil(percent * n / 100) + 1 lists.
-  Lists are taken in the order of the shingles' hashes; each document merges only its first ones, its head (with some to spare).
-  The merge is the shuffle that brings together a list's documents; a pair need not be counted on every list, since one list both
-  merge early enough makes it a candidate.
+  Lists are taken in the order of the shingles' hashes; each document merges only those first ones and a few more, its head.
+  The merge is the shuffle that brings together a list's documents, and a count per pair of the lists both merge.
 * Long lists (more than `LONG` partners a document, counting documents of other components) are set aside: a document takes the next short lists instead, its head being
-  recomputed from its text if the spare ones do not suffice. Only a document that has no short lists left merges long ones.
-* A pair can reach what its heads have in common plus what lies behind them. Pairs that can still reach T are probed: the members
-  of one sorted set are looked up in the other by binary search.
+  recomputed from its text if those do not suffice. Only a document that has no short lists left merges long ones.
+* A pair met on c lists holds at most c plus what either set has beyond its merged lists, or beyond the last list both met on. Pairs that
+  can still reach T are probed: long lists and all else not merged, by binary search of one sorted set's members in the other.
+  The likeliest pairs of any two components go first, the others follow if those two are still apart.
 
 Copies with small edits would make lists long and pairs many. So each list first links its documents to one of them,
 several times with different choices, and verified links become components; after that only pairs of different components
-are looked at. No link between components is lost, and no group is expanded into all its pairs.
+are made: a list's rows outside its largest component meet the others. No link between components is lost, and no group is expanded into all its pairs.
 
 Components are found by alternating large and small stars on the links, in tables in the shared folder.
 
@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from siteconcord.llm.batches import as_bytes, byte_batches, chunks
 from siteconcord.llm.common import small
+from siteconcord.operators.skew import fanned_join
 from siteconcord.session import discard, materialized
 
 SHINGLE = 4
@@ -48,6 +49,8 @@ PERCENT = 85
 LONG = 8
 # Choices of the document a merged list's others are linked to before pairs are searched.
 STARS = 2
+# Pairs of any two components that are probed before the others of the two.
+FIRST = 16
 # Bytes of text whose words a worker holds at once: each word is an object of its own until it is hashed.
 _CHUNK = 1 << 20
 
@@ -325,7 +328,7 @@ class _Search:
         return now
 
     def merged(self, lists: DataFrame, long: DataFrame) -> DataFrame:
-        """(h, id, n, place): the lists each set merges, with their place in the order of merging: short lists first."""
+        """(h, id, n, m, place): the m lists each set merges, with their place in the order of merging: short lists first."""
         aside = lists.join(small(long.withColumn("aside", F.lit(True))), "h", "left")
         per_set = "PARTITION BY id ORDER BY at"
         marked = aside.withColumn("before", F.expr(f"count(aside) OVER ({per_set} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"))
@@ -333,17 +336,47 @@ class _Search:
         facts = marked.groupBy("id").agg(F.count("aside").alias("k")).join(self.classes.selectExpr("id", "size(head) AS f", "p"), "id")
         placed = marked.join(facts, "id").filter("aside IS NULL OR before < p - f + k")
         placed = placed.withColumn("place", F.expr("if(aside, f - k + before, at - before)"))
-        return materialized(placed.select("h", "id", "n", "place"), "merged")
+        return materialized(placed.selectExpr("h", "id", "n", "greatest(f - k, p) AS m", "place"), "merged")
 
     def occurrences(self, merged: DataFrame) -> DataFrame:
-        """Pairs of different components that meet early enough on a merged list, and can reach T by their heads."""
+        """Pairs of different components whose count of common merged lists, plus what may lie beyond, reaches T.
+
+        A list's rows outside its largest component meet its other rows, so a component's rows are not paired among themselves.
+        """
         rows = self._labelled(merged)
-        mixed = rows.groupBy("h").agg(F.expr("min(comp) <> max(comp) AS mixed")).filter("mixed").select("h")
-        rows = materialized(rows.join(mixed, "h"), "mixed")
-        left = rows.withColumnsRenamed({"id": "a", "comp": "ca", "n": "na", "place": "ia"})
-        right = rows.withColumnsRenamed({"id": "b", "comp": "cb", "n": "nb", "place": "ib"})
-        pairs = left.join(right, "h").filter(f"a < b AND ca <> cb AND {self.near} AND {self.early}").select("a", "b").distinct()
-        return self._can_reach(self._measured(pairs))
+        sizes = rows.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
+        tops = sizes.groupBy("h").agg(F.expr("max(struct(c, comp)).comp AS most"), F.expr("min(comp) <> max(comp) AS mixed"))
+        rows = materialized(rows.join(tops.filter("mixed"), "h").withColumn("of_most", F.expr("comp = most")).drop("most", "mixed"), "mixed")
+        of = "struct(id, n, m, place, comp, of_most)"
+        met = fanned_join(rows.selectExpr("h", f"{of} AS x"), rows.filter("NOT of_most").selectExpr("h", f"{of} AS y"), "h")
+        met = met.filter("x.comp <> y.comp AND (x.of_most OR x.id < y.id)").selectExpr("if(x.id < y.id, x, y) AS x", "if(x.id < y.id, y, x) AS y")
+        met = met.selectExpr("x.id AS a", "y.id AS b", "x.n AS na", "y.n AS nb", "x.m AS ma", "y.m AS mb", "x.place AS ia", "y.place AS ib", "x.comp AS ca", "y.comp AS cb")
+        # Before a common list there are at most as many common ones as its lesser place, behind it the lesser rest.
+        met = met.filter(f"{self.near} AND {self.enough.format('(least(ia, ib) + least(na - ia, nb - ib))')}")
+        places = ("count(*) AS c", "min(ia) AS ia", "min(ib) AS ib", "max(ia) AS la", "max(ib) AS lb")
+        counted = met.groupBy("a", "b", "na", "nb", "ma", "mb", "ca", "cb").agg(*[F.expr(e) for e in places])
+        most = "c + least(na - 1 - la, nb - 1 - lb, greatest(na - ma, nb - mb))"
+        counted = counted.filter(self.early).withColumn("most", F.expr(most)).filter(self.enough.format("most"))
+        return counted.selectExpr("a", "b", "na", "nb", "least(ca, cb) AS ca", "greatest(ca, cb) AS cb", "most / (na + nb) AS likely")
+
+    def settle(self, pairs: DataFrame) -> None:
+        """Probe pairs of different components, the likeliest `FIRST` of any two components before all others.
+
+        Where a group of edited copies is one component, those left outside have candidates all over it; once one of them links, the
+        others join nothing new and are not probed.
+        """
+        order = "row_number() OVER (PARTITION BY ca, cb ORDER BY likely DESC, a, b) AS turn"
+        pairs = materialized(pairs.selectExpr("a", "b", "na", "nb", "ca", "cb", order), "counted")
+        self.add(pairs.filter(f"turn <= {FIRST}").select("a", "b", "na", "nb"))
+        rest = pairs.filter(f"turn > {FIRST}")
+        apart = rest.select("ca", "cb").distinct()
+        if self.comps is not None:
+            for x in ("ca", "cb"):
+                apart = apart.join(small(self.comps.selectExpr(f"id AS {x}", f"comp AS now_{x}")), x, "left")
+            apart = apart.filter("coalesce(now_ca, ca) <> coalesce(now_cb, cb)").select("ca", "cb")
+        apart = materialized(apart, "apart")
+        self.add(rest.join(small(apart), ["ca", "cb"], "left_semi").select("a", "b", "na", "nb"))
+        discard(pairs, apart)
 
     def run(self) -> None:
         lists = self.shared()
@@ -355,7 +388,7 @@ class _Search:
         discard(lists, long)
         for salt in range(STARS):
             self.add(self.early_star(merged, salt))
-        self.add(self.occurrences(merged))
+        self.settle(self.occurrences(merged))
 
 
 def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, long: int = LONG) -> DataFrame:
