@@ -12,8 +12,8 @@ templates can ever match, so only these are counted (a table bounded by the temp
 * length filter: a document with fewer template words than the overlap asked for is dropped;
 * prefix filter: a template of n words that needs c of them must share one of its n - c + 1 rarest words with the document,
   so only those are in the index the documents' words are joined with (broadcast; its size is that of the templates);
-  runs are only looked for within reach of one of them;
-* positional filter: what is left behind the first shared word on either side must still suffice;
+* positional filter: what is left behind the first shared word on either side must still suffice; a run is only looked at
+  where as many occurrences as words are asked for lie within its reach;
 * the survivors are counted exactly.
 
 Beside this the phrases of `PHRASES` are located as consecutive words. Everything is built-in functions.
@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from siteconcord.llm.common import alnum_words, let
 
 THRESHOLD = 0.8
+# Closed places of one text that are kept in a list of their own.
+_FEW = 256
 
 # Fixed values of the query contract: phrase and label.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -84,7 +86,7 @@ def word_frequencies(docs: DataFrame, vocabulary: Sequence[str]) -> dict[str, in
     return {**dict.fromkeys(vocabulary, 0), **{r["word"]: r["count"] for r in counted.collect()}}
 
 
-def _runs(occurrences: Column, span: Column) -> Column:
+def _runs(occurrences: Column, needed: Column, span: Column) -> Column:
     """The runs that meet the template: places (block, overlap) from the left; `occurrences` are (pos, block, word) in order."""
 
     def run(x: Column, i: Column) -> Column:
@@ -97,19 +99,31 @@ def _runs(occurrences: Column, span: Column) -> Column:
             last = r[F.array_position(words, F.element_at(distinct, -1)).cast("int") - 1]["pos"]
             return F.struct(x["pos"].alias("pos"), last.alias("last"), x["block"].alias("block"), F.size(distinct).alias("overlap"))
 
-        return let(reached, described)
+        # Fewer occurrences than words asked for, repeated ones included, need no look.
+        return F.when(F.get(occurrences, i + needed - 1)["pos"] < x["pos"] + span, let(reached, described))
 
-    def taken(places: Column, x: Column) -> Column:
-        last = F.get(places, F.size(places) - 1)
+    # Closed places go to a short list and full lists to a list of lists, so that closing one copies few of the others.
+    one = "struct<last:int,block:int,overlap:int>"
+    none = F.array().cast(f"array<{one}>")
+    start = F.struct(F.lit(None).cast(one).alias("open"), none.alias("few"), F.array().cast(f"array<array<{one}>>").alias("full"))
+
+    def shut(state: Column) -> Column:
+        return F.when(state["open"].isNull(), none).otherwise(F.array(state["open"]))
+
+    def taken(state: Column, x: Column) -> Column:
+        last = state["open"]
+        begins = F.coalesce(last["last"] < x["pos"], F.lit(True))
         # A later run inside a place may hold more of the template's words.
-        same = ("pos", "last", "block")
-        better = F.struct(*[last[c].alias(c) for c in same], F.greatest(last["overlap"], x["overlap"]).alias("overlap"))
-        before = F.slice(places, 1, F.greatest(F.size(places) - 1, F.lit(0)))
-        return F.when(F.coalesce(last["last"] < x["pos"], F.lit(True)), F.concat(places, F.array(x))).otherwise(F.concat(before, F.array(better)))
+        better = F.struct(last["last"].alias("last"), last["block"].alias("block"), F.greatest(last["overlap"], x["overlap"]).alias("overlap"))
+        place = F.when(begins, F.struct(x["last"].alias("last"), x["block"].alias("block"), x["overlap"].alias("overlap"))).otherwise(better)
+        many = F.size(state["few"]) >= _FEW
+        few = F.when(~begins, state["few"]).when(many, shut(state)).otherwise(F.concat(state["few"], shut(state)))
+        full = F.when(begins & many, F.concat(state["full"], F.array(state["few"]))).otherwise(state["full"])
+        return F.struct(place.alias("open"), few.alias("few"), full.alias("full"))
 
-    none = F.array().cast("array<struct<pos:int,last:int,block:int,overlap:int>>")
-    met = F.filter(F.transform(occurrences, run), lambda x: x["overlap"] >= F.col("needed"))
-    return F.transform(F.aggregate(met, none, taken), lambda x: F.struct(x["block"].alias("block"), x["overlap"].alias("overlap")))
+    met = F.filter(F.transform(occurrences, run), lambda x: x["overlap"] >= needed)
+    places = F.aggregate(met, start, taken, lambda state: F.concat(F.flatten(state["full"]), state["few"], shut(state)))
+    return F.transform(places, lambda x: F.struct(x["block"].alias("block"), x["overlap"].alias("overlap")))
 
 
 def matching_blocks(
@@ -147,7 +161,7 @@ def matching_blocks(
         "AND array_intersect(held, rare)[0] = word"
     )
     cut = F.transform(F.split("text", "\n"), lambda line: alnum_words(line))
-    lines = near.select("doc_id", "template", "label", "size", "needed", "span", "rare", "members", cut.alias("lines"))
+    lines = near.select("doc_id", "template", "label", "size", "needed", "span", "members", cut.alias("lines"))
     lines = lines.withColumn("overlaps", F.transform("lines", lambda ws: F.size(F.array_intersect(F.col("members"), ws))))
     alone = F.filter(
         F.transform("overlaps", lambda n, i: F.struct(i.alias("block"), n.alias("overlap"))), lambda x: x["overlap"] >= F.col("needed")
@@ -163,14 +177,10 @@ def matching_blocks(
         lambda x, pos: F.struct(pos.alias("pos"), x["block"].alias("block"), x["word"].alias("word")),
     )
     lines = lines.select(
-        "doc_id", "template", "label", "size", "needed", "span", "rare", alone.alias("alone"),
+        "doc_id", "template", "label", "size", "needed", "span", alone.alias("alone"),
         F.filter(placed, lambda x: F.array_contains(F.col("members"), x["word"])).alias("occurrences"),
     )
-    seldom = F.transform(F.filter("occurrences", lambda x: F.array_contains(F.col("rare"), x["word"])), lambda x: x["pos"])
-    lines = lines.withColumn("seldom", seldom)
-    reachable = F.filter("occurrences", lambda x: F.exists("seldom", lambda r: F.abs(r - x["pos"]) < F.col("span")))
-    lines = lines.withColumn("occurrences", reachable)
-    blocks = lines.select("doc_id", "template", "label", "size", F.explode(F.concat("alone", _runs(F.col("occurrences"), F.col("span")))).alias("b"))
+    blocks = lines.select("doc_id", "template", "label", "size", F.explode(F.concat("alone", _runs(F.col("occurrences"), F.col("needed"), F.col("span")))).alias("b"))
     return blocks.selectExpr("doc_id", "b.block", "template", "label", "b.overlap", "b.overlap / size AS containment")
 
 

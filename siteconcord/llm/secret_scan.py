@@ -45,12 +45,12 @@ BASE_RULES: tuple[Rule, ...] = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
 )
-# Published formats of keys.
+# Published formats of keys. One that opens with an unbounded run starts where that run does: a long run is read once, not from each of its places.
 MORE_RULES: tuple[Rule, ...] = (
     Rule("pem", r"-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE_RULES + MORE_RULES
 

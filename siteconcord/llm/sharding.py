@@ -106,12 +106,16 @@ def shards(docs: DataFrame, count: int = SHARDS, tolerance: float = TOLERANCE) -
 
 
 def write_shards(docs: DataFrame, folder: str, count: int = SHARDS, tolerance: float = TOLERANCE) -> None:
-    """The documents themselves, with all their columns, as one folder per shard: texts move once."""
-    stable = materialized(docs.withColumn("_uid", F.monotonically_increasing_id()), "documents")
-    uid_key = sort_key().alias("_key")
-    keyed = stable.select("*", *[F.col("_uid").alias("uid")]).withColumn("_key", uid_key).drop("uid")
-    text = F.coalesce("text", F.lit(""))
-    sizes = keyed.select(F.col("_key").alias("key"), (F.octet_length(text).cast("long") + ROW_BYTES).alias("size"))
-    cuts = splitters(sizes, count, tolerance)
-    placed = keyed.withColumn("shard", shard_of(F.col("_key"), cuts).cast("int"))
-    placed.repartitionByRange("shard", "_key").drop("_uid", "_key").write.partitionBy("shard").parquet(folder)
+    """The documents themselves, with all their columns, as one folder per shard: texts move once.
+
+    The folders are named by `shard`, or `shard_of` and so on if a column of `docs` has that name.
+    """
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text", F.monotonically_increasing_id().alias("uid"))
+    keyed = materialized(rows.select("row", sort_key().alias("key")), "documents")
+    text = F.coalesce("row.text", F.lit(""))
+    cuts = splitters(keyed.select("key", (F.octet_length(text).cast("long") + ROW_BYTES).alias("size")), count, tolerance)
+    by = "shard"
+    while by in {c.lower() for c in docs.columns}:
+        by += "_of"
+    placed = keyed.withColumn("in_shard", shard_of(F.col("key"), cuts).cast("int")).repartitionByRange("in_shard", "key")
+    placed.select("row.*", F.col("in_shard").alias(by)).write.partitionBy(by).parquet(folder)
