@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteconcord.functions.geo import haversine_m
-from siteconcord.operators import skew
+from siteconcord.operators import claim, skew
 from siteconcord.operators.claim import greedy_claim
 from siteconcord.operators.components import connected
 from siteconcord.operators.ordinals import dense_ordinals
@@ -177,3 +177,21 @@ def test_no_nested_loop_join(spark):
     plan = nearest_within(a, b, RADIUS, left_id="a", right_id="b")._jdf.queryExecution().toString()
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "ArrowEvalPython", "BatchEvalPython"):
         assert bad not in plan
+
+
+def test_small_components_settle_from_points(spark, monkeypatch):
+    """Crowds, also with opt-outs, write no edge and need no round; a crowd of more pairs than the bound goes on in rounds."""
+    rng = random.Random(5)
+    crowds = [(60 + g * 0.1, 10.0) for g in range(3)]
+    assets = [(40 * g + k, lat + rng.random() * 5e-4, lon + rng.random() * 1e-3) for g, (lat, lon) in enumerate(crowds) for k in range(40)]
+    nodes = [(40 * g + k, lat + rng.random() * 5e-4, lon + rng.random() * 1e-3, rng.random() < 0.05) for g, (lat, lon) in enumerate(crowds) for k in range(40)]
+    check_claims(spark, assets, nodes, fold_edges=100)
+    monkeypatch.setattr(claim, "_in_rounds", None)
+    check_claims(spark, assets, nodes)
+
+
+def test_repeated_ordinals_keep_to_the_rounds(spark):
+    a = spark.createDataFrame([(1, 60.0, 10.0), (1, 60.5, 10.0), (2, 60.0, 10.0)], "asset_ord long, lat double, lon double")
+    n = spark.createDataFrame([(7, 60.0, 10.001, False), (8, 60.5, 10.0, False)], "elem_ord long, lat double, lon double, opted_out boolean")
+    found = {(r["asset_ord"], r["elem_ord"]) for r in greedy_claim(a, n, RADIUS).collect()}
+    assert found == {(1, 8), (2, 7)}
