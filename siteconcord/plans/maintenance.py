@@ -47,11 +47,14 @@ def _drop(spark: SparkSession, path: str, column: str, gone: list[str]) -> None:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def _retain(spark: SparkSession, path: str, columns: str, column: str, staying: DataFrame, last: str) -> None:
-    """Leave only rows of the runs of `staying` (run_id, period) in the periods up to `last`; later ones are not touched."""
+def _retain(spark: SparkSession, path: str, columns: str, column: str, staying: DataFrame, last: str, unit: str) -> None:
+    """Leave only rows of the runs of `staying` (run_id, since, until) in the periods up to `last`; later ones are not touched."""
     old = [p for p in periods(spark, path, column) if p <= last]
+    # A run that hung for years spans hundreds of periods, so the spans are made distinct before they are written out as periods.
+    spans = staying.select("since", "until").distinct().selectExpr(f"explode(sequence(since, until, INTERVAL 1 {unit})) AS at")
+    spanned = spans.selectExpr(f"{_period('at', unit)} AS period").distinct()
     # At most one row per period of the log.
-    spanned = {r[0] for r in staying.filter(F.col("period") <= last).select("period").distinct().collect()}
+    spanned = {r[0] for r in spanned.filter(F.col("period") <= last).collect()}
     shared = [p for p in old if p in spanned]
     _drop(spark, path, column, [p for p in old if p not in spanned])
     if not shared:
@@ -85,10 +88,9 @@ def maintain(
         failed = hanging.selectExpr(*[f"CAST({known.get(c, 'NULL')} AS {kind}) AS {c}" for c, kind in fields])
         store(failed, events, EVENT_PERIOD, "at", unit)
     ended = mark_stuck(runs, now, stuck_after).filter(f"NOT {expired(now, keep)}")
-    step = f"sequence(date_trunc('{unit}', started_at), date_trunc('{unit}', coalesce(finished_at, {now})), INTERVAL 1 {unit})"
-    staying = ended.selectExpr("id AS run_id", f"explode({step}) AS at").selectExpr("run_id", f"{_period('at', unit)} AS period")
-    staying = materialized(staying, "staying")
+    ends = f"date_trunc('{unit}', coalesce(finished_at, {now})) AS until"
+    staying = materialized(ended.selectExpr("id AS run_id", f"date_trunc('{unit}', started_at) AS since", ends), "staying")
     last = spark.sql(f"SELECT {_period(f'{now} - INTERVAL {keep}', unit)}").first()[0]
-    _retain(spark, events, EVENT_COLUMNS, EVENT_PERIOD, staying, last)
-    _retain(spark, issues, issue_columns, ISSUE_PERIOD, staying, last)
+    _retain(spark, events, EVENT_COLUMNS, EVENT_PERIOD, staying, last, unit)
+    _retain(spark, issues, issue_columns, ISSUE_PERIOD, staying, last, unit)
     discard(runs, staying)

@@ -18,6 +18,8 @@ from siteconcord.operators.validate import RunAborted
 from siteconcord.params import MatchParams
 from siteconcord.plans import maintenance
 from siteconcord.plans.job import append_event, attempt_of, claim_start, run_reconciliation
+from siteconcord.plans.reconcile import reconcile
+from siteconcord.session import materialized
 from siteconcord.streaming.jobs import reconcile_incremental
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -198,3 +200,29 @@ def test_upkeep_by_days(spark, tmp_path):
     assert log_rows(tmp_path / "issues", "created_on") == [f"created_on=2024-0{d}" for d in ("1-02", "1-03", "1-05", "2-02")]
     maintenance.maintain(spark, events, issues, columns, "TIMESTAMP_NTZ'2024-03-20 06:00:00'")
     assert state() == ({"runs": ("failed", runs["runs"][0])}, ["runs-0", "runs-1"])
+
+
+def test_inputs_of_one_split_are_worked_on_by_many_tasks(spark):
+    """A registry and an extract of few bytes come in one split; the validated tables are made by several tasks."""
+    assets, elements = fixtures.assets(spark, SF_DIR).coalesce(1), fixtures.elements(spark, SF_DIR).coalesce(1)
+    result = reconcile(assets, elements)
+    assert len(result.nodes.inputFiles()) > 1 and len(result.assets.inputFiles()) > 1
+
+
+def test_upkeep_writes_one_row_per_run_that_stays(spark, tmp_path, monkeypatch):
+    """A run that hung for years spans many periods; what is written is its span, not a row for each."""
+    events, issues = str(tmp_path / "events"), str(tmp_path / "issues")
+    append_event(spark, events, "old", "start", mode="live", at=datetime(1995, 3, 1))
+    append_event(spark, events, "gone", "start", mode="live", at=datetime(1999, 3, 1))
+    append_event(spark, events, "gone", "complete", status="success", at=datetime(1999, 3, 2))
+    written = {}
+
+    def counted(df, label="step", heavy=False):
+        written[label] = df.count()
+        return materialized(df, label, heavy)
+
+    monkeypatch.setattr(maintenance, "materialized", counted)
+    maintenance.maintain(spark, events, issues, "run_id string", "TIMESTAMP_NTZ'2024-01-07 06:00:00'")
+    assert written["staying"] == 1
+    left = maintenance.stored(spark, events, EVENT_COLUMNS, maintenance.EVENT_PERIOD)
+    assert sorted((r["run_id"], r["kind"]) for r in left.collect()) == [("old", "complete"), ("old", "start")]
