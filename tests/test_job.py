@@ -11,10 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteconcord.catalog import fixtures
+from siteconcord.catalog.book import PARAMS, Inputs
 from siteconcord.functions.geo import haversine_m, mercator_cell
 from siteconcord.operators.claim import greedy_claim
 from siteconcord.operators.runlog import EVENT_COLUMNS, run_state
-from siteconcord.operators.validate import RunAborted
+from siteconcord.operators.validate import RunAborted, validate_registry
 from siteconcord.params import MatchParams
 from siteconcord.plans import maintenance
 from siteconcord.plans.job import append_event, attempt_of, claim_start, run_reconciliation
@@ -209,6 +210,16 @@ def test_inputs_of_one_split_are_worked_on_by_many_tasks(spark):
     assert len(result.nodes.inputFiles()) > 1 and len(result.assets.inputFiles()) > 1
 
 
+def test_filter_on_faults_runs_behind_the_deal(spark):
+    """Faults are found by several tasks also where only the assets without one are read."""
+    assets = fixtures.assets(spark, SF_DIR).coalesce(1)
+    valid, issues = validate_registry(assets, PARAMS)
+    assert len(valid.inputFiles()) > 1
+    assert valid.count() + issues.count() == assets.count()
+    staged, _ = Inputs(spark, SF_DIR).staged
+    assert len(staged.inputFiles()) > 1 and staged.count() == valid.count()
+
+
 def test_upkeep_writes_one_row_per_run_that_stays(spark, tmp_path, monkeypatch):
     """A run that hung for years spans many periods; what is written is its span, not a row for each."""
     events, issues = str(tmp_path / "events"), str(tmp_path / "issues")
