@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siteconcord.llm import decontaminate, language, ngram_join, secret_scan
+from siteconcord.llm.batches import byte_batches
 from siteconcord.llm.common import table
 from siteconcord.llm.queries import pack
 from siteconcord.session import materialized
@@ -53,6 +54,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialized(stage(spark, docs, sf_dir), name)
+    # One session runs all stages: what an executor once took for large batches of whole texts it would hold through the later ones.
+    with byte_batches(spark):
+        for name, stage in STAGES:
+            docs = materialized(stage(spark, docs, sf_dir), name)
     return docs

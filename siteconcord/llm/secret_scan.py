@@ -1,7 +1,7 @@
 """Secret scans through a trigram inverted index.
 
-From each rule's regular expression a Boolean query over trigrams follows: what any match must contain. Every batch of
-documents in a task is a segment with an inverted index of its own: postings from each trigram some query names to the
+From each rule's regular expression a Boolean query over trigrams follows: what any match must contain. Every slice of
+about `SEGMENT_BYTES` of documents in a task is a segment with an inverted index of its own: postings from each trigram some query names to the
 documents that hold it, case folded. The query's postings are united and intersected, and the rule's expression runs over the
 candidates only. Rules without a mandatory trigram (runs of hexadecimal digits) scan every document. Segments are
 independent, so a lost executor costs its own segments only, and memory is bounded by the bytes of one.
@@ -53,6 +53,8 @@ MORE_RULES: tuple[Rule, ...] = (
     Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE_RULES + MORE_RULES
+# Bytes of text in a segment: while it is indexed a worker holds some twenty bytes for each of them.
+SEGMENT_BYTES = 1 << 20
 
 
 # --- trigram queries --------------------------------------------------------------------------------------------------
@@ -184,7 +186,7 @@ def rule_spans(rule: Rule, compiled: re.Pattern, text: str) -> list[tuple[int, i
 
 def _found(batch: pa.RecordBatch, rules: Sequence[Rule], compiled: list[re.Pattern], queries: list, grams: list[str]) -> Iterator[tuple[pa.RecordBatch, list[list]]]:
     """Per slice of the batch, each document's spans (start, rule number, end) in order."""
-    for part in chunks(batch, "text"):
+    for part in chunks(batch, "text", SEGMENT_BYTES):
         raw = as_bytes(part.column("text"))
         postings = segment_postings(raw, grams)
         everything = np.arange(len(raw))

@@ -2,11 +2,13 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -240,6 +242,19 @@ def test_trigram_queries():
     assert query[0] == "or" and "passwd"[:3] in secret_scan.named(query) and "pi_" in secret_scan.named(query)
 
 
+def test_segments_take_little_memory():
+    """A batch of 20 MB is indexed slice by slice, with the same spans."""
+    texts = ["tie " * 1250 + "password=abcdefgh"] * 4000
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    prepared = secret_scan._prepared(secret_scan.RULES)
+    tracemalloc.start()
+    spans = [s for _, found in secret_scan._found(batch, secret_scan.RULES, *prepared) for s in found]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert spans == [[(5000, 0, 5017)]] * 4000
+    assert peak < 40 << 20
+
+
 def test_redacted_texts_hold_no_secret(documents):
     again = secret_scan.secret_spans(secret_scan.redact(documents))
     assert again.filter("size(spans) > 0").count() == 0
@@ -461,5 +476,22 @@ def test_stages_take_effect(spark, items):
     assert set(kept["secrets"]) == set(kept["decontamination"])
 
 
+def test_stages_get_batches_bound_by_bytes(spark, tmp_path, monkeypatch):
+    """40 MB of texts in one split reach a stage's Python in batches of a few MB."""
+    texts = spark.range(4000).selectExpr("id AS doc_id", "repeat('tie tie ab', 1000) AS text")
+    texts.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+
+    def sizes(spark, docs, sf_dir):
+        def measured(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"rows": pa.array([batch.num_rows]), "bytes": pa.array([batch.nbytes])})
+
+        return docs.mapInArrow(measured, "rows long, bytes long")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", sizes)])
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sum(r["rows"] for r in found) == 4000 and max(r["bytes"] for r in found) <= 8 << 20
+
+
 def test_sha_of_nothing():
     assert secret_scan.sha256_hex("") == hashlib.sha256(b"").hexdigest()
