@@ -6,16 +6,18 @@ each stands on at least T of the other's inverted lists. The search follows Divi
 
 * Equal sets are one class, represented by its smallest id; only classes are searched.
 * Of a set of n shingles any partner holds percent * n / 100, so it must meet one of any n - ceil(percent * n / 100) + 1 lists.
-  Lists are taken in the order of the shingles' hashes; each document merges only those first ones and a few more, its head.
-  The merge is the shuffle that brings together a list's documents, and a count per pair of the lists both merge.
-* Long lists (more than `LONG` partners a document, counting documents of other components) are set aside: a document takes the next short lists instead, its head being
-  recomputed from its text if those do not suffice. Only a document that has no short lists left merges long ones.
-* A pair met on c lists holds at most c plus what either set has beyond its merged lists, or beyond the last list both met on. Pairs that
-  can still reach T are probed: long lists and all else not merged, by binary search of one sorted set's members in the other.
+  A document's head are its first shingles by hash, that many and `MORE` + n / 20 more. Two sets that link then meet on more than `MORE` + n / 20
+  lists of their heads (n the smaller size), or on all that they share. A set that meets others on fewer lists links with none.
+* The sets left are read whole, and their lists ordered by length, shortest first; lists of one document are not merged. A set merges its
+  first n - ceil(percent * n / 100) + 1, and of the next `MORE` + n / 20 those of at most `LONG` documents. All others are set aside.
+* The merge is the shuffle that brings a list's documents together, and a count per pair of the lists both merge. A pair is counted
+  from the places where either set still has T members; so copies with edits of their own, whose shortest lists nobody shares, hardly meet.
+* A pair met on c lists holds at most c plus what either set has beyond the last list both met on. Pairs that can still reach T are probed:
+  long lists and all else not merged, by binary search of one sorted set's members in the other.
   The likeliest pairs of any two components go first, the others follow if those two are still apart.
 
 Copies with small edits would make lists long and pairs many. So each list first links its documents to one of them,
-several times with different choices, and verified links become components; after that only pairs of different components
+the one with the fewest rarer members, and verified links become components; after that only pairs of different components
 are made: a list's rows outside its largest component meet the others. No link between components is lost, and no group is expanded into all its pairs.
 
 Components are found by alternating large and small stars on the links, in tables in the shared folder.
@@ -45,10 +47,10 @@ from siteconcord.session import discard, materialized
 
 SHINGLE = 4
 PERCENT = 85
-# Lists on which a document meets more than this many documents of other components, on average, are set aside.
+# Lists of a head beyond those that any partner must meet, besides a twentieth of the set.
+MORE = 8
+# Lists of more documents than this are merged only as far as a link may show on no shorter one.
 LONG = 8
-# Choices of the document a merged list's others are linked to before pairs are searched.
-STARS = 2
 # Pairs of any two components that are probed before the others of the two.
 FIRST = 16
 # Bytes of text whose words a worker holds at once: each word is an object of its own until it is hashed.
@@ -107,7 +109,7 @@ def _sets(rows: DataFrame, k: int, percent: int) -> DataFrame:
         for batch in batches:
             for part in chunks(batch, "text", _CHUNK):
                 sets = shingle_sets(as_bytes(part.column("text")), k)
-                wanted = part.column("wanted").to_pylist() if given else [must_merge(len(s), percent) + 8 + len(s) // 50 for s in sets]
+                wanted = part.column("wanted").to_pylist() if given else [must_merge(len(s), percent) + MORE + len(s) // 20 for s in sets]
                 heads = [s[:w] for s, w in zip(sets, wanted)]
                 offsets = np.cumsum([0, *[len(h) for h in heads]]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -187,15 +189,12 @@ class _Search:
         self.sizes = materialized(heads.select("doc_id", "n", "digest"), "sizes")
         classes = heads.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest")
         found = classes.agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("head").alias("head"))
-        self.classes = materialized(found.withColumn("p", self._must("n")), "classes")
+        self.classes = materialized(found, "classes")
         # Heads are most of the space this takes; from here on the classes hold them.
         discard(heads)
         self.links = None
         self.comps = None
 
-    def _must(self, n: str):
-        return F.expr(f"{n} - ({self.percent} * {n} + 99) div 100 + 1")
-
     def _labelled(self, rows: DataFrame) -> DataFrame:
         """Adds comp, the component so far."""
         if self.comps is None:
@@ -203,71 +202,47 @@ class _Search:
         return rows.join(small(self.comps), "id", "left").withColumn("comp", F.expr("coalesce(comp, id)"))
 
     def rows(self) -> DataFrame:
-        return self.classes.select("id", "n", F.posexplode("head").alias("at", "h"))
+        return self.classes.select("id", "n", F.explode("head").alias("h"))
 
     def shared(self) -> DataFrame:
-        """(h, id, n, at): the inverted lists of the heads that hold more than one class; at is the place in the set."""
+        """(h, id, n): the inverted lists of the heads that hold more than one class."""
         several = self.rows().groupBy("h").count().filter("count > 1").select("h")
         return materialized(self.rows().join(several, "h"), "lists")
 
-    def add(self, pairs: DataFrame) -> None:
+    def add(self, pairs: DataFrame, whole: DataFrame) -> None:
         """Verify pairs (a, b, na, nb) and merge the components of those that link."""
         pairs = materialized(pairs, "pairs")
-        if not pairs.isEmpty():
-            found = self._verified(pairs)
+        if pairs.isEmpty():
+            return
+        found = self._verified(pairs, whole)
+        if not found.isEmpty():
             self.links = found if self.links is None else self.links.unionByName(found)
-        if self.links is not None:
             self.comps = components(self.links)
 
-    def star(self, lists: DataFrame) -> DataFrame:
-        """Each list's documents of other components, paired with the one most of whose head is shared with others.
-
-        Of edited copies that is the one with the fewest edits.
-        """
-        shared = lists.groupBy("id").agg(F.count(F.lit(1)).alias("m")).join(self.classes.selectExpr("id", "size(head) AS f"), "id")
-        rows = lists.join(shared.selectExpr("id", "int(1000000 * (f - m) / f) AS rank"), "id")
-        chosen = rows.groupBy("h").agg(F.min(F.expr("struct(rank, xxhash64(id) AS x, id, n)")).alias("centre"))
-        met = rows.join(chosen, "h").filter("id <> centre.id")
-        sized = met.selectExpr("least(id, centre.id) AS a", "greatest(id, centre.id) AS b", "n AS na", "centre.n AS nb").filter(self.near)
-        return self._can_reach(self._measured(sized.select("a", "b").distinct()))
-
     @property
     def early(self) -> str:
         """The first list two sets share leaves at least T members on either side."""
         return f"{self.enough.format('(na - ia)')} AND {self.enough.format('(nb - ib)')}"
 
-    def early_star(self, merged: DataFrame, salt: int) -> DataFrame:
-        """Each list's documents of other components, paired with one of its documents that they may meet first there."""
-        rows = self._labelled(merged)
-        one = F.min(F.expr(f"struct(xxhash64(id, h, {salt}) AS x, id, n, place, comp)")).alias("centre")
-        chosen = rows.groupBy("h").agg(one, F.expr("min(comp) <> max(comp) AS mixed")).filter("mixed")
-        met = rows.join(chosen, "h").filter("comp <> centre.comp")
-        sized = met.selectExpr("id", "n AS na", "place AS ia", "centre.id AS other", "centre.n AS nb", "centre.place AS ib")
-        pairs = sized.filter(f"{self.near} AND {self.early}").selectExpr("least(id, other) AS a", "greatest(id, other) AS b")
-        return self._can_reach(self._measured(pairs.distinct()))
-
-    def _measured(self, pairs: DataFrame) -> DataFrame:
-        """Adds sizes and heads; the length filter."""
-        side = self.classes.select("id", "n", "head")
-        one = side.withColumnsRenamed({"id": "a", "n": "na", "head": "ha"})
-        two = side.withColumnsRenamed({"id": "b", "n": "nb", "head": "hb"})
-        return pairs.join(one, "a").join(two, "b").filter(self.near)
-
-    def _can_reach(self, pairs: DataFrame) -> DataFrame:
-        """What the heads hold in common, plus what lies behind them, must reach T."""
-        behind = [f"{n} - size(filter({h}, x -> x <= limit))" for n, h in (("na", "ha"), ("nb", "hb"))]
-        limited = pairs.withColumn("limit", F.expr("least(element_at(ha, -1), element_at(hb, -1))"))
-        most = f"(size(array_intersect(ha, hb)) + least({behind[0]}, {behind[1]}))"
-        return limited.filter(self.enough.format(most)).select("a", "b", "na", "nb")
-
-    def _verified(self, pairs: DataFrame) -> DataFrame:
+    def star(self, merged: DataFrame) -> DataFrame:
+        """Each list's documents, paired with the one that has the fewest rarer members: of edited copies the one with the fewest edits."""
+        chosen = merged.groupBy("h").agg(F.min(F.expr("struct(at, xxhash64(id) AS x, id, n)")).alias("centre"))
+        met = merged.join(chosen, "h").filter("id <> centre.id")
+        met = met.selectExpr("id", "n AS na", "at AS ia", "centre.id AS other", "centre.n AS nb", "centre.at AS ib").filter(f"{self.near} AND {self.early}")
+        return met.selectExpr("least(id, other) AS a", "greatest(id, other) AS b", "if(id < other, na, nb) AS na", "if(id < other, nb, na) AS nb").distinct()
+
+    def _whole(self, ids: DataFrame) -> DataFrame:
+        """(doc_id, digest, n, members): the whole sets of all texts with these ids."""
+        wanted = ids.select(F.col("id").alias("doc_id"), F.lit(1 << 40).alias("wanted"))
+        with _short_batches(self.spark, 256), byte_batches(self.spark):
+            texts = self.docs.join(small(wanted), "doc_id").select("doc_id", "text", "wanted")
+            sets = _sets(texts, self.k, self.percent).dropDuplicates(["doc_id", "digest"])
+            return materialized(sets.withColumnRenamed("head", "members"), "sets")
+
+    def _verified(self, pairs: DataFrame, whole: DataFrame) -> DataFrame:
         """The pairs that link, by binary probes of their whole sets."""
-        ids = pairs.selectExpr("a AS doc_id").unionByName(pairs.selectExpr("b AS doc_id")).distinct()
-        ids = materialized(ids.withColumn("wanted", F.lit(1 << 40)), "ids")
         with _short_batches(self.spark, 256), byte_batches(self.spark):
-            texts = self.docs.join(small(ids), "doc_id").select("doc_id", "text", "wanted")
-            whole = _sets(texts, self.k, self.percent).dropDuplicates(["doc_id", "digest"])
-            whole = materialized(whole.select("doc_id", F.col("head").alias("members")), "sets")
+            whole = whole.select("doc_id", "members")
             one = whole.withColumnsRenamed({"doc_id": "a", "members": "sa"})
             two = whole.withColumnsRenamed({"doc_id": "b", "members": "sb"})
             percent = self.percent
@@ -283,83 +258,68 @@ class _Search:
 
             met = pairs.select("a", "b").join(one, "a").join(two, "b")
             links = materialized(met.mapInArrow(probed, pairs.select("a", "b").schema), "links")
-        discard(ids, whole, pairs)
+        discard(pairs)
         return links
 
-    def set_aside(self, lists: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(lists, long lists): heads are made longer until every document has its share of short lists, or no more lists."""
-        rounds = 0
-        while True:
-            sizes = self._labelled(lists).groupBy("h", "comp").agg(F.expr("double(count(*)) AS c"))
-            kinds = sizes.groupBy("h").agg(F.sum("c").alias("c"), F.sum(F.expr("c * c")).alias("own"))
-            long = materialized(kinds.filter(f"(c * c - own) / 2 > {self.long} * c").select("h"), "long")
-            if long.isEmpty():
-                return lists, long
-            aside = lists.join(small(long), "h").groupBy("id").agg(F.count(F.lit(1)).alias("k"))
-            lacking = self.classes.join(aside, "id").filter("size(head) < n AND size(head) - k < p")
-            # Generous at first, whole sets after that: each round reads the texts of the documents it concerns.
-            enough = "n" if rounds else "least(n, greatest(2 * size(head), p + 4 * k))"
-            wanted = lacking.selectExpr("id", "digest AS own", f"{enough} AS wanted")
-            wanted = materialized(wanted, "wanted")
-            if wanted.isEmpty():
-                return lists, long
-            rounds += 1
-            lists = self._lengthened(lists, wanted)
-            discard(long, wanted)
-
-    def _lengthened(self, lists: DataFrame, wanted: DataFrame) -> DataFrame:
-        """The lists after the heads of `wanted` (id, own, wanted) have been made longer; only lists they newly touch are made again."""
-        texts = self.docs.join(small(wanted), F.expr("doc_id = id")).select("doc_id", "text", F.col("wanted").cast("long"))
-        with byte_batches(self.spark):
-            longer = materialized(_sets(texts, self.k, self.percent), "heads")
-        mine = longer.join(small(wanted.select("id", "own")), F.expr("doc_id = id AND digest = own"))
-        mine = mine.select("own", F.col("head").alias("longer")).dropDuplicates(["own"])
-        before = self.classes
-        grown = before.join(mine, F.expr("digest = own"), "left")
-        added = grown.filter("longer IS NOT NULL").selectExpr("explode(slice(longer, size(head) + 1, size(longer) - size(head))) AS h")
-        touched = materialized(added.distinct(), "touched")
-        grown = grown.withColumn("head", F.expr("coalesce(longer, head)"))
-        self.classes = materialized(grown.select("digest", "id", "n", "head", "p"), "classes")
-        made = materialized(self.rows().join(small(touched), "h"), "rows")
-        several = made.groupBy("h").count().filter("count > 1").select("h")
-        now = lists.join(small(touched), "h", "left_anti").unionByName(made.join(several, "h"))
-        now = materialized(now, "lists")
-        discard(before, longer, touched, made, lists)
-        return now
-
-    def merged(self, lists: DataFrame, long: DataFrame) -> DataFrame:
-        """(h, id, n, m, place): the m lists each set merges, with their place in the order of merging: short lists first."""
-        aside = lists.join(small(long.withColumn("aside", F.lit(True))), "h", "left")
-        per_set = "PARTITION BY id ORDER BY at"
-        marked = aside.withColumn("before", F.expr(f"count(aside) OVER ({per_set} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"))
-        # A set with k long lists has size(head) - k short ones; if these are too few, it takes as many long ones as are missing.
-        facts = marked.groupBy("id").agg(F.count("aside").alias("k")).join(self.classes.selectExpr("id", "size(head) AS f", "p"), "id")
-        placed = marked.join(facts, "id").filter("aside IS NULL OR before < p - f + k")
-        placed = placed.withColumn("place", F.expr("if(aside, f - k + before, at - before)"))
-        return materialized(placed.selectExpr("h", "id", "n", "greatest(f - k, p) AS m", "place"), "merged")
+    def mixed(self, lists: DataFrame) -> DataFrame:
+        """The rows of lists that hold several components, with comp and of_most: whether it is the one that holds most of the list."""
+        rows = self._labelled(lists)
+        sizes = rows.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
+        tops = sizes.groupBy("h").agg(F.expr("max(struct(c, comp)).comp AS most"), F.expr("min(comp) <> max(comp) AS mixed"))
+        found = rows.join(tops.filter("mixed"), "h").withColumn("of_most", F.expr("comp = most")).drop("most", "mixed")
+        return materialized(found, "mixed")
+
+    def likely(self, lists: DataFrame) -> DataFrame:
+        """(id) of the classes that meet others on as many lists of their heads as a link takes.
+
+        Of two sets that link, either has all common members but n - ceil(percent * n / 100) at most in front of any place, so the first
+        `MORE` + 1 + n / 20 of them lie in both heads, or all do. A partner has at least percent * n / 100 members.
+        """
+        least = f"({self.percent} * n + 99) div 100"
+        counts = lists.groupBy("id", "n").agg(F.count(F.lit(1)).alias("c"))
+        enough = counts.filter(f"c >= least({least}, {MORE + 1} + ({least}) div 20)")
+        return materialized(enough.select("id").distinct(), "likely")
+
+    def merged(self, ids: DataFrame, whole: DataFrame) -> DataFrame:
+        """(h, length, id, own, n, at): the lists that each of these classes merges, with their places in its order of merging.
+
+        Lists come by length; those with one class only are the first, unnumbered. `own` tells classes with one id apart.
+        """
+        classes = self.classes.join(small(ids), "id").select(F.col("id").alias("doc_id"), "digest")
+        sets = whole.join(classes, ["doc_id", "digest"], "left_semi")
+        rows = materialized(sets.selectExpr("doc_id AS id", "xxhash64(digest) AS own", "n", "explode(members) AS h"), "rows")
+        several = rows.groupBy("h").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
+        known = materialized(rows.join(several, "h"), "known")
+        # A set links only if so many of its members are shared at all; the others go before anything is sorted.
+        shared = known.groupBy("id", "own", "n").agg(F.count(F.lit(1)).alias("c")).filter(f"100 * c >= {self.percent} * n")
+        shared = materialized(shared.select("id", "own", "c"), "shared")
+        place = "n - c + row_number() OVER (PARTITION BY id, own ORDER BY length, h) - 1 AS at"
+        placed = known.join(small(shared), ["id", "own"]).selectExpr("h", "length", "id", "own", "n", place)
+        must = f"n - ({self.percent} * n + 99) div 100 + 1"
+        found = placed.filter(f"at < {must} OR length <= {self.long} AND at < {must} + {MORE} + n div 20")
+        found = materialized(found, "merged")
+        discard(rows, known, shared)
+        return found
 
     def occurrences(self, merged: DataFrame) -> DataFrame:
         """Pairs of different components whose count of common merged lists, plus what may lie beyond, reaches T.
 
-        A list's rows outside its largest component meet its other rows, so a component's rows are not paired among themselves.
+        A list's rows outside its largest component meet its other rows, so a component's rows are not paired among themselves. The lists a pair
+        is counted on are the first ones of all it shares: the short ones, and the longer ones as far as both sets still have T members.
         """
-        rows = self._labelled(merged)
-        sizes = rows.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
-        tops = sizes.groupBy("h").agg(F.expr("max(struct(c, comp)).comp AS most"), F.expr("min(comp) <> max(comp) AS mixed"))
-        rows = materialized(rows.join(tops.filter("mixed"), "h").withColumn("of_most", F.expr("comp = most")).drop("most", "mixed"), "mixed")
-        of = "struct(id, n, m, place, comp, of_most)"
-        met = fanned_join(rows.selectExpr("h", f"{of} AS x"), rows.filter("NOT of_most").selectExpr("h", f"{of} AS y"), "h")
-        met = met.filter("x.comp <> y.comp AND (x.of_most OR x.id < y.id)").selectExpr("if(x.id < y.id, x, y) AS x", "if(x.id < y.id, y, x) AS y")
-        met = met.selectExpr("x.id AS a", "y.id AS b", "x.n AS na", "y.n AS nb", "x.m AS ma", "y.m AS mb", "x.place AS ia", "y.place AS ib", "x.comp AS ca", "y.comp AS cb")
-        # Before a common list there are at most as many common ones as its lesser place, behind it the lesser rest.
-        met = met.filter(f"{self.near} AND {self.enough.format('(least(ia, ib) + least(na - ia, nb - ib))')}")
+        of = "struct(id, own, n, at, comp, of_most) AS {}"
+        met = fanned_join(merged.selectExpr("h", "length", of.format("x")), merged.filter("NOT of_most").selectExpr("h", of.format("y")), "h")
+        met = met.filter("x.comp <> y.comp AND (x.of_most OR x.id < y.id)").selectExpr("length", "if(x.id < y.id, x, y) AS x", "if(x.id < y.id, y, x) AS y")
+        sides = [f"{x}.{c} AS {name}{side}" for side, x in (("a", "x"), ("b", "y")) for c, name in (("own", "o"), ("n", "n"), ("at", "i"), ("comp", "c"))]
+        met = met.selectExpr("length", "x.id AS a", "y.id AS b", *sides)
+        met = met.filter(f"{self.near} AND (length <= {self.long} OR {self.early})")
         places = ("count(*) AS c", "min(ia) AS ia", "min(ib) AS ib", "max(ia) AS la", "max(ib) AS lb")
-        counted = met.groupBy("a", "b", "na", "nb", "ma", "mb", "ca", "cb").agg(*[F.expr(e) for e in places])
-        most = "c + least(na - 1 - la, nb - 1 - lb, greatest(na - ma, nb - mb))"
+        counted = met.groupBy("a", "b", "oa", "ob", "na", "nb", "ca", "cb").agg(*[F.expr(e) for e in places])
+        most = "c + least(na - 1 - la, nb - 1 - lb)"
         counted = counted.filter(self.early).withColumn("most", F.expr(most)).filter(self.enough.format("most"))
         return counted.selectExpr("a", "b", "na", "nb", "least(ca, cb) AS ca", "greatest(ca, cb) AS cb", "most / (na + nb) AS likely")
 
-    def settle(self, pairs: DataFrame) -> None:
+    def settle(self, pairs: DataFrame, whole: DataFrame) -> None:
         """Probe pairs of different components, the likeliest `FIRST` of any two components before all others.
 
         Where a group of edited copies is one component, those left outside have candidates all over it; once one of them links, the
@@ -367,28 +327,31 @@ class _Search:
         """
         order = "row_number() OVER (PARTITION BY ca, cb ORDER BY likely DESC, a, b) AS turn"
         pairs = materialized(pairs.selectExpr("a", "b", "na", "nb", "ca", "cb", order), "counted")
-        self.add(pairs.filter(f"turn <= {FIRST}").select("a", "b", "na", "nb"))
+        self.add(pairs.filter(f"turn <= {FIRST}").select("a", "b", "na", "nb"), whole)
         rest = pairs.filter(f"turn > {FIRST}")
-        apart = rest.select("ca", "cb").distinct()
-        if self.comps is not None:
-            for x in ("ca", "cb"):
-                apart = apart.join(small(self.comps.selectExpr(f"id AS {x}", f"comp AS now_{x}")), x, "left")
-            apart = apart.filter("coalesce(now_ca, ca) <> coalesce(now_cb, cb)").select("ca", "cb")
-        apart = materialized(apart, "apart")
-        self.add(rest.join(small(apart), ["ca", "cb"], "left_semi").select("a", "b", "na", "nb"))
-        discard(pairs, apart)
+        if not rest.isEmpty():
+            apart = rest.select("ca", "cb").distinct()
+            if self.comps is not None:
+                for x in ("ca", "cb"):
+                    apart = apart.join(small(self.comps.selectExpr(f"id AS {x}", f"comp AS now_{x}")), x, "left")
+                apart = apart.filter("coalesce(now_ca, ca) <> coalesce(now_cb, cb)").select("ca", "cb")
+            apart = materialized(apart, "apart")
+            self.add(rest.join(small(apart), ["ca", "cb"], "left_semi").select("a", "b", "na", "nb"), whole)
+            discard(apart)
+        discard(pairs)
 
     def run(self) -> None:
         lists = self.shared()
         if lists.isEmpty():
             return
-        self.add(self.star(lists))
-        lists, long = self.set_aside(lists)
-        merged = self.merged(lists, long)
-        discard(lists, long)
-        for salt in range(STARS):
-            self.add(self.early_star(merged, salt))
-        self.settle(self.occurrences(merged))
+        ids = self.likely(lists)
+        discard(lists)
+        whole = self._whole(ids)
+        merged = self.merged(ids, whole)
+        self.add(self.star(merged), whole)
+        mixed = self.mixed(merged)
+        self.settle(self.occurrences(mixed), whole)
+        discard(ids, whole, merged, mixed)
 
 
 def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, long: int = LONG) -> DataFrame:

@@ -211,6 +211,29 @@ def test_ngram_components_of_edited_copies(spark, long):
     assert got == brute_components(rows, 4, 85)
 
 
+def test_edited_copies_are_not_paired_all_with_all(spark, monkeypatch):
+    """Copies with edits of their own, most of them too many to link: no more pairs are left to probe than there are copies."""
+    draw = np.random.default_rng(5)
+    rows = []
+    for i in range(300):
+        words = [f"w{j}" for j in range(150)]
+        for j in draw.choice(150, i % 7, replace=False):
+            words[j] = f"e{i}x{j}"
+        rows.append((i, " ".join(words)))
+    counts, found = [], ngram_join._Search.occurrences
+
+    def counted(self, lists):
+        pairs = found(self, lists).cache()
+        counts.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join._Search, "occurrences", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_components(docs).collect()}
+    assert got == brute_components(rows, 4, 85)
+    assert sum(counts) <= len(rows)
+
+
 # --- secrets ----------------------------------------------------------------------------------------------------------
 
 
